@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake.functions import columns as C
-from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows, row_number_per, sort_columns
+from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows, range_key, row_number_per, sort_columns
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], n: int = 1) -> DataFrame:
@@ -48,18 +48,20 @@ def scd1(
 ) -> DataFrame:
     """Latest state per key with first and last time seen, number of versions and a correction flag.
 
-    The state comes from the group-limited latest row and the history from a map-side combined aggregate: both
-    shuffle at most one row per key and map task, whatever the number of versions of a key.
+    One scan and one shuffle: state and history come from the same map-side combined aggregate, so a key with many
+    versions sends one row per map task.
     """
-    history = df.groupBy(*keys).agg(
-        F.min(seen_at).alias("first_seen_at"),
-        F.max(seen_at).alias("last_updated_at"),
-        F.count(F.lit(1)).alias("update_count"),
-    )
+    rest = [c for c in df.columns if c not in (*keys, seen_at)]
+    first_in_order = range_key(df, [], order_by)
     return (
-        top_per_key(df, keys, order_by)
-        .drop(seen_at)
-        .join(history, list(keys))
+        df.groupBy(*keys)
+        .agg(
+            F.min_by(F.struct(*rest), first_in_order).alias("_state"),
+            F.min(seen_at).alias("first_seen_at"),
+            F.max(seen_at).alias("last_updated_at"),
+            F.count(F.lit(1)).alias("update_count"),
+        )
+        .select(*keys, "_state.*", "first_seen_at", "last_updated_at", "update_count")
         .withColumn("is_correction", F.col("update_count") > 1)
     )
 

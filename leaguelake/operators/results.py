@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake.functions import columns as C
-from leaguelake.operators.history import top_per_key
-from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows
+from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows, sort_columns
 
 
 def unpivot_sides(
@@ -42,15 +41,11 @@ def unpivot_sides(
 
 def standings(sides: DataFrame, keys: Sequence[str] = ("team_id", "team_name")) -> DataFrame:
     """Played, won, drawn, lost, points and goals per entity; one partial and one final aggregate."""
-    won, drawn, lost = (F.sum(C.flag(F.col("result") == r)) for r in "WDL")
     return sides.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("played"),
-        won.alias("won"),
-        drawn.alias("drawn"),
-        # A side without the other side's score is neither won, drawn nor lost.
-        F.sum(C.flag((F.col("result") == "L") & F.col("ga").isNotNull())).alias("lost")
-        if "ga" in sides.columns
-        else lost.alias("lost"),
+        F.sum(C.flag(F.col("gf") > F.col("ga"))).alias("won"),
+        F.sum(C.flag(F.col("gf") == F.col("ga"))).alias("drawn"),
+        F.sum(C.flag(F.col("gf") < F.col("ga"))).alias("lost"),
         F.sum("pts").alias("points"),
         F.sum("gf").alias("goals_for"),
         F.sum("ga").alias("goals_against"),
@@ -112,12 +107,13 @@ def recent_form(
     ``per_side`` ranks home and away results apart (up to twice ``size`` results, home and away interleaved by
     rank); otherwise the last ``size`` results of either side count. Only ranked rows are collected.
     """
-    window_keys = [*keys, "side"] if per_side else list(keys)
-    recent = top_per_key(sides, window_keys, order_by, size)
-    rank = F.row_number().over(Window.partitionBy(*window_keys).orderBy(*_sort(order_by)))
+    rank = F.row_number().over(
+        Window.partitionBy(*keys, *(["side"] if per_side else [])).orderBy(*sort_columns(order_by))
+    )
     results = F.array_sort(F.collect_list(F.struct((-F.col("_rank")).alias("rank"), "side", "result")))
     return (
-        recent.withColumn("_rank", rank)
+        sides.withColumn("_rank", rank)
+        .filter(F.col("_rank") <= size)
         .groupBy(*keys)
         .agg(
             F.array_join(F.transform(results, lambda r: r["result"]), ",").alias("form_string"),
@@ -126,12 +122,6 @@ def recent_form(
     )
 
 
-def _sort(order_by: Sequence[str]) -> list[Column]:
-    from leaguelake.operators.ordered import sort_columns
-
-    return sort_columns(order_by)
-
-
 def infer_rounds(
     matches: DataFrame,
     season: Sequence[str] = ("season_id",),
