@@ -20,18 +20,32 @@ from leaguelake.operators.joins import absent
 # contracts --------------------------------------------------------------------------------------------------------
 
 
-class Record:
-    """Access to the fields of a JSON record that tells a missing key from a null."""
+def _field(column: str, path: str, part: str) -> str:
+    return f"{column}_{part}_{path.replace('.', '_')}"
 
-    def __init__(self, column: str):
-        self.variant = F.col(column)
 
-    def field(self, path: str) -> Column:
-        return F.try_variant_get(self.variant, f"$.{path}", "variant")
+class Record:
+    """Fields of a JSON record, read once into columns that tell a missing key from a null."""
+
+    def __init__(self, column: str, contract: Mapping):
+        self.column = column
+        self.valued = [*contract["enums"], *contract["ranges"]]
+        nested = [f"{parent}.{c}" for parent, children in contract["nested"].items() for c in children]
+        self.paths = list(dict.fromkeys([*contract["required"], *contract["types"], *self.valued, *nested]))
+
+    def fields(self) -> dict[str, Column]:
+        out = {}
+        for path in self.paths:
+            value = F.try_variant_get(F.col(self.column), f"$.{path}", "variant")
+            out[_field(self.column, path, "kind")] = F.schema_of_variant(value)
+        for path in self.valued:
+            for part in ("string", "double"):
+                out[_field(self.column, path, part)] = F.try_variant_get(F.col(self.column), f"$.{path}", part)
+        return out
 
     def kind(self, path: str) -> Column:
         """Type name of the value, NULL if the key is missing."""
-        return F.schema_of_variant(self.field(path))
+        return F.col(_field(self.column, path, "kind"))
 
     def missing(self, path: str) -> Column:
         return self.kind(path).isNull()
@@ -41,10 +55,10 @@ class Record:
         return F.coalesce(self.kind(path) != "VOID", F.lit(False))
 
     def text(self, path: str) -> Column:
-        return F.try_variant_get(self.variant, f"$.{path}", "string")
+        return F.col(_field(self.column, path, "string"))
 
     def number(self, path: str) -> Column:
-        return F.try_variant_get(self.variant, f"$.{path}", "double")
+        return F.col(_field(self.column, path, "double"))
 
 
 def _is_type(kind: Column, expected: str) -> Column:
@@ -113,11 +127,19 @@ def _rules(record: Record, contract: Mapping) -> list[Column]:
 
 def with_violations(df: DataFrame, contract: Mapping, record: str = "raw_json") -> DataFrame:
     """Add the array ``violations`` to each record, in rule order; empty for a record that meets the contract."""
-    parsed = df.withColumn("_record", F.try_parse_json(F.col(record)))
-    no_object = F.coalesce(~F.schema_of_variant("_record").startswith("OBJECT"), F.lit(True))
+    read = Record("_record", contract)
+    fields = read.fields()
+    parsed = (
+        df.withColumn("_record", F.try_parse_json(F.col(record)))
+        .withColumn("_record_kind", F.schema_of_variant("_record"))
+        .withColumns(fields)
+    )
+    no_object = F.coalesce(~F.col("_record_kind").startswith("OBJECT"), F.lit(True))
     broken = _violation(F.lit(True), record, "json", F.lit("Record is not a JSON object"))
-    found = F.filter(F.array(*_rules(Record("_record"), contract)), lambda v: v.isNotNull())
-    return parsed.withColumn("violations", F.when(no_object, F.array(broken)).otherwise(found)).drop("_record")
+    found = F.array_compact(F.array(*_rules(read, contract)))
+    return parsed.withColumn("violations", F.when(no_object, F.array(broken)).otherwise(found)).drop(
+        "_record", "_record_kind", *fields
+    )
 
 
 def violations(
@@ -166,11 +188,11 @@ def quarantine(df: DataFrame, contract: Mapping, record: str = "raw_json") -> tu
 
 @dataclass(frozen=True)
 class Check:
-    """A named aggregate over a table, when it passes and what it says."""
+    """A named aggregate (as an SQL expression) over a table, when it passes and what it says."""
 
     name: str
     category: str
-    measure: Column
+    measure: str
     passes: Callable[[Column], Column]
     message: Callable[[Column], Column]
     severity: str = "critical"
@@ -184,7 +206,7 @@ def row_count_check(name: str, least: int, note: str, severity: str = "critical"
     return Check(
         f"{name} ≥ {least:,}",
         "row_count",
-        F.count(F.lit(1)),
+        "count(1)",
         lambda n: n >= least,
         lambda n: F.concat(F.format_number(n, 0), F.lit(f" rows ({note})")),
         severity,
@@ -195,7 +217,7 @@ def exists_check(name: str) -> Check:
     return Check(
         f"{name} exists",
         "schema",
-        F.count(F.lit(1)),
+        "count(1)",
         lambda n: n.isNotNull(),
         lambda n: F.concat(F.format_number(n, 0), F.lit(" rows")),
     )
@@ -205,7 +227,7 @@ def not_null_check(name: str, column: str) -> Check:
     return Check(
         f"{name}.{column} not null",
         "completeness",
-        F.count_if(F.col(column).isNull()),
+        f"count_if({column} IS NULL)",
         lambda n: n == 0,
         lambda n: _text(n, " nulls found"),
     )
@@ -216,7 +238,7 @@ def rule_check(name: str, broken: str, message: str, severity: str = "critical")
     return Check(
         name,
         "business_rule",
-        F.count_if(F.expr(broken)),
+        f"count_if({broken})",
         lambda n: n == 0,
         lambda n: _text(n, message),
         severity,
@@ -241,7 +263,7 @@ SCORER_RULES = [rule_check("All scorers have goals > 0", "goals <= 0", " scorers
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All checks of one table in one scan."""
-    measured = df.agg(*[c.measure.alias(f"m{i}") for i, c in enumerate(checks)])
+    measured = df.agg(*[F.expr(c.measure).alias(f"m{i}") for i, c in enumerate(checks)])
     rows = [
         F.struct(
             F.lit(c.name).alias("name"),
@@ -286,7 +308,13 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def reference_check(
-    df: DataFrame, column: str, parents: DataFrame, parent_column: str, name: str, severity: str = "warning"
+    df: DataFrame,
+    column: str,
+    parents: DataFrame,
+    parent_column: str,
+    name: str,
+    severity: str = "warning",
+    message: str = " orphan teams in results",
 ) -> DataFrame:
     """Number of distinct values without a parent row."""
     children = df.select(F.col(column).alias(parent_column)).distinct()
@@ -296,7 +324,7 @@ def reference_check(
         F.lit("referential").alias("category"),
         (F.col("n") == 0).alias("passed"),
         F.lit(severity).alias("severity"),
-        _text(F.col("n"), " orphan teams in results").alias("message"),
+        _text(F.col("n"), message).alias("message"),
         F.col("n").cast("string").alias("value"),
     )
 

@@ -206,7 +206,7 @@ def points_race(results: DataFrame) -> DataFrame:
 
 def form(results: DataFrame, size: int = 5, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Rolling form per team, ordered by matchday and match id."""
-    sides = live_sides(results, "match_id", "matchday")
+    sides = live_sides(results, "match_id", "matchday").drop("side")
     return rolling_form(sides, size=size, rows_per_range=rows_per_range)
 
 

@@ -67,7 +67,7 @@ def normalize_match_feed(payloads: DataFrame, source: str = values.PRIMARY_SOURC
         F.col("m.id").alias("match_id"),
         F.coalesce("p.competition.name", F.lit(values.DEFAULT_COMPETITION)).alias("competition"),
         F.coalesce(_not_empty(F.col("p.filters.season")), F.lit(values.DEFAULT_SEASON)).alias("season"),
-        F.try_to_timestamp("m.utcDate").alias("utc_date"),
+        F.col("m.utcDate").try_cast("timestamp_ntz").alias("utc_date"),
         F.col("m.status").alias("status"),
         F.lit(None).cast("int").alias("minute"),
         F.col("m.homeTeam.name").alias("home_team_name"),
@@ -91,7 +91,7 @@ def normalize_fallback_feed(payloads: DataFrame, source: str = values.FALLBACK_S
         F.col("m.idEvent").alias("match_id"),
         given("strLeague", values.DEFAULT_COMPETITION).alias("competition"),
         given("strSeason", values.DEFAULT_SEASON).alias("season"),
-        F.try_to_timestamp(both).alias("utc_date"),
+        both.try_cast("timestamp_ntz").alias("utc_date"),
         given("strStatus", "SCHEDULED").alias("status"),
         F.lit(None).cast("int").alias("minute"),
         F.col("m.strHomeTeam").alias("home_team_name"),
