@@ -240,8 +240,8 @@ def clock(minute: ColumnLike, second: ColumnLike) -> Column:
 
 
 def local_date(c: ColumnLike, zone_id: str = "America/New_York") -> Column:
-    """Calendar date of a UTC time at a place."""
-    return F.to_date(F.from_utc_timestamp(as_column(c).cast("timestamp"), zone_id))
+    """Calendar date of a zone-less UTC time at a place."""
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone_id), as_column(c)))
 
 
 # JSON -------------------------------------------------------------------------------------------------------------

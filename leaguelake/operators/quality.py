@@ -136,9 +136,11 @@ def with_violations(df: DataFrame, contract: Mapping, record: str = "raw_json")
     )
     no_object = F.coalesce(~F.col("_record_kind").startswith("OBJECT"), F.lit(True))
     broken = _violation(F.lit(True), record, "json", F.lit("Record is not a JSON object"))
-    found = F.array_compact(F.array(*_rules(read, contract)))
-    return parsed.withColumn("violations", F.when(no_object, F.array(broken)).otherwise(found)).drop(
-        "_record", "_record_kind", *fields
+    found = F.when(no_object, F.array(broken)).otherwise(F.array_compact(F.array(*_rules(read, contract))))
+    # A filter on the violations would be pushed below the projections and repeat all of their work in the filter;
+    # it does not pass a generator, so the array is handed on through one that yields exactly one row.
+    return parsed.select(*df.columns, F.explode(F.array(F.struct(found.alias("found")))).alias("_once")).select(
+        *df.columns, F.col("_once.found").alias("violations")
     )
 
 

@@ -39,7 +39,7 @@ WEATHER_PAYLOAD = """
     current struct<temperature_2m:double, relative_humidity_2m:double, wind_speed_10m:double,
                    precipitation:double, weather_code:int>
 """
-SEASON_CSV = "Date string, HomeTeam string, AwayTeam string, FTHG string, FTAG string"
+SEASON_COLUMNS = ["Date", "HomeTeam", "AwayTeam", "FTHG", "FTAG"]
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -232,17 +232,19 @@ def normalize_lineups(rows: DataFrame) -> DataFrame:
     )
 
 
-def normalize_weather(readings: DataFrame, stadiums: DataFrame, key: str = "team_name") -> DataFrame:
+def normalize_weather(
+    readings: DataFrame, stadiums: DataFrame, key: str = "team_name", names: Sequence[str] = ()
+) -> DataFrame:
     """Current weather per venue; readings without a ``current`` block are dropped.
 
-    ``readings`` has the venue key and the landed ``payload``.
+    ``readings`` has the venue key and the landed ``payload``; ``names`` are reported instead of the key.
     """
     current = readings.select("*", F.from_json("payload", WEATHER_PAYLOAD)["current"].alias("c")).filter(
         F.col("c").isNotNull()
     )
     code = F.coalesce("c.weather_code", F.lit(-1))
     return current.join(stadiums, key).select(
-        key,
+        *(names or [key]),
         "stadium_name",
         "latitude",
         "longitude",
@@ -257,8 +259,15 @@ def normalize_weather(readings: DataFrame, stadiums: DataFrame, key: str = "team
 
 
 def first_date(c: str, formats: Sequence[str] = tuple(values.CSV_DATE_FORMATS)) -> Column:
-    """The date by the first format that fits."""
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in formats])
+    """The date by the first format that fits; two-digit years are 1969 to 2068."""
+
+    def parsed(f: str) -> Column:
+        date = F.to_date(F.try_to_timestamp(c, F.lit(f)))
+        if "yyyy" in f:
+            return date
+        return F.when(F.year(date) > values.LAST_SHORT_YEAR, F.add_months(date, -1200)).otherwise(date)
+
+    return F.coalesce(*[parsed(f) for f in formats])
 
 
 def surrogate_ids(
@@ -269,15 +278,16 @@ def surrogate_ids(
     return global_row_number(df, order_by, name, **extra).withColumn(name, F.col(name) + (first - 1))
 
 
-def read_season_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_season_csv(spark: SparkSession, path: str, *more: str) -> DataFrame:
     """CSV rows by header name, with file and byte block as the coarse place of a row.
 
-    Only the named columns are read. ``_file`` and ``_block`` order rows across splits and ``_row`` inside one:
+    Only the season columns and those named in ``more`` are read. ``_file`` and ``_block`` order rows across splits and ``_row`` inside one:
     the id grows with the position in its split, so it can serve as ``order_by`` of ``normalize_season_csv``.
     """
     rows = spark.read.csv(path, header=True, enforceSchema=False)
     return rows.select(
-        *[F.col(c.strip().split(" ")[0]) for c in SEASON_CSV.split(",")],
+        *SEASON_COLUMNS,
+        *more,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),

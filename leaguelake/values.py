@@ -126,6 +126,7 @@ UNKNOWN_CLUB_ID = 99
 # Season CSV constants.
 SEASON_CSV = {"competition_id": 2324, "season_id": 2324, "season_name": "2023/2024", "kick_off": "15:00:00"}
 CSV_DATE_FORMATS = ["dd/MM/yyyy", "dd/MM/yy"]
+LAST_SHORT_YEAR = 2068
 FIRST_CSV_MATCH_ID = 10001
 FIRST_SCORER_ID = 50001
 

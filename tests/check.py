@@ -53,8 +53,7 @@ def compare(con, df, sql: str) -> str:
         return f"columns {sorted(names)} != {sorted(kinds)}"
     left, right = normal(names, rows), normal(list(kinds), expected)
     if left != right:
-        extra = [r for r in left if r not in set(right)][:2]
-        missing = [r for r in right if r not in set(left)][:2]
+        extra, missing = sorted(set(left) - set(right))[:2], sorted(set(right) - set(left))[:2]
         return f"{len(left)} rows against {len(right)}; columns {sorted(names)}\n    got  {extra}\n    want {missing}"
     types = [(n, t, kinds[n]) for n, t in df.dtypes if t in KINDS and KINDS[t] != kinds[n]]
     return f"types differ: {types}" if types else ""
