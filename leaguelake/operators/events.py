@@ -88,7 +88,7 @@ def scorers(events: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
         )
     )
     order = ["-goals", "-assists", "player_id", "player_name", "team_name"]
-    return global_row_number(stats, order, "rank", rows_per_range)
+    return global_row_number(stats, order, "rank", rows_per_range, store=True)
 
 
 def match_stats(events: DataFrame) -> DataFrame:

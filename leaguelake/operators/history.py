@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake.functions import columns as C
-from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows, range_key, row_number_per, sort_columns
+from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows, order_key, row_number_per, sort_columns
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], n: int = 1) -> DataFrame:
@@ -52,7 +52,7 @@ def scd1(
     versions sends one row per map task.
     """
     rest = [c for c in df.columns if c not in (*keys, seen_at)]
-    first_in_order = range_key(df, [], order_by)
+    first_in_order = order_key(df, order_by)
     return (
         df.groupBy(*keys)
         .agg(
@@ -129,6 +129,7 @@ def scd2(
         ["-points", "-goal_difference", "-goals_for", entity],
         "position",
         rows_per_range,
+        store=True,
     )
     # From here on a group is one entity with at most one row per period.
     by_period = Window.partitionBy(entity).orderBy(period)

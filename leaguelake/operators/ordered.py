@@ -1,18 +1,18 @@
 """Row numbers, running values and rolling frames that stay parallel when one group holds most of the rows.
 
 A window function sorts each of its groups in one task. That is fine for many small groups, but not for a ranking
-over a whole table (one group) or for a key that holds a third of all rows. ``OrderedRows`` therefore cuts the total
-order (group columns, then order columns) into ranges:
-
-* the rows are counted, and above ``rows_per_range`` a uniform sample of about ``MAX_SAMPLE`` order keys is drawn;
-  evenly spaced sample keys become the range bounds;
-* each row finds its range with two short array searches, and windows run per (group, range);
-* what a range needs from earlier ranges of its group - a row count, a running sum, the last few rows - is
-  aggregated separately. A bound cuts at most one group, so there are fewer such carry rows than ranges, and the
-  carry side is safe to broadcast whatever the size of the data.
-
-The bounds decide only where rows are processed, never the result. Below ``rows_per_range`` rows there is one range
-and the plan is the plain window. The order must be unique inside a group (add a tie-break column).
+over a whole table (one group) or for a key that holds a third of all rows. Above ``rows_per_range`` rows,
+``OrderedRows`` therefore cuts the total order (group columns, then order columns) into ranges:
+
+* Spark range-partitions the rows by that order, which splits large groups evenly, and writes them once to the shared
+  folder together with the number of their range; everything after that reads the written table;
+* windows run per (group, range);
+* what a range needs from earlier ranges of its group - a row count, a running sum, the last few rows - is aggregated
+  separately. The border between two ranges cuts at most one group, so there are fewer cut groups than ranges and the
+  carry rows can be broadcast whatever the size of the data.
+
+The ranges decide only where rows are processed, never the result. With fewer rows the plan is the plain window. The
+order must be unique inside a group (add a tie-break column).
 """
 
 from __future__ import annotations
@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_SAMPLE = 16384
-MAX_RANGES = 4096
+from leaguelake.session import stored
+
 ROWS_PER_RANGE = 4_000_000
+MAX_RANGES = 20_000
 RANGE = "_range"
 BORROWED = "_borrowed"
 
@@ -49,36 +50,22 @@ def reverse(order_by: Sequence[str]) -> list[str]:
     return [column_name(o) if descending(o) else f"-{o}" for o in order_by]
 
 
-def _comparable(field: T.StructField) -> list[Column] | None:
-    """Fields whose ascending struct order is the descending order of the column; None where there are none."""
-    c = F.col(field.name)
-    if isinstance(field.dataType, T.TimestampType | T.TimestampNTZType):
-        c = F.unix_micros(c.cast("timestamp"))
-    elif isinstance(field.dataType, T.DateType):
-        c = F.unix_date(c)
-    elif isinstance(field.dataType, T.FloatType | T.DoubleType):
-        return [c.isNull(), ~F.isnan(c), -c]
-    elif isinstance(field.dataType, T.BooleanType):
-        return [c.isNull(), ~c]
-    elif not isinstance(field.dataType, T.NumericType):
-        return None
-    return [c.isNull(), -c]
-
-
-def range_key(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str]) -> Column:
-    """One struct that sorts like the group columns followed by the order columns.
-
-    It ends before a descending column that cannot be negated (text); rows that tie up to there share a range.
-    """
-    fields = [F.col(p) for p in partition_by]
+def order_key(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """One struct that sorts ascending like ``order_by``, for ``min_by``; descending columns must be numbers or times."""
+    fields: list[Column] = []
     for o in order_by:
+        c = F.col(column_name(o))
+        kind = df.schema[column_name(o)].dataType
         if not descending(o):
-            fields.append(F.col(o))
-            continue
-        negated = _comparable(df.schema[column_name(o)])
-        if negated is None:
-            break
-        fields.extend(negated)
+            fields.append(c)
+        elif isinstance(kind, T.TimestampType | T.TimestampNTZType):
+            fields += [c.isNull(), -F.unix_micros(c.cast("timestamp"))]
+        elif isinstance(kind, T.DateType):
+            fields += [c.isNull(), -F.unix_date(c)]
+        elif isinstance(kind, T.NumericType):
+            fields += [c.isNull(), ~F.isnan(c), -c] if isinstance(kind, T.FractionalType) else [c.isNull(), -c]
+        else:
+            raise ValueError(f"cannot sort {o} descending: {kind.simpleString()}")
     return F.struct(*[f.alias(f"k{i}") for i, f in enumerate(fields)])
 
 
@@ -92,7 +79,8 @@ def null_safe(left: str, right: str, names: Sequence[str]) -> Column:
 class OrderedRows:
     """Windows over the rows of ``df``, grouped by ``partition_by`` and ordered by ``order_by``.
 
-    Each method adds columns and returns the object; ``result()`` gives the DataFrame.
+    Each method adds columns and returns the object; ``result()`` gives the DataFrame. The rows are counted first;
+    with ``store`` they are written once before, for rows that are expensive to compute and few, such as aggregates.
     """
 
     def __init__(
@@ -101,63 +89,29 @@ class OrderedRows:
         order_by: Sequence[str],
         partition_by: Sequence[str] = (),
         rows_per_range: int = ROWS_PER_RANGE,
+        store: bool = False,
     ):
         self.partition_by, self.order_by = list(partition_by), list(order_by)
         self.columns = df.columns
-        bounds = self._bounds(df, rows_per_range)
-        self.split = bool(bounds)
-        self.cut_groups = {b[0] for b in bounds} if partition_by else set()
-        self.base = self._with_range(df, bounds) if bounds else df
+        rows = stored(df, "rows") if store else df
+        ranges = min(-(-rows.count() // rows_per_range), MAX_RANGES)
+        self.split = ranges > 1
+        self.base = self._in_ranges(rows, ranges) if self.split else rows
         self.frame = self.base
 
-    # ranges -------------------------------------------------------------------------------------------------------
-
-    def _bounds(self, df: DataFrame, rows_per_range: int) -> list:
-        total = df.count()
-        if total <= rows_per_range:
-            return []
-        keys = df.select(range_key(df, self.partition_by, self.order_by).alias("key"))
-        ranges = F.least(F.lit(-(-total // rows_per_range)), F.lit(MAX_RANGES), F.size("keys"))
-        picked = F.when(
-            ranges > 1,
-            F.transform(
-                F.sequence(F.lit(1), (ranges - 1).cast("int")),
-                lambda i: F.element_at("keys", (i * F.size("keys") / ranges).cast("int") + 1),
-            ),
-        )
-        return (
-            keys.sample(min(1.0, MAX_SAMPLE / total), seed=1)
-            .agg(F.array_sort(F.collect_list("key")).alias("keys"))
-            .select(F.array_distinct(picked).alias("bounds"))
-            .first()
-            .bounds
-            or []
-        )
-
-    def _with_range(self, df: DataFrame, bounds: list) -> DataFrame:
-        """Number of bounds at or below the row's key, found in two levels of about sqrt(n) keys each."""
-        width = max(1, int(len(bounds) ** 0.5))
-        blocks = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-        key = range_key(df, self.partition_by, self.order_by)
-        keys = T.ArrayType(df.select(key.alias("key")).schema["key"].dataType)
-        schema = T.StructType([T.StructField("firsts", keys), T.StructField("blocks", T.ArrayType(keys))])
-        table = df.sparkSession.createDataFrame([([b[0] for b in blocks], blocks)], schema)
-        block = F.size(F.filter("_firsts", lambda b: b <= key))
-        inside = F.size(F.filter(F.try_element_at("_blocks", block), lambda b: b <= key))
-        return (
-            df.withColumn("_firsts", table.select("firsts").scalar())
-            .withColumn("_blocks", table.select("blocks").scalar())
-            .withColumn(RANGE, F.when(block == 0, F.lit(0)).otherwise((block - 1) * F.lit(width) + inside))
-            .drop("_firsts", "_blocks")
-        )
+    def _in_ranges(self, df: DataFrame, ranges: int) -> DataFrame:
+        order = [*sort_columns(self.partition_by), *sort_columns(self.order_by)]
+        return stored(df.repartitionByRange(ranges, *order).withColumn(RANGE, F.spark_partition_id()), "ranges")
 
     def _cut(self) -> DataFrame:
-        """Rows of the groups that a bound may cut, picked by the first group column; only these need carry rows."""
+        """Rows of the groups that lie in more than one range, which are fewer than the ranges."""
         if not self.partition_by:
             return self.base
-        group = F.col(self.partition_by[0])
-        wanted = group.isin(*[g for g in self.cut_groups if g is not None])
-        return self.base.filter(wanted | group.isNull() if None in self.cut_groups else wanted)
+        first, last = F.min(RANGE), F.max(RANGE)
+        groups = self.base.groupBy(*self.partition_by).agg(first.alias("_first"), last.alias("_last"))
+        cut = groups.filter(F.col("_first") < F.col("_last"))
+        on = null_safe("rows", "cut", self.partition_by)
+        return self.base.alias("rows").join(F.broadcast(cut.alias("cut")), on, "left_semi")
 
     def _window(self) -> WindowSpec:
         groups = self.partition_by + ([RANGE] if self.split else [])
@@ -167,14 +121,12 @@ class OrderedRows:
         return Window.partitionBy(*self.partition_by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
 
     def _join_carry(self, carry: DataFrame) -> DataFrame:
-        """Carry rows exist only where a bound cuts a group: fewer rows than ranges, so the broadcast is bounded."""
+        """Carry rows exist for cut groups only: at most two per range, so the broadcast is bounded."""
         on = null_safe("rows", "carry", [*self.partition_by, RANGE])
         joined = self.frame.alias("rows").join(F.broadcast(carry.alias("carry")), on, "left")
         added = [c for c in carry.columns if c not in (*self.partition_by, RANGE)]
         return joined.select("rows.*", *[F.col(f"carry.{c}") for c in added])
 
-    # windows ------------------------------------------------------------------------------------------------------
-
     def number(self, name: str, from_end: str | None = None) -> OrderedRows:
         """Row number from 1 in ``name``; with ``from_end`` also the row number counted from the last row."""
         window = self._window()
@@ -184,12 +136,11 @@ class OrderedRows:
             out = out.withColumn(from_end, F.count(F.lit(1)).over(whole))
         if self.split:
             counts = self._cut().groupBy(*self.partition_by, RANGE).agg(F.count(F.lit(1)).alias("_n"))
-            everything = Window.partitionBy(*self.partition_by)
-            carry = (
-                counts.withColumn("_before", F.sum("_n").over(self._earlier()))
-                .withColumn("_total", F.sum("_n").over(everything))
-                .filter(F.col("_total") > F.col("_n"))
-                .drop("_n")
+            carry = counts.select(
+                *self.partition_by,
+                RANGE,
+                F.sum("_n").over(self._earlier()).alias("_before"),
+                F.sum("_n").over(Window.partitionBy(*self.partition_by)).alias("_total"),
             )
             self.frame = out
             out = self._join_carry(carry).withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
@@ -210,19 +161,17 @@ class OrderedRows:
             out = out.withColumn(name, functions[how](c).over(window))
         if self.split:
             parts = self._cut().groupBy(*self.partition_by, RANGE).agg(
-                *[functions[how](c).alias(f"_{name}") for name, (how, c) in aggregates.items()],
-                F.lit(1).alias("_one"),
+                *[functions[how](c).alias(f"_{name}") for name, (how, c) in aggregates.items()]
             )
-            merge = {"count": F.sum}
+            merge = {**functions, "count": F.sum}
             carry = parts.select(
                 *self.partition_by,
                 RANGE,
                 *[
-                    merge.get(how, functions[how])(f"_{name}").over(self._earlier()).alias(f"_{name}")
+                    merge[how](f"_{name}").over(self._earlier()).alias(f"_{name}")
                     for name, (how, _) in aggregates.items()
                 ],
-                F.sum("_one").over(self._earlier()).alias("_one"),
-            ).filter(F.col("_one") > 0)
+            )
             self.frame = out
             out = self._join_carry(carry)
             for name, (how, _) in aggregates.items():
@@ -231,7 +180,7 @@ class OrderedRows:
                 else:
                     both = (F.least if how == "min" else F.greatest)(F.col(name), F.col(f"_{name}"))
                 out = out.withColumn(name, both)
-            out = out.drop("_one", *[f"_{name}" for name in aggregates])
+            out = out.drop(*[f"_{name}" for name in aggregates])
         self.frame = out
         return self
 
@@ -245,29 +194,29 @@ class OrderedRows:
 
     def _framed(self, reach: int, expressions: Mapping[str, Column], frame) -> OrderedRows:
         out = self.frame
-        if self.split and reach:
+        borrow = self.split and reach > 0
+        if borrow:
             borrowed = self._last_rows(reach).withColumn(BORROWED, F.lit(True))
             out = out.withColumn(BORROWED, F.lit(False)).unionByName(borrowed, allowMissingColumns=True)
         window = frame(self._window())
         for name, e in expressions.items():
             out = out.withColumn(name, e.over(window))
-        if self.split and reach:
-            out = out.filter(~F.col(BORROWED)).drop(BORROWED)
-        self.frame = out
+        self.frame = out.filter(~F.col(BORROWED)).drop(BORROWED) if borrow else out
         return self
 
     def _last_rows(self, reach: int) -> DataFrame:
-        """The ``reach`` rows before each range of a group, copied into that range.
+        """The ``reach`` rows before each range of a cut group, copied into that range.
 
         Only the last ``reach`` rows of each (group, range) are kept before anything is collected.
         """
         backwards = Window.partitionBy(*self.partition_by, RANGE).orderBy(*sort_columns(reverse(self.order_by)))
+        last = F.collect_list(F.struct((-F.col("_back")).alias("_back"), *self.columns))
         tails = (
             self._cut()
             .withColumn("_back", F.row_number().over(backwards))
             .filter(F.col("_back") <= reach)
             .groupBy(*self.partition_by, RANGE)
-            .agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("_back"), *self.columns))).alias("_tail"))
+            .agg(F.array_sort(last).alias("_tail"))
         )
         nearby = Window.partitionBy(*self.partition_by).orderBy(RANGE).rowsBetween(-reach, -1)
         earlier = F.flatten(F.collect_list("_tail").over(nearby))
@@ -283,10 +232,14 @@ class OrderedRows:
 
 
 def global_row_number(
-    df: DataFrame, order_by: Sequence[str], name: str = "position", rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame,
+    order_by: Sequence[str],
+    name: str = "position",
+    rows_per_range: int = ROWS_PER_RANGE,
+    store: bool = False,
 ) -> DataFrame:
     """Rank over the whole table without moving it into one task."""
-    return OrderedRows(df, order_by, rows_per_range=rows_per_range).number(name).result()
+    return OrderedRows(df, order_by, (), rows_per_range, store).number(name).result()
 
 
 def row_number_per(
@@ -295,5 +248,6 @@ def row_number_per(
     order_by: Sequence[str],
     name: str,
     rows_per_range: int = ROWS_PER_RANGE,
+    store: bool = False,
 ) -> DataFrame:
-    return OrderedRows(df, order_by, partition_by, rows_per_range).number(name).result()
+    return OrderedRows(df, order_by, partition_by, rows_per_range, store).number(name).result()

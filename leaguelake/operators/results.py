@@ -59,7 +59,7 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: str, total: str, value
     Equal order values form one step, as in a range frame.
     """
     steps = df.groupBy(*keys, order).agg(F.sum(value).alias(total))
-    return OrderedRows(steps, [order], keys).running(**{name: ("sum", total)}).result()
+    return OrderedRows(steps, [order], keys, store=True).running(**{name: ("sum", total)}).result()
 
 
 def rolling_form(

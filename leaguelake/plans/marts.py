@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake import values
@@ -57,7 +57,7 @@ def rates(table: DataFrame) -> DataFrame:
 def league_table(matches: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Ranked table with rates and qualification zones from match results."""
     table = standings(match_sides(matches))
-    ranked = global_row_number(table, TABLE_ORDER, "position", rows_per_range)
+    ranked = global_row_number(table, TABLE_ORDER, "position", rows_per_range, store=True)
     return rates(ranked).withColumn("qualification_zone", C.zone("position", "midtable"))
 
 
@@ -90,13 +90,11 @@ def clean_scorers(scorers: DataFrame, order_by: Sequence[str] = NEWEST) -> DataF
 
 
 def top_scorers(scorers: DataFrame, n: int = 30, order_by: Sequence[str] = NEWEST) -> DataFrame:
-    """The best ``n`` scorers, ranked after the top-n so that the ranking sees ``n`` rows only."""
-    best = (
-        clean_scorers(scorers, order_by).orderBy(F.desc("goals"), F.desc("assists"), "player_id").limit(n)
-    )
-    ranked = global_row_number(best, ["-goals", "-assists", "player_id"], "rank")
-    return ranked.select(
-        "rank",
+    """The best ``n`` scorers, ranked after the top-n so that the ranking's single window sees ``n`` rows only."""
+    order = [F.desc("goals"), F.desc("assists"), F.asc("player_id")]
+    best = clean_scorers(scorers, order_by).orderBy(*order).limit(n)
+    return best.select(
+        F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"),
         "player_id",
         "player_name",
         "team_name",

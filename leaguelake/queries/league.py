@@ -9,6 +9,7 @@ from leaguelake.operators.joins import with_side_counts
 from leaguelake.operators.ordered import global_row_number
 from leaguelake.plans import marts
 from leaguelake.plans.adapters import NEWEST, NEWEST_READING, cte, load
+from leaguelake.session import stored
 from leaguelake.queries.registry import (
     FORM,
     LEAGUE,
@@ -40,7 +41,8 @@ def table(spark, sf_dir):
 
 
 def finished(spark, sf_dir):
-    return marts.finished_results(load(spark, sf_dir, "live_matches"), order_by=NEWEST)
+    """Deduplicated results, stored once: races, form and position history all start from them."""
+    return stored(marts.finished_results(load(spark, sf_dir, "live_matches"), order_by=NEWEST), "finished")
 
 
 def live_table(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -38,6 +38,13 @@ def shared_folder(spark: SparkSession) -> str:
     return configured
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Compute a table once, write it to the shared folder and read it back: its lineage ends there."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder; nothing is created yet."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

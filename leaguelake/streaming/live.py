@@ -17,7 +17,7 @@ from leaguelake import values
 from leaguelake.functions import columns as C
 from leaguelake.operators.events import event_counts, goals, is_goal
 from leaguelake.operators.history import latest_per_key
-from leaguelake.operators.ordered import range_key, sort_columns
+from leaguelake.operators.ordered import order_key, sort_columns
 from leaguelake.operators.quality import has_error, with_violations
 from leaguelake.sources.landing import stamped
 
@@ -197,5 +197,5 @@ def poll(feed: DataFrame, path: str, checkpoint: str, at: Column | None = None)
 def latest_state(stream: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Latest row per key as a running aggregate; the state holds one row per key."""
     rest = [c for c in stream.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), range_key(stream, [], order_by)).alias("_state")
+    first = F.min_by(F.struct(*rest), order_key(stream, order_by)).alias("_state")
     return stream.groupBy(*keys).agg(first).select(*keys, "_state.*")
