@@ -175,14 +175,11 @@ def as_of_versions(
 ) -> DataFrame:
     """For each (entity, period) row the version that is valid then; rows outside all versions are kept.
 
-    Equi-join on the entity with the bounds as the residual condition. Versions of an entity do not overlap and
-    their number is at most the number of periods, so the join does not multiply rows.
+    Versions are laid out as one row per period they cover - at most entities x periods rows - so the lookup is an
+    equi-join on both columns: no range condition, and a large entity is spread over its periods.
     """
-    on = (F.col(f"p.{entity}") == F.col(f"v.{entity}")) & F.col(f"p.{period}").between(
-        F.col("v.valid_from_matchday"), F.col("v.valid_to_matchday")
-    )
-    added = [c for c in versions.columns if c not in points.columns]
-    return points.alias("p").join(versions.alias("v"), on, "left").select("p.*", *[f"v.{c}" for c in added])
+    covered = versions.withColumn(period, F.explode(F.sequence("valid_from_matchday", "valid_to_matchday")))
+    return points.join(covered, [entity, period], "left")
 
 
 def biggest_movers(versions: DataFrame, entity: str = "team_name") -> DataFrame:
