@@ -138,19 +138,14 @@ def replay_schedule(
     speed = max(1, min(int(speed), 100))
     timed = events.withColumn("clock_seconds", F.col("minute") * 60 + F.col("second"))
     previous = F.coalesce(F.col("_before"), F.lit(0))
-    delayed = (
+    return (
         OrderedRows(timed, order_by, ["match_id"], rows_per_range)
         .previous(_before="clock_seconds")
-        .result()
-        .withColumn("delay_seconds", F.greatest(F.lit(0), F.col("clock_seconds") - previous))
-        .drop("_before")
-    )
-    return (
-        OrderedRows(delayed, order_by, ["match_id"], rows_per_range)
+        .derive(delay_seconds=F.greatest(F.lit(0), F.col("clock_seconds") - previous))
         .number("index", from_end="_back")
         .running(_elapsed=("sum", "delay_seconds"))
         .result()
         .withColumn("total", F.col("index") + F.col("_back") - 1)
         .withColumn("emit_ms", F.col("_elapsed") * 1000.0 / speed)
-        .drop("_elapsed", "_back")
+        .drop("_elapsed", "_back", "_before")
     )

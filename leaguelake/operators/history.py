@@ -70,13 +70,15 @@ def change_islands(
     df: DataFrame, entity: Sequence[str], order_by: Sequence[str], tracked: str, name: str = "version_group"
 ) -> DataFrame:
     """Number runs of equal ``tracked`` values; a run starts where the value differs from the row before."""
-    marked = (
+    before = F.col("_previous")
+    return (
         OrderedRows(df, order_by, entity)
         .previous(_previous=tracked)
+        .derive(_changed=C.flag(before.isNull() | (before != F.col(tracked))))
+        .running(**{name: ("sum", "_changed")})
         .result()
-        .withColumn("_changed", C.flag(F.col("_previous").isNull() | (F.col("_previous") != F.col(tracked))))
+        .drop("_changed", "_previous")
     )
-    return OrderedRows(marked, order_by, entity).running(**{name: ("sum", "_changed")}).result().drop("_changed")
 
 
 def period_totals(

@@ -9,17 +9,23 @@ from pyspark.sql import functions as F
 
 SALTS = 64
 MOST_HOT_KEYS = 256
+TRACKED_KEYS = 4096
+SHARDS = 256
 HOT_SHARE = 0.002
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """One row with the array of keys that hold more than ``share`` of the rows.
 
-    A frequent-items sketch: one scan of the key column, no shuffle of keys, at most ``MOST_HOT_KEYS`` entries.
+    Frequent-items sketches of bounded size: one scan of the key column and no shuffle of keys. The sketches of the
+    tasks are merged in ``SHARDS`` groups before the last merge.
     """
-    return df.agg(
-        F.expr(f"approx_top_k({key}, {MOST_HOT_KEYS})").alias("top"), F.count(F.lit(1)).alias("n")
-    ).select(
+    shards = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SHARDS)).alias("shard")).agg(
+        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+    merged = shards.agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"), F.sum("n").alias("n"))
+    top = F.expr(f"approx_top_k_estimate(sketch, {MOST_HOT_KEYS})")
+    return merged.select(top.alias("top"), "n").select(
         F.transform(F.filter("top", lambda t: t["count"] > F.col("n") * share), lambda t: t["item"]).alias("hot")
     )
 

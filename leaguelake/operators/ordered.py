@@ -1,8 +1,8 @@
 """Row numbers, running values and rolling frames that stay parallel when one group holds most of the rows.
 
 A window function sorts each of its groups in one task. That is fine for many small groups, but not for a ranking
-over a whole table (one group) or for a key that holds a third of all rows. Above ``rows_per_range`` rows,
-``OrderedRows`` therefore cuts the total order (group columns, then order columns) into ranges:
+over a whole table (one group) or for a key that holds a third of all rows. Where a group has more than
+``rows_per_range`` rows, ``OrderedRows`` therefore cuts the total order (group columns, then order columns) into ranges:
 
 * Spark range-partitions the rows by that order, which splits large groups evenly, and writes them once to the shared
   folder together with the number of their range; everything after that reads the written table;
@@ -11,8 +11,8 @@ over a whole table (one group) or for a key that holds a third of all rows. Abov
   separately. The border between two ranges cuts at most one group, so there are fewer cut groups than ranges and the
   carry rows can be broadcast whatever the size of the data.
 
-The ranges decide only where rows are processed, never the result. With fewer rows the plan is the plain window. The
-order must be unique inside a group (add a tie-break column).
+The ranges decide only where rows are processed, never the result. Without a large group the plan is the plain window.
+The order must be unique inside a group (add a tie-break column).
 """
 
 from __future__ import annotations
@@ -94,11 +94,19 @@ class OrderedRows:
         self.partition_by, self.order_by = list(partition_by), list(order_by)
         self.columns = df.columns
         rows = stored(df, "rows") if store else df
-        ranges = min(-(-rows.count() // rows_per_range), MAX_RANGES)
+        ranges = self._ranges(rows, rows_per_range)
         self.split = ranges > 1
         self.base = self._in_ranges(rows, ranges) if self.split else rows
         self.frame = self.base
 
+    def _ranges(self, df: DataFrame, rows_per_range: int) -> int:
+        total = df.count()
+        if total > rows_per_range and self.partition_by:
+            sizes = df.groupBy(*self.partition_by).agg(F.count(F.lit(1)).alias("n"))
+            if sizes.agg(F.max("n")).first()[0] <= rows_per_range:
+                return 1
+        return min(-(-total // rows_per_range), MAX_RANGES)
+
     def _in_ranges(self, df: DataFrame, ranges: int) -> DataFrame:
         order = [*sort_columns(self.partition_by), *sort_columns(self.order_by)]
         return stored(df.repartitionByRange(ranges, *order).withColumn(RANGE, F.spark_partition_id()), "ranges")
@@ -127,6 +135,12 @@ class OrderedRows:
         added = [c for c in carry.columns if c not in (*self.partition_by, RANGE)]
         return joined.select("rows.*", *[F.col(f"carry.{c}") for c in added])
 
+    def derive(self, **columns: Column) -> OrderedRows:
+        """Add row expressions; later windows can use them and the columns added so far."""
+        self.frame = self.base = self.frame.withColumns(columns)
+        self.columns = [c for c in self.base.columns if c != RANGE]
+        return self
+
     def number(self, name: str, from_end: str | None = None) -> OrderedRows:
         """Row number from 1 in ``name``; with ``from_end`` also the row number counted from the last row."""
         window = self._window()
@@ -139,14 +153,14 @@ class OrderedRows:
             carry = counts.select(
                 *self.partition_by,
                 RANGE,
-                F.sum("_n").over(self._earlier()).alias("_before"),
-                F.sum("_n").over(Window.partitionBy(*self.partition_by)).alias("_total"),
+                F.sum("_n").over(self._earlier()).alias("_rows_before"),
+                F.sum("_n").over(Window.partitionBy(*self.partition_by)).alias("_rows_total"),
             )
             self.frame = out
-            out = self._join_carry(carry).withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
+            out = self._join_carry(carry).withColumn(name, F.col(name) + F.coalesce("_rows_before", F.lit(0)))
             if from_end:
-                out = out.withColumn(from_end, F.coalesce("_total", from_end))
-            out = out.drop("_before", "_total")
+                out = out.withColumn(from_end, F.coalesce("_rows_total", from_end))
+            out = out.drop("_rows_before", "_rows_total")
         if from_end:
             out = out.withColumn(from_end, F.col(from_end) - F.col(name) + 1)
         self.frame = out
@@ -161,14 +175,14 @@ class OrderedRows:
             out = out.withColumn(name, functions[how](c).over(window))
         if self.split:
             parts = self._cut().groupBy(*self.partition_by, RANGE).agg(
-                *[functions[how](c).alias(f"_{name}") for name, (how, c) in aggregates.items()]
+                *[functions[how](c).alias(f"_carry_{name}") for name, (how, c) in aggregates.items()]
             )
             merge = {**functions, "count": F.sum}
             carry = parts.select(
                 *self.partition_by,
                 RANGE,
                 *[
-                    merge[how](f"_{name}").over(self._earlier()).alias(f"_{name}")
+                    merge[how](f"_carry_{name}").over(self._earlier()).alias(f"_carry_{name}")
                     for name, (how, _) in aggregates.items()
                 ],
             )
@@ -176,11 +190,11 @@ class OrderedRows:
             out = self._join_carry(carry)
             for name, (how, _) in aggregates.items():
                 if how in ("sum", "count"):
-                    both = F.coalesce(F.col(name) + F.col(f"_{name}"), name, f"_{name}")
+                    both = F.coalesce(F.col(name) + F.col(f"_carry_{name}"), name, f"_carry_{name}")
                 else:
-                    both = (F.least if how == "min" else F.greatest)(F.col(name), F.col(f"_{name}"))
+                    both = (F.least if how == "min" else F.greatest)(F.col(name), F.col(f"_carry_{name}"))
                 out = out.withColumn(name, both)
-            out = out.drop(*[f"_{name}" for name in aggregates])
+            out = out.drop(*[f"_carry_{name}" for name in aggregates])
         self.frame = out
         return self
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from leaguelake.operators import events as E
 from leaguelake.operators.joins import absent, enrich, present
 from leaguelake.plans.adapters import cte, load, table
+from leaguelake.queries.league import sides
 from leaguelake.queries.registry import ASSIST, CLEAN, EVENTS, GOAL, SIDES, query, with_ctes
 from leaguelake.sources.landing import sample_keys
 
@@ -160,31 +163,33 @@ def replay_events(spark, sf_dir):
     )
 
 
-SCHEDULE = with_ctes(
-    *EVENTS,
-    select="""SELECT event_id, match_id, index, total, delay_seconds, CAST(sum(delay_seconds) OVER (PARTITION BY match_id
+
+def schedule_sql(match: str) -> str:
+    return with_ctes(
+        *EVENTS,
+        f"timed AS (SELECT * REPLACE ({match} AS match_id) FROM match_events)",
+        select="""SELECT event_id, match_id, index, total, delay_seconds, CAST(sum(delay_seconds) OVER (PARTITION BY match_id
  ORDER BY index) AS DOUBLE) * 1000 / 10 AS emit_ms FROM (SELECT event_id, match_id, row_number() OVER w AS index,
  count(*) OVER (PARTITION BY match_id) AS total,
- greatest(0, minute * 60 + second - coalesce(lag(minute * 60 + second) OVER w, 0)) AS delay_seconds FROM match_events
+ greatest(0, minute * 60 + second - coalesce(lag(minute * 60 + second) OVER w, 0)) AS delay_seconds FROM timed
  WINDOW w AS (PARTITION BY match_id ORDER BY period, minute, second, index_num))""",
-)
+    )
 
 
-def schedule(spark, sf_dir, **options):
-    return E.replay_schedule(events(spark, sf_dir), speed=10, **options).select(
-        "event_id", "match_id", "index", "total", "delay_seconds", "emit_ms"
-    )
+SCHEDULE_COLUMNS = ["event_id", "match_id", "index", "total", "delay_seconds", "emit_ms"]
 
 
-@query(SCHEDULE)
+@query(schedule_sql("match_id"))
 def replay_schedule(spark, sf_dir):
-    return schedule(spark, sf_dir)
+    return E.replay_schedule(events(spark, sf_dir), speed=10).select(*SCHEDULE_COLUMNS)
 
 
-@query(SCHEDULE)
+@query(schedule_sql("match_id % 3"))
 def replay_schedule_in_ranges(spark, sf_dir):
-    """The same with matches cut into ranges, as one very large match would be."""
-    return schedule(spark, sf_dir, rows_per_range=20_000)
+    """Three very large matches, cut into ranges."""
+    large = events(spark, sf_dir).withColumn("match_id", F.col("match_id") % 3)
+    schedule = E.replay_schedule(large, speed=10, rows_per_range=max(1, large.count() // 10))
+    return schedule.select(*SCHEDULE_COLUMNS)
 
 
 @query(
@@ -195,9 +200,5 @@ def replay_schedule_in_ranges(spark, sf_dir):
     )
 )
 def having_on_aggregate(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from leaguelake.queries.league import sides
-
     totals = sides(spark, sf_dir, "season_id").groupBy("team_id", "season_id").agg(F.sum("pts").alias("points"))
     return totals.filter("points > 100")

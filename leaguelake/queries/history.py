@@ -94,9 +94,7 @@ def period_totals(spark, sf_dir):
 )
 def change_islands(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    return (
-        history.change_islands(rows, ["user_id"], ["ts", "event_id"], "event_type").drop("ts", "_previous")
-    )
+    return history.change_islands(rows, ["user_id"], ["ts", "event_id"], "event_type").drop("ts")
 
 
 @query(
@@ -106,7 +104,7 @@ def change_islands(spark, sf_dir):
 def previous_row(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     return (
-        OrderedRows(rows, ["ts", "event_id"], ["user_id"], rows_per_range=20_000)
+        OrderedRows(rows, ["ts", "event_id"], ["user_id"])
         .previous(previous_type="event_type")
         .result()
         .drop("event_type", "ts")

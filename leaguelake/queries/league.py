@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from leaguelake.operators import results
 from leaguelake.operators.joins import with_side_counts
-from leaguelake.operators.ordered import global_row_number
+from leaguelake.operators.ordered import OrderedRows, global_row_number
 from leaguelake.plans import marts
 from leaguelake.plans.adapters import NEWEST, NEWEST_READING, cte, load
 from leaguelake.session import stored
@@ -85,7 +85,7 @@ def league_table(spark, sf_dir):
 )
 def global_ranking(spark, sf_dir):
     df = load(spark, sf_dir, "matches").select("match_id", "match_date")
-    return global_row_number(df, ["-match_date", "match_id"], rows_per_range=20_000)
+    return global_row_number(df, ["-match_date", "match_id"], rows_per_range=5_000)
 
 
 @query(with_ctes(*LIVE_STATE, select="SELECT * EXCLUDE (matchday_approx), matchday_approx AS matchday FROM live_state"))
@@ -112,7 +112,8 @@ def rolling_form(spark, sf_dir):
 @query(with_ctes(*FORM, select="SELECT * FROM form"))
 def rolling_form_in_ranges(spark, sf_dir):
     """The same with teams cut into ranges, as a very large team would be."""
-    return marts.form(finished(spark, sf_dir), rows_per_range=5_000)
+    results = finished(spark, sf_dir)
+    return marts.form(results, rows_per_range=max(1, results.count() // 20))
 
 
 @query(
@@ -124,8 +125,6 @@ def rolling_form_in_ranges(spark, sf_dir):
     )
 )
 def running_totals(spark, sf_dir):
-    from leaguelake.operators.ordered import OrderedRows
-
     rows = marts.live_sides(finished(spark, sf_dir), "match_id", "matchday")
     return (
         OrderedRows(rows, ["matchday", "match_id"], ["team_name"])

@@ -33,6 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="leaguelake-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured
