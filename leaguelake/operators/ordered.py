@@ -81,6 +81,7 @@ class OrderedRows:
 
     Each method adds columns and returns the object; ``result()`` gives the DataFrame. The rows are counted first;
     with ``store`` they are written once before, for rows that are expensive to compute and few, such as aggregates.
+    Call ``rolling`` and ``previous`` first: they add the borrowed rows, and later windows reuse their shuffle and sort.
     """
 
     def __init__(
