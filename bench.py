@@ -14,14 +14,11 @@ HEADLINE = [
     "standings",
     "global_ranking",
     "live_matches",
-    "live_league_table",
     "points_race",
     "rolling_form",
     "rolling_form_in_ranges",
-    "recent_form_per_side",
     "scd1_matches",
     "scd2_standings",
-    "as_of_versions",
     "dim_teams",
     "dim_matchdays",
     "stadium_weather",
@@ -29,17 +26,14 @@ HEADLINE = [
     "event_scorers",
     "match_events",
     "match_stats",
-    "replay_events",
     "replay_schedule",
     "infer_rounds",
     "match_feed",
-    "season_csv",
     "contract_violations",
     "contract_gate",
     "quality_report",
     "insert_new_keys",
     "entity_documents",
-    "served_league_table",
     "stream_counts_by_type",
     "stream_latest_state",
 ]

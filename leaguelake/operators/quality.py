@@ -31,13 +31,17 @@ class Record:
         self.column = column
         self.valued = [*contract["enums"], *contract["ranges"]]
         nested = [f"{parent}.{c}" for parent, children in contract["nested"].items() for c in children]
-        self.paths = list(dict.fromkeys([*contract["required"], *contract["types"], *self.valued, *nested]))
+        self.typed = list(dict.fromkeys([*contract["types"], *self.valued, *contract["nested"]]))
+        self.untyped = [p for p in dict.fromkeys([*contract["required"], *nested]) if p not in self.typed]
 
     def fields(self) -> dict[str, Column]:
         out = {}
-        for path in self.paths:
+        for path in [*self.typed, *self.untyped]:
             value = F.try_variant_get(F.col(self.column), f"$.{path}", "variant")
-            out[_field(self.column, path, "kind")] = F.schema_of_variant(value)
+            if path in self.typed:
+                out[_field(self.column, path, "kind")] = F.schema_of_variant(value)
+            else:
+                out[_field(self.column, path, "missing")] = value.isNull()
         for path in self.valued:
             for part in ("string", "double"):
                 out[_field(self.column, path, part)] = F.try_variant_get(F.col(self.column), f"$.{path}", part)
@@ -48,7 +52,9 @@ class Record:
         return F.col(_field(self.column, path, "kind"))
 
     def missing(self, path: str) -> Column:
-        return self.kind(path).isNull()
+        if path in self.typed:
+            return self.kind(path).isNull()
+        return F.col(_field(self.column, path, "missing"))
 
     def given(self, path: str) -> Column:
         """Present and not null."""

@@ -60,7 +60,8 @@ def land_matches(
         return gate
     accepted = good.unionByName(rows.filter(~is_primary)).drop("source_used")
     landing.append_bronze(accepted, f"{lake}/bronze/live_matches", at)
-    landing.run_log(spark, f"{lake}/bronze/pipeline_runs", "live_matches", "success", "", accepted.count())
+    written = gate.first().records_passed + rows.filter(~is_primary).count()
+    landing.run_log(spark, f"{lake}/bronze/pipeline_runs", "live_matches", "success", "", written)
     return gate
 
 

@@ -168,7 +168,7 @@ CSV_SQL = with_ctes(
     """folded AS (SELECT d, i, 1 AS round, n AS played FROM days WHERE i = 1 UNION ALL SELECT y.d, y.i,
  CASE WHEN y.d - f.d > 3 AND f.played >= 8 THEN f.round + 1 ELSE f.round END,
  CASE WHEN y.d - f.d > 3 AND f.played >= 8 THEN y.n ELSE f.played + y.n END FROM folded f JOIN days y ON y.i = f.i + 1)""",
-    select=f"""SELECT CAST(10000 + row_number() OVER (ORDER BY match_id) AS INT) AS match_id, home_score, away_score,
+    select=f"""SELECT 10000 + row_number() OVER (ORDER BY match_id) AS match_id, home_score, away_score,
  dated.d AS match_date, 2324 AS competition_id, 'Premier League' AS competition_name, 2324 AS season_id,
  '2023/2024' AS season_name, '15:00:00' AS kick_off, {sql_map(f'({HOME_NAME})', values.CLUB_IDS, '99')} AS home_team_id,
  {HOME_NAME} AS home_team_name, {sql_map(f'({AWAY_NAME})', values.CLUB_IDS, '99')} AS away_team_id,
@@ -209,7 +209,7 @@ def surrogate_ids(spark, sf_dir):
 @query(
     with_ctes(
         cte("matches"),
-        select="""SELECT CAST(match_id AS INT) AS match_id, competition_id, '' AS competition_name,
+        select="""SELECT match_id, competition_id, '' AS competition_name,
  CASE WHEN match_id % 3 = 0 THEN 0 ELSE season_id END AS season_id, CAST(season_id AS STRING) AS season_name,
  match_date, '00:00:00' AS kick_off, home_team_id, home_team_name, away_team_id, away_team_name, home_score,
  away_score, match_status, CASE WHEN matchday % 5 = 0 THEN 0 ELSE matchday END AS matchday,
@@ -247,7 +247,7 @@ def provider_matches(spark, sf_dir):
     with_ctes(
         cte("match_events"),
         select="""SELECT CAST(event_id AS STRING) AS event_id, match_id, CAST(index_num AS INT) AS index_num, period, minute,
- second, event_type, team_id, team_name, CAST(player_id AS INT) AS player_id, player_name,
+ second, event_type, team_id, team_name, player_id, player_name,
  CASE WHEN event_id % 2 = 0 THEN 'Wing' ELSE NULL END AS position_name,
  CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 120 AS FLOAT) END AS location_x,
  CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 80 AS FLOAT) END AS location_y,
@@ -281,7 +281,7 @@ def provider_events(spark, sf_dir):
 
 @query(
     """SELECT CAST(o_orderkey AS BIGINT) AS match_id, CAST(c.c_nationkey AS INT) AS team_id,
- 'Team ' || CAST(o_orderkey % 2 AS STRING) AS team_name, CAST(o_custkey AS INT) AS player_id, c.c_name AS player_name,
+ 'Team ' || CAST(o_orderkey % 2 AS STRING) AS team_name, o_custkey AS player_id, c.c_name AS player_name,
  CASE WHEN c.c_custkey % 4 = 0 THEN 0 ELSE CAST(c.c_custkey % 99 AS INT) END AS jersey_number,
  CASE WHEN c.c_custkey % 3 = 0 OR c.c_custkey % 20 = 0 THEN NULL ELSE CAST(c.c_custkey % 20 AS INT) END AS position_id,
  CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE 'Left Back' END AS position_name

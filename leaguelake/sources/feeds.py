@@ -161,14 +161,14 @@ def standings_from_table(table: DataFrame, top: int = 20) -> DataFrame:
 def normalize_provider_matches(rows: DataFrame) -> DataFrame:
     """Provider match rows: missing ids and match weeks become 0, missing scores stay NULL."""
 
-    def number(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("int"), F.lit(0))
+    def number(name: str, kind: str = "int") -> Column:
+        return F.coalesce(F.col(name).cast(kind), F.lit(0).cast(kind))
 
     def text(name: str, default: str = "") -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(default))
 
     fields = [
-        number("match_id").alias("match_id"),
+        number("match_id", "long").alias("match_id"),
         number("competition_id").alias("competition_id"),
         text("competition").alias("competition_name"),
         number("season_id").alias("season_id"),
@@ -202,7 +202,7 @@ def normalize_events(rows: DataFrame) -> DataFrame:
         F.col("type").alias("event_type"),
         F.coalesce(F.col("team_id").cast("int"), F.lit(0)).alias("team_id"),
         F.col("team").alias("team_name"),
-        F.col("player_id").cast("int").alias("player_id"),
+        F.col("player_id").cast("long").alias("player_id"),
         F.col("player").alias("player_name"),
         F.col("position").alias("position_name"),
         F.when(pair, F.get("location", 0)).cast("float").alias("location_x"),
@@ -223,7 +223,7 @@ def normalize_lineups(rows: DataFrame) -> DataFrame:
         "match_id",
         F.coalesce(F.col("p.team_id").cast("int"), F.lit(0)).alias("team_id"),
         "team_name",
-        F.coalesce(F.col("p.player_id").cast("int"), F.lit(0)).alias("player_id"),
+        F.coalesce(F.col("p.player_id").cast("long"), F.lit(0).cast("long")).alias("player_id"),
         F.col("p.player_name").alias("player_name"),
         F.coalesce(F.col("p.jersey_number").cast("int"), F.lit(0)).alias("jersey_number"),
         F.nullif(first["position_id"].cast("int"), F.lit(0)).alias("position_id"),
@@ -316,7 +316,7 @@ def normalize_season_csv(
     unknown = F.lit(values.UNKNOWN_CLUB_ID)
     home_score = C.number_from_text("FTHG", "double").cast("int")
     return rounds.filter(home_score.isNotNull()).select(
-        F.col("match_id").cast("int").alias("match_id"),
+        "match_id",
         F.lit(constants["competition_id"]).alias("competition_id"),
         F.lit(values.DEFAULT_COMPETITION).alias("competition_name"),
         "season_id",

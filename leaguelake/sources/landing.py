@@ -50,6 +50,8 @@ def first_available(*sources: tuple[str, DataFrame | Callable[[], DataFrame]], l
         except Exception:  # an unreadable source falls through to the next one
             continue
         frames.append((priority, df.withColumn(label, F.lit(name))))
+    if not frames:
+        raise ValueError("no source could be read")
     seen = [df.select(F.lit(p).alias("priority")).limit(1) for p, df in frames]
     best = reduce(DataFrame.union, seen).agg(F.min("priority")).scalar()
     tagged = [df.filter(F.lit(p) == best) for p, df in frames]

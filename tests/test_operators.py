@@ -184,6 +184,7 @@ def test_hot_key_join(spark):
     out = joins.enrich(fact, dim, "match_id", ["event_id"])
     assert out.count() == 5000 == out.select("event_id").distinct().count()
     assert out.filter("twice != match_id * 2").isEmpty()
+    assert joins.enrich(fact.limit(0), dim, "match_id", ["event_id"]).isEmpty()
 
 
 def test_landing_is_idempotent(spark):
