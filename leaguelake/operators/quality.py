@@ -85,42 +85,51 @@ def _type_name(kind: Column) -> Column:
     )
 
 
-def _violation(condition: Column, field: str, rule: str, message: Column, severity: str = "ERROR") -> Column:
-    return F.when(
-        condition,
-        F.struct(
-            F.lit(field).alias("field"),
-            F.lit(rule).alias("rule"),
-            message.alias("message"),
-            F.lit(severity).alias("severity"),
-        ),
-    )
+@dataclass(frozen=True)
+class Rule:
+    """A condition that a record breaks, and how the violation is reported."""
+
+    broken: Column
+    field: str
+    rule: str
+    message: Column
+    severity: str = "ERROR"
+
+    def violation(self) -> Column:
+        return F.when(
+            self.broken,
+            F.struct(
+                F.lit(self.field).alias("field"),
+                F.lit(self.rule).alias("rule"),
+                self.message.alias("message"),
+                F.lit(self.severity).alias("severity"),
+            ),
+        )
 
 
-def _rules(record: Record, contract: Mapping) -> list[Column]:
+def _rules(record: Record, contract: Mapping) -> list[Rule]:
     out = [
-        _violation(record.missing(f), f, "required", F.lit(f"Missing required field: {f}"))
-        for f in contract["required"]
+        Rule(record.missing(f), f, "required", F.lit(f"Missing required field: {f}")) for f in contract["required"]
     ]
     for f, expected in contract["types"].items():
         kind = record.kind(f)
         message = F.concat(F.lit(f"Expected {expected}, got "), _type_name(kind))
-        out.append(_violation(record.given(f) & ~_is_type(kind, expected), f, "type", message))
+        out.append(Rule(record.given(f) & ~_is_type(kind, expected), f, "type", message))
     for f, allowed in contract["enums"].items():
         text = F.coalesce(record.text(f), F.lit("None"))
         fits = record.given(f) & (record.kind(f) == "STRING") & text.isin(*allowed)
         message = F.concat(F.lit("Value '"), text, F.lit(f"' not in allowed values: {list(allowed)}"))
-        out.append(_violation(~record.missing(f) & ~fits, f, "enum", message, "WARN"))
+        out.append(Rule(~record.missing(f) & ~fits, f, "enum", message, "WARN"))
     for f, (low, high) in contract["ranges"].items():
         kind = record.kind(f)
         numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
         outside = record.given(f) & numeric & ~record.number(f).between(low, high)
         message = F.concat(F.lit("Value "), record.text(f), F.lit(f" outside range [{low}, {high}]"))
-        out.append(_violation(outside, f, "range", message))
+        out.append(Rule(outside, f, "range", message))
     for parent, children in contract["nested"].items():
         is_object = F.coalesce(record.kind(parent).startswith("OBJECT"), F.lit(False))
         out.extend(
-            _violation(
+            Rule(
                 is_object & record.missing(f"{parent}.{c}"),
                 f"{parent}.{c}",
                 "nested_required",
@@ -131,23 +140,41 @@ def _rules(record: Record, contract: Mapping) -> list[Column]:
     return out
 
 
-def with_violations(df: DataFrame, contract: Mapping, record: str = "raw_json") -> DataFrame:
-    """Add the array ``violations`` to each record, in rule order; empty for a record that meets the contract."""
+def _read(df: DataFrame, contract: Mapping, record: str) -> tuple[DataFrame, Column, list[Rule]]:
+    """The records with their fields as columns, whether a record is no JSON object, and the rules."""
     read = Record("_record", contract)
-    fields = read.fields()
     parsed = (
         df.withColumn("_record", F.try_parse_json(F.col(record)))
-        .withColumn("_record_kind", F.schema_of_variant("_record"))
-        .withColumns(fields)
-    )
-    no_object = F.coalesce(~F.col("_record_kind").startswith("OBJECT"), F.lit(True))
-    broken = _violation(F.lit(True), record, "json", F.lit("Record is not a JSON object"))
-    found = F.when(no_object, F.array(broken)).otherwise(F.array_compact(F.array(*_rules(read, contract))))
-    # A filter on the violations would be pushed below the projections and repeat all of their work in the filter;
-    # it does not pass a generator, so the array is handed on through one that yields exactly one row.
-    return parsed.select(*df.columns, F.explode(F.array(F.struct(found.alias("found")))).alias("_once")).select(
-        *df.columns, F.col("_once.found").alias("violations")
+        .withColumn("_is_object", F.try_variant_get("_record", "$", "map<string,variant>").isNotNull())
+        .withColumns(read.fields())
     )
+    return parsed, ~F.col("_is_object"), _rules(read, contract)
+
+
+def _handed_on(parsed: DataFrame, columns: Sequence[str], name: str, value: Column) -> DataFrame:
+    """``columns`` and one computed column.
+
+    A filter on that column would be pushed below the projections and repeat all of their work in the filter; it does
+    not pass a generator, so the value is handed on through one that yields exactly one row.
+    """
+    once = F.explode(F.array(F.struct(value.alias(name)))).alias("_once")
+    return parsed.select(*columns, once).select(*columns, f"_once.{name}")
+
+
+def _fails(no_object: Column, rules: Sequence[Rule]) -> Column:
+    out = no_object
+    for r in rules:
+        if r.severity == "ERROR":
+            out = out | F.coalesce(r.broken, F.lit(False))
+    return out
+
+
+def with_violations(df: DataFrame, contract: Mapping, record: str = "raw_json") -> DataFrame:
+    """Add the array ``violations`` to each record, in rule order; empty for a record that meets the contract."""
+    parsed, no_object, rules = _read(df, contract, record)
+    broken = Rule(F.lit(True), record, "json", F.lit("Record is not a JSON object")).violation()
+    found = F.array_compact(F.array(*[r.violation() for r in rules]))
+    return _handed_on(parsed, df.columns, "violations", F.when(no_object, F.array(broken)).otherwise(found))
 
 
 def violations(
@@ -169,10 +196,10 @@ def contract_gate(
     df: DataFrame, contract: Mapping, threshold: float = 0.1, record: str = "raw_json"
 ) -> DataFrame:
     """One row: valid while at most ``threshold`` of the records have an error; an empty batch is valid."""
-    failed = F.count_if(has_error())
+    parsed, no_object, rules = _read(df, contract, record)
+    failed = F.count_if(_fails(no_object, rules))
     return (
-        with_violations(df, contract, record)
-        .agg(F.count(F.lit(1)).alias("records_checked"), failed.alias("_failed"))
+        parsed.agg(F.count(F.lit(1)).alias("records_checked"), failed.alias("_failed"))
         .select(
             F.lit(contract["name"]).alias("contract_name"),
             F.coalesce(C.safe_divide("_failed", "records_checked") <= threshold, F.lit(True)).alias("valid"),
@@ -187,8 +214,9 @@ def contract_gate(
 
 def quarantine(df: DataFrame, contract: Mapping, record: str = "raw_json") -> tuple[DataFrame, DataFrame]:
     """Records without errors, and records with errors together with their violations."""
-    checked = with_violations(df, contract, record)
-    return checked.filter(~has_error()).drop("violations"), checked.filter(has_error())
+    parsed, no_object, rules = _read(df, contract, record)
+    good = _handed_on(parsed, df.columns, "_fails", _fails(no_object, rules)).filter(~F.col("_fails")).drop("_fails")
+    return good, with_violations(df, contract, record).filter(has_error())
 
 
 # checks -----------------------------------------------------------------------------------------------------------
