@@ -102,9 +102,6 @@ def standings_contract_violations(spark, sf_dir):
     return Q.violations(rows, values.STANDINGS_CONTRACT, ["o_orderkey"])
 
 
-NUMBER = "format('{:,}', {n})"
-
-
 def check_sql(name, category, passed, message, value, source, severity="critical"):
     return f"""SELECT '{name}' AS name, '{category}' AS category, {passed} AS passed, '{severity}' AS severity,
  {message} AS message, CAST({value} AS STRING) AS value FROM {source}"""

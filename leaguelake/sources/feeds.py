@@ -335,7 +335,9 @@ def normalize_season_csv(
     )
 
 
-def scorer_dim(rows: DataFrame, order_by: Sequence[str] = ("rank",), first_id: int = values.FIRST_SCORER_ID) -> DataFrame:
+def scorer_dim(
+    rows: DataFrame, order_by: Sequence[str] = ("rank",), first_id: int = values.FIRST_SCORER_ID
+) -> DataFrame:
     """Scorer table with ids, goal contributions and per-game rates (0 without matches)."""
     return surrogate_ids(rows, order_by, "player_id", first_id).select(
         (F.col("player_id") - (first_id - 1)).alias("rank"),
