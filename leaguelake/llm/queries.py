@@ -37,3 +37,19 @@ def op10_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@register
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from leaguelake.llm.bpe import read_definition
+    from leaguelake.llm.token_files import read, write
+
+    written = write(table(spark, sf_dir, "documents"), read_definition(path("word_bpe_49k.json")), end_id=2)
+    return read(spark, written).select(
+        F.col("id").alias("doc_id"),
+        "start",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
