@@ -25,7 +25,7 @@ def own_name(folder: str, label: str, suffix: str) -> str:
 def create(uri: str):
     system, path = place(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def load(uri: str):

@@ -53,3 +53,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@register
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm import warc
+
+    archives = warc.write(table(spark, sf_dir, "pages"))
+    return warc.records(warc.read(archives)).select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to"
+    )
