@@ -73,3 +73,80 @@ def op5_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     saying = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", saying), (-7, 1, "assistant", saying)], "conv_id long, turn long, role string, text string")
     return read_back(formatted(rows.unionByName(added)))
+
+
+@register
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm.winnowing import contamination
+
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """List entries over the hosts of the pages and their domains: some are blocked twice, some domains allowed for a while.
+    Dates are days since 2024-01-01, drawn from a digest of the name."""
+    from leaguelake.llm.url_lists import host, patterns
+
+    hosts = pages.select(host(F.col("url")).alias("host")).where("host <> ''").distinct()
+    names = hosts.select(F.explode(patterns(F.col("host"))).alias("pattern")).distinct()
+    drawn = names.withColumn("n", F.conv(F.substring(F.md5("pattern"), 1, 6), 16, 10).cast("int"))
+    day = F.col("n") % 300
+    rows = [
+        ("block", F.col("n") % 3 == 0, day, "add"),
+        ("block", F.col("n") % 3 == 0, day + 40, "remove"),
+        ("block", F.col("n") % 3 == 0, day + 90, "add"),
+        ("allow", F.col("n") % 5 == 0, day + 20, "add"),
+        ("allow", F.col("n") % 5 == 0, day + 120, "remove"),
+    ]
+    each = F.array(*(F.struct(F.lit(a).alias("list"), c.alias("applies"), d.alias("dated"), F.lit(x).alias("action")) for a, c, d, x in rows))
+    return drawn.select("pattern", F.explode(each).alias("e")).where("e.applies").select("e.list", "pattern", "e.dated", "e.action")
+
+
+@register
+def op4_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm.url_lists import decided, listed
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", (F.pmod(F.col("page_id") * 37, F.lit(366))).cast("int"))
+    out = decided(listed(captures, dated_entries(pages)))
+    lists = F.array_distinct(F.transform("listings", lambda x: x["list"]))
+    return out.select(
+        "page_id", "host", "fetched", F.size("listings").cast("long").alias("n_active"), F.array_join(lists, ",").alias("lists"), "blocked"
+    )
+
+
+SQL["op4_url_lists"] = r"""
+WITH captures AS (
+    SELECT page_id, CAST((page_id * 37) % 366 AS INTEGER) AS fetched,
+           lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host
+    FROM pages),
+asked AS (
+    SELECT page_id, fetched, host, string_split(host, '.') AS labels FROM captures),
+wanted AS (
+    SELECT page_id, fetched, host,
+           unnest(list_transform(range(1, greatest(len(labels) - 1, 1) + 1), lambda i: array_to_string(labels[i:], '.'))) AS pattern
+    FROM asked),
+drawn AS (
+    SELECT DISTINCT pattern, CAST('0x' || substr(md5(pattern), 1, 6) AS INTEGER) AS n FROM wanted WHERE host <> ''),
+spans AS (
+    SELECT 'block' AS list, pattern, n % 300 AS since, n % 300 + 40 AS until FROM drawn WHERE n % 3 = 0
+    UNION ALL SELECT 'block', pattern, n % 300 + 90, 1000000 FROM drawn WHERE n % 3 = 0
+    UNION ALL SELECT 'allow', pattern, n % 300 + 20, n % 300 + 120 FROM drawn WHERE n % 5 = 0),
+met AS (
+    SELECT DISTINCT page_id, list, w.pattern
+    FROM wanted w JOIN spans s ON w.pattern = s.pattern AND fetched >= since AND fetched < until),
+found AS (
+    SELECT page_id, count(*) AS n, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+           bool_or(list = 'block') AND NOT bool_or(list = 'allow') AS blocked
+    FROM met GROUP BY page_id)
+SELECT c.page_id, host, fetched, coalesce(n, 0) AS n_active, coalesce(lists, '') AS lists, coalesce(blocked, false) AS blocked
+FROM captures c LEFT JOIN found f ON c.page_id = f.page_id
+"""
