@@ -2,8 +2,7 @@
 
 A pair of bytes that no token of the vocabulary holds side by side can never be merged across, so a word may be cut
 there: the fragments are encoded each for itself and their ids joined. Words are what the vocabulary's splitting pattern
-finds; no match of it passes from other characters to white space, so a text falls into units (white space, then
-characters up to the next white space) whose words do not depend on their neighbours, and ids of short units are kept.
+finds; the ids of short words are kept, so that each is cut and merged once in a while only.
 
 Defined cases: null is encoded as the empty text, which has no ids; special tokens named in a text become their ids;
 an unpaired or unknown id cannot arise from encoding and fails decoding; rows that repeat are encoded each for itself.
@@ -13,6 +12,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,14 +21,27 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from leaguelake.llm.common import binaries
-
-MEMO_UNITS = 400_000
-MEMO_LENGTH = 64  # longer units are not remembered
+MEMO = 300_000
+MEMO_LENGTH = 64  # longer words are not remembered
 LONG = 200
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: how the vocabulary's authors split texts before merging.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^WHITE\p{L}\p{N}]+|[WHITE]+(?![^WHITE])|[WHITE]+".replace("WHITE", WHITE)
+PATTERN = r" ?[LETTER]+| ?[NUMBER]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^WHITELETTERNUMBER]+|[WHITE]+(?![^WHITE])|[WHITE]+"
+UNICODE = {"LETTER": r"\p{L}", "NUMBER": r"\p{N}", "WHITE": WHITE}
+LATIN = {"LETTER": "A-Za-zªµºÀ-ÖØ-öø-ÿ", "NUMBER": "0-9²³¹¼-¾", "WHITE": r"\t-\r \x85\xa0"}
+
+
+def splitter(classes: dict[str, str]) -> str:
+    return re.sub("LETTER|NUMBER|WHITE", lambda m: classes[m[0]], PATTERN)
+
+
+def is_latin(text: str) -> bool:
+    """Whether all characters are of Latin-1, for which the pattern's classes can be written out."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def byte_letters() -> dict[str, int]:
@@ -96,54 +110,41 @@ def merged_long(ids: list[int], get) -> list[int]:
 
 
 class Encoder(dict):
-    """Units of text and their ids as 32-bit integers, little-endian."""
+    """Words and their ids as 32-bit integers, little-endian."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.words = regex.compile(PATTERN)
-        self.units = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-        self.plain = regex.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-        self.odd = regex.compile("[\x85\xa0  -     　]")
-        self.special = regex.compile("|".join(map(regex.escape, vocabulary.special))) if vocabulary.special else None
-
-    def __missing__(self, unit: bytes) -> bytes:
-        ids = np.array(self.unit(unit), "<u4").tobytes()
-        if len(unit) <= MEMO_LENGTH:
-            if len(self) >= MEMO_UNITS:
+        self.latin, self.any = re.compile(splitter(LATIN)), regex.compile(splitter(UNICODE))
+        self.special = re.compile("|".join(map(re.escape, vocabulary.special))) if vocabulary.special else None
+
+    def __missing__(self, word: str) -> bytes:
+        ids = array("I", self.word(word.encode())).tobytes()
+        if len(word) <= MEMO_LENGTH:
+            if len(self) >= MEMO:
                 self.clear()
-            self[unit] = ids
+            self[word] = ids
         return ids
 
-    def unit(self, unit: bytes) -> list[int]:
-        out: list[int] = []
-        inside = self.vocabulary.inside
-        for word in self.words.findall(unit.decode()):
-            raw = word.encode()
-            start = 0
-            for end, pair in enumerate(zip(raw, raw[1:], strict=False), 1):
-                if pair not in inside:
-                    out += merged(raw[start:end], self.vocabulary)
-                    start = end
-            out += merged(raw[start:], self.vocabulary)
-        return out
-
-    def ordinary(self, text: bytes) -> bytes:
-        if not text:
-            return b""
-        if not text.isascii() and self.odd.search(decoded := text.decode()):
-            return b"".join(self[u.encode()] for u in self.units.findall(decoded))
-        return b"".join(map(self.__getitem__, self.plain.findall(text)))
-
-    def encode(self, text: bytes) -> np.ndarray:
-        special = self.special and self.special.search(text.decode()) if self.special and b"<|" in text else None
-        if special is None:
-            return np.frombuffer(self.ordinary(text), "<u4")
-        out, at, whole = [], 0, text.decode()
-        for m in self.special.finditer(whole):
-            out += [self.ordinary(whole[at : m.start()].encode()), np.array([self.vocabulary.special[m[0]]], "<u4").tobytes()]
+    def word(self, raw: bytes) -> list[int]:
+        """Ids of the fragments between forced boundaries, one after the other."""
+        inside, out, start = self.vocabulary.inside, [], 0
+        for end, pair in enumerate(zip(raw, raw[1:], strict=False), 1):
+            if pair not in inside:
+                out += merged(raw[start:end], self.vocabulary)
+                start = end
+        return out + merged(raw[start:], self.vocabulary)
+
+    def ordinary(self, text: str) -> bytes:
+        words = (self.latin if is_latin(text) else self.any).findall(text)
+        return b"".join(map(self.__getitem__, words))
+
+    def encode(self, text: str) -> np.ndarray:
+        out, at = [], 0
+        for m in self.special.finditer(text) if self.special else ():
+            out += [self.ordinary(text[at : m.start()]), array("I", [self.vocabulary.special[m[0]]]).tobytes()]
             at = m.end()
-        return np.frombuffer(b"".join([*out, self.ordinary(whole[at:].encode())]), "<u4")
+        return np.frombuffer(b"".join([*out, self.ordinary(text[at:])]), "<u4")
 
 
 def read_definition(path: str) -> str:
@@ -162,7 +163,7 @@ def encode(documents: DataFrame, definition: str, doc_id: str = "doc_id", text:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                ids = [encoder.encode(t) for t in binaries(part["text"])]
+                ids = [encoder.encode(t or "") for t in part["text"].to_pylist()]
                 back = [b"".join(map(tokens.__getitem__, x.tolist())).decode("utf-8", "replace") for x in ids]
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)

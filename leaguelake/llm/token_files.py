@@ -13,7 +13,10 @@ equal ids are ordered by their text's hash, then by text; an empty table makes n
 
 from __future__ import annotations
 
+import os
+import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leaguelake.llm import files
+from leaguelake.llm.bpe import byte_letters, is_latin
 from leaguelake.llm.common import binaries
 from leaguelake.session import new_folder
 
@@ -34,7 +38,10 @@ TAIL = "<QQQ8s"
 HEAD_SIZE, TAIL_SIZE = struct.calcsize(HEAD), struct.calcsize(TAIL)
 BATCH = 1 << 16  # ids packed or unpacked at once
 FILE_IDS = 1 << 26
-MEMO = 300_000
+MEMO = 400_000
+MEMO_LENGTH = 64  # longer ones are not remembered
+#: Fixed value: how the vocabulary's authors split lower-case text, for the letters and numbers of Latin-1.
+PIECES = r"[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|'s|'t|'re|'ve|'m|'ll|'d|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+"
 
 
 def pack(ids: np.ndarray, share: float = SHARE) -> list[bytes]:
@@ -56,8 +63,9 @@ def pack(ids: np.ndarray, share: float = SHARE) -> list[bytes]:
     packed: list[bytes] = [b""] * count
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        bits = (low[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-        for r, b in zip(rows, np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little"), strict=True):
+        bits = np.unpackbits(low[rows].astype("<u4" if w > 16 else "<u2").view(np.uint8), axis=1, bitorder="little")
+        kept = bits.reshape(len(rows), BLOCK, 32 if w > 16 else 16)[:, :, :w].reshape(len(rows), -1)
+        for r, b in zip(rows, np.packbits(kept, axis=1, bitorder="little"), strict=True):
             packed[r] = b.tobytes()
     where, at = np.nonzero(high)
     bounds = np.searchsorted(where, np.arange(count + 1))
@@ -87,11 +95,10 @@ def unpack(data: bytes) -> np.ndarray:
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
         bits = np.unpackbits(np.frombuffer(b"".join(bodies[r] for r in rows), np.uint8), bitorder="little")
-        bits = bits.reshape(len(rows), BLOCK, w)
-        values = np.zeros((len(rows), BLOCK), np.uint32)
-        for i in range(w):
-            values |= bits[:, :, i].astype(np.uint32) << np.uint32(i)
-        out[rows] = values
+        wide = np.zeros((len(rows), BLOCK, 32 if w > 16 else 16), np.uint8)
+        wide[:, :, :w] = bits.reshape(len(rows), BLOCK, w)
+        values = np.packbits(wide.reshape(len(rows), -1), axis=1, bitorder="little")
+        out[rows] = values.view("<u4" if w > 16 else "<u2")
     for r, (positions, highs) in enumerate(exceptions):
         if positions:
             out[r, np.frombuffer(positions, np.uint8)] |= np.frombuffer(highs, "<u4") << np.uint32(width[r])
@@ -164,23 +171,49 @@ def read_file(uri: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
 
 
 def encode_words(definition: str):
-    """A function from texts to ids. No match of the vocabulary's rules reaches across white space, so each word
-    between ASCII white space is encoded by the library once and remembered."""
+    """A function from text to ids. Latin-1 text is split by the vocabulary's rules here, so that the library's model
+    meets each lower-case piece once; of other text, the words with other letters go to the library, which may be done
+    word by word since no match of the rules reaches across white space."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses every core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(definition)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    known: dict[bytes, bytes] = {}
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        if len(known) > MEMO:
-            known.clear()
-        new = list(set().union(*words).difference(known))
-        for word, e in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            known[word] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+    model = tokenizer.model
+    letters = {byte: letter for letter, byte in byte_letters().items()}
+    split = re.compile(PIECES)
+
+    class Pieces(dict):
+        def __missing__(self, text: str) -> bytes:
+            if len(self) >= MEMO:
+                self.clear()
+            shown = text.encode().decode("latin-1").translate(letters)
+            ids = array("I", [t.id for t in model.tokenize(shown)]).tobytes()
+            if len(text) <= MEMO_LENGTH:
+                self[text] = ids
+            return ids
+
+    class Words(dict):
+        def __missing__(self, raw: bytes) -> bytes:
+            if len(self) >= MEMO:
+                self.clear()
+            text = raw.decode()
+            if "<|" not in text and is_latin(text):
+                ids = b"".join(map(pieces.__getitem__, split.findall(text.lower())))
+            else:
+                ids = array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            if len(raw) <= MEMO_LENGTH:
+                self[raw] = ids
+            return ids
+
+    pieces, words = Pieces(), Words()
+
+    def encode(raw: bytes) -> bytes:
+        text = raw.decode()
+        if "<|" not in text and is_latin(text):
+            return b"".join(map(pieces.__getitem__, split.findall(text.lower())))
+        return b"".join(map(words.__getitem__, raw.split()))
 
     return encode
 
@@ -203,9 +236,9 @@ def write(documents: DataFrame, definition: str, end_id: int, doc_id: str = "doc
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                for key, ids in zip(part["id"].to_pylist(), encode(binaries(part["text"])), strict=True):
+                for key, text in zip(part["id"].to_pylist(), binaries(part["text"]), strict=True):
                     writer = writer or Writer(files.own_name(folder, f"{shard:06d}-{len(done):04d}", ".ids"))
-                    writer.add(key, np.frombuffer(ids + end, "<u4"))
+                    writer.add(key, np.frombuffer(encode(text) + end, "<u4"))
                     if writer.total >= FILE_IDS:
                         writer.close()
                         done.append(writer)
