@@ -3,8 +3,8 @@
 Several operators must ask a table that grows with the corpus about every n-gram of every document. They share one
 plan. Documents are dealt to *chunks* by a hash of their id and text. A chunk sends each distinct key once, packed with the
 others of the same *slot* (a range of key hashes); a slot answers its chunks. A key that a third of all rows hold thus
-arrives once per chunk, whatever its count. Chunks and slots are as many as ``PER_PARTITION`` times the shuffle
-partitions, so that their size follows the setting which already sizes tasks.
+arrives once per chunk, whatever its count. Chunks and slots are as many as the shuffle partitions, so that their
+size follows the setting which already sizes tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PER_PARTITION = 4
 MEMO = 1 << 19  # entries that a task's table of known words may hold before it starts anew
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -109,7 +108,7 @@ def found(wanted: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 def spread(spark: SparkSession) -> int:
     """Chunks, and slots."""
-    return PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def chunked(rows: DataFrame, doc_id: str, text: str) -> DataFrame:

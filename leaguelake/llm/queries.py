@@ -150,3 +150,13 @@ found AS (
 SELECT c.page_id, host, fetched, coalesce(n, 0) AS n_active, coalesce(lists, '') AS lists, coalesce(blocked, false) AS blocked
 FROM captures c LEFT JOIN found f ON c.page_id = f.page_id
 """
+
+
+@register
+def op1_fixed_block_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm.substring import repeats
+
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", gone.alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
