@@ -160,3 +160,10 @@ def op1_fixed_block_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_words", gone.alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@register
+def op3_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm.backoff import scores
+
+    return scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
