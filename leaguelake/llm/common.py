@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO = 1 << 19  # entries that a task's table of known words may hold before it starts anew
+MEMO = 1 << 18  # entries that a task's table of known words may hold before it starts anew
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -106,6 +106,22 @@ def found(wanted: np.ndarray, among: np.ndarray) -> np.ndarray:
     return np.where(among[at] == wanted, at, -1)
 
 
+class Lookup:
+    """Positions of values in a sorted array, or -1. A table of the values' top bits keeps most absent ones from being searched."""
+
+    BITS = np.uint64(22)
+
+    def __init__(self, among: np.ndarray):
+        self.among, self.marks = among, np.zeros(1 << int(self.BITS), bool)
+        self.marks[among >> (np.uint64(64) - self.BITS)] = True
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        out = np.full(len(wanted), -1)
+        maybe = np.flatnonzero(self.marks[wanted >> (np.uint64(64) - self.BITS)])
+        out[maybe] = found(wanted[maybe], self.among)
+        return out
+
+
 def spread(spark: SparkSession) -> int:
     """Chunks, and slots."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

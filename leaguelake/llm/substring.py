@@ -4,9 +4,9 @@ A repeat of 13 words holds a whole block of 7 words at a multiple of 7 of the ea
 places are the index, and every 7 words of every document probe it. Three rounds between chunks of documents and slots of
 hashes (see ``common``) do this without a row per word:
 
-1. A chunk sends each distinct hash of 7 words once, with marks for "is an indexed block" and "occurs more than once here".
+1. A chunk sends each distinct hash of 7 words once (48 bits: it only has to find candidates), with marks for "is an indexed block" and "occurs more than once here".
    A slot answers which hashes are indexed somewhere and occur at two places: the anchors.
-2. Around its anchors a chunk extends to all windows of 13 words that hold one, and sends each distinct window (128 bits)
+2. Around its anchors a chunk extends to all windows of 13 words that hold one, and sends each distinct window (96 bits)
    with the least document id that has it. A slot answers with the least id of all chunks.
 3. A chunk marks the words of windows that a smaller id has: overlapping windows join to maximal repeats.
 
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from leaguelake.llm.common import (
     MULTIPLIERS,
     Hashes,
+    Lookup,
     binaries,
     by_slot,
     chunked,
@@ -47,9 +48,14 @@ def block_words(window: int) -> int:
     return (window + 1) // 2
 
 
+def block_hashes(h: np.ndarray, block: int) -> np.ndarray:
+    """48 bits for each block, at the top."""
+    return rolled(h, block) & np.uint64(0xFFFFFFFFFFFF0000)
+
+
 def window_hashes(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits for each window."""
-    return rolled(h, window), rolled(mixed(h), window, MULTIPLIERS[1])
+    """64 and 32 bits for each window."""
+    return rolled(h, window), (rolled(mixed(h), window, MULTIPLIERS[1]) >> np.uint64(32)).astype(np.uint32)
 
 
 def covered(starts: np.ndarray, length: int, count: int) -> np.ndarray:
@@ -73,7 +79,7 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     def probe(key: tuple, table: pa.Table) -> pa.Table:
         memo, all_hashes, indexed = Hashes(), [], []
         for value in binaries(table["text"]):
-            h = rolled(memo.of(value.split()), block)
+            h = block_hashes(memo.of(value.split()), block)
             all_hashes.append(h)
             indexed.append(h[::block])
         keys, times = np.unique(np.concatenate(all_hashes), return_counts=True)
@@ -100,18 +106,18 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         used = np.flatnonzero(np.diff(bounds))
         chunks = table["chunk"].to_numpy()[used]
         packed = [[planes(c[order][bounds[r] : bounds[r + 1]]) for r in used] for c in (keys, *columns)]
-        names = ["chunk", "keys", "first_keys", "ids"] if columns else ["chunk", "keys"]
+        names = ["chunk", "keys", "more", "ids"] if columns else ["chunk", "keys"]
         return pa.table([pa.array(chunks, pa.int64()), *(pa.array(p, pa.binary()) for p in packed)], names)
 
     def extend(key: tuple, table: pa.Table, answer: pa.Table) -> pa.Table:
-        memo, anchor = Hashes(), np.sort(gathered(answer, "keys", np.uint64)[0])
+        memo, anchors_here = Hashes(), Lookup(np.sort(gathered(answer, "keys", np.uint64)[0]))
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         ids = numbers(table["id"], NO_ID)
         for doc, value in zip(ids, binaries(table["text"]), strict=True):
             h = memo.of(value.split())
             if len(h) < window:
                 continue
-            hits = np.flatnonzero(found(rolled(h, block), anchor) >= 0)
+            hits = np.flatnonzero(anchors_here.of(block_hashes(h, block)) >= 0)
             if len(hits):
                 begins = np.zeros(len(h) + 1, np.int64)
                 begins[hits + 1] = 1
@@ -119,7 +125,7 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
                 at = np.flatnonzero(before[window - block + 1 : window - block + 1 + n] > before[:n])
                 a, b = window_hashes(h, window)
                 parts.append((a[at], b[at], np.full(len(at), doc)))
-        parts.append((np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)))
+        parts.append((np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int64)))
         a, b, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((doc, b, a))
         a, b, doc = a[order], b[order], doc[order]
@@ -129,7 +135,7 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         return by_slot(key[0].as_py(), slots, a[first], b[first], doc[first], several, names=["keys", "more", "ids", "several"])
 
     def least(table: pa.Table) -> pa.Table:
-        (a, row), (b, _) = gathered(table, "keys", np.uint64), gathered(table, "more", np.uint64)
+        (a, row), (b, _) = gathered(table, "keys", np.uint64), gathered(table, "more", np.uint32)
         (doc, _), (several, _) = gathered(table, "ids", np.int64), gathered(table, "several", np.uint8)
         order = np.lexsort((doc, b, a))
         a, b, doc, several, row = a[order], b[order], doc[order], several[order], row[order]
@@ -140,11 +146,10 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
 
     def cut(key: tuple, table: pa.Table, answer: pa.Table) -> pa.Table:
         memo, values = Hashes(), binaries(table["text"])
-        a, b, smallest = (gathered(answer, c, k)[0] for c, k in (("keys", np.uint64), ("first_keys", np.uint64), ("ids", np.int64)))
-        order = np.lexsort((b, a))
-        a, b, smallest = a[order], b[order], smallest[order]
-        pair = mixed(a) ^ b  # one column to look up; both are compared after that
-        by_pair = np.argsort(pair)
+        a, b, smallest = (gathered(answer, c, k)[0] for c, k in (("keys", np.uint64), ("more", np.uint32), ("ids", np.int64)))
+        pair = a ^ (b.astype(np.uint64) << np.uint64(7))  # one column to look up; both are compared after that
+        order = np.argsort(pair)
+        a, b, smallest, lookup = a[order], b[order], smallest[order], Lookup(pair[order])
         counts, removed, kept = [], [], []
         for doc, value in zip(numbers(table["id"], NO_ID), values, strict=True):
             words = value.split()
@@ -152,9 +157,10 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
             starts = np.empty(0, np.int64)
             if len(a) and len(words) >= window:
                 own, more = window_hashes(memo.of(words), window)
-                at = found(mixed(own) ^ more, pair[by_pair])
-                hit = by_pair[at]
-                starts = np.flatnonzero((at >= 0) & (a[hit] == own) & (b[hit] == more) & (smallest[hit] < doc))
+                at = lookup.of(own ^ (more.astype(np.uint64) << np.uint64(7)))
+                starts = np.flatnonzero(at >= 0)
+                hit = at[starts]
+                starts = starts[(a[hit] == own[starts]) & (b[hit] == more[starts]) & (smallest[hit] < doc)]
             mask = covered(starts, window, len(words))
             removed.append(spans(mask))
             kept.append(b" ".join(words if not len(starts) else [w for w, gone in zip(words, mask.tolist(), strict=True) if not gone]))
@@ -170,7 +176,7 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     windows = rows.groupBy("chunk").cogroup(anchored.groupBy("chunk")).applyInArrow(
         extend, "slot long, chunk long, keys binary, more binary, ids binary, several binary"
     )
-    told = windows.groupBy("slot").applyInArrow(least, "chunk long, keys binary, first_keys binary, ids binary")
+    told = windows.groupBy("slot").applyInArrow(least, "chunk long, keys binary, more binary, ids binary")
     return rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         cut, "id long, text string, n_words long, removed array<struct<start:long,end:long>>, kept string"
     )
