@@ -42,6 +42,7 @@ from leaguelake.llm.common import (
 MU = 4.0  # how many tokens' worth of the root's distribution a state mixes in
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 WORD, PAIR = 1, 2
+STEP = 1 << 18  # tokens walked at once
 COLUMNS = (
     "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
@@ -82,6 +83,13 @@ class Chunk:
         self.keys = {WORD: distinct(self.tokens, training), PAIR: distinct(self.pairs, training)}
 
 
+    def parts(self) -> list[tuple[int, int]]:
+        """Ranges of texts of about STEP tokens."""
+        step = np.cumsum(self.sizes) // STEP
+        cuts = [0, *(np.flatnonzero(np.diff(step)) + 1), len(self.sizes)]
+        return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
 class Automaton:
     """Counts of a chunk's words and pairs as states and arcs."""
 
@@ -108,6 +116,14 @@ def scores(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     slots = spread(documents.sparkSession)
     rows = chunked(documents, doc_id, text)
 
+    def walked(automaton: Automaton, chunk: Chunk, first: int, last: int) -> list[np.ndarray]:
+        """Sums over each of some consecutive texts."""
+        ends = np.cumsum(chunk.sizes)
+        a, b = ends[first] - chunk.sizes[first], ends[last - 1]
+        begins = ends[first:last] - chunk.sizes[first:last] - a
+        known, root, weight = automaton.walk(chunk.tokens[a:b], chunk.pairs[a:b], begins)
+        return [np.add.reduceat(x, begins) for x in (known.astype(np.int64), root, weight)]
+
     def ask(key: tuple, table: pa.Table) -> pa.Table:
         parts = []
         for kind, (keys, counts) in Chunk(table).keys.items():
@@ -141,9 +157,7 @@ def scores(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             counts[kind] = np.concatenate([unplanes(b, np.uint64) for b in part["counts"].to_pylist()])
         tokens, types = (answer[c][0].as_py() for c in ("tokens", "types"))
         automaton = Automaton(chunk.keys[WORD][0], counts[WORD], chunk.keys[PAIR][0], counts[PAIR], tokens, types)
-        begins = np.r_[0, np.cumsum(chunk.sizes)[:-1]]
-        known, root, weight = automaton.walk(chunk.tokens, chunk.pairs, begins)
-        sums = [np.add.reduceat(x, begins) for x in (known.astype(np.int64), root, weight)]
+        sums = [np.concatenate(x) for x in zip(*(walked(automaton, chunk, a, b) for a, b in chunk.parts()), strict=True)]
         columns = [table["id"], pa.array(chunk.held), pa.array(chunk.sizes), pa.array(sums[0]), pa.array([tokens] * table.num_rows, pa.int64())]
         return pa.table([*columns, pa.array(sums[1]), pa.array(sums[2])], [c.split()[0] for c in COLUMNS.split(", ")])
 
