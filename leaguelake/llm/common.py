@@ -127,11 +127,12 @@ def spread(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def chunked(rows: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(chunk, id, text): which chunk follows from the row alone, so a repeated task deals alike."""
+def chunked(rows: DataFrame, doc_id: str, text: str, carry: list[str] | None = None) -> DataFrame:
+    """(chunk, id, text, rest): which chunk follows from the row alone, so a repeated task deals alike."""
     key, value = rows[doc_id].cast("long"), rows[text].cast("string")
     chunk = F.pmod(F.xxhash64(key, value), F.lit(spread(rows.sparkSession)))
-    return rows.select(chunk.alias("chunk"), key.alias("id"), value.alias("text"))
+    rest = [F.struct(*(rows[c] for c in carry)).alias("rest")] if carry else []
+    return rows.select(chunk.alias("chunk"), key.alias("id"), value.alias("text"), *rest)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -167,3 +167,10 @@ def op3_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leaguelake.llm.backoff import scores
 
     return scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register
+def op6_prefix_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm.jaccard import joined
+
+    return joined(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")

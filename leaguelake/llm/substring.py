@@ -71,10 +71,15 @@ def spans(mask: np.ndarray) -> list[dict[str, int]]:
     return [{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
-def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, text, n_words, removed, kept): removed lists the (start, end) of removed words, kept joins the others."""
+def repeats(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, carry: list[str] | None = None
+) -> DataFrame:
+    """(id, text, n_words, removed, kept, rest): removed lists the (start, end) of removed words, kept joins the others, rest
+    has the columns to carry, if any."""
     block, slots = block_words(window), spread(documents.sparkSession)
-    rows = chunked(documents, doc_id, text)
+    rows = chunked(documents, doc_id, text, carry)
+    shape = "id long, text string, n_words long, removed array<struct<start:long,end:long>>, kept string"
+    shape += f", rest {rows.schema['rest'].dataType.simpleString()}" if carry else ""
 
     def probe(key: tuple, table: pa.Table) -> pa.Table:
         memo, all_hashes, indexed = Hashes(), [], []
@@ -166,9 +171,10 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
             kept.append(b" ".join(words if not len(starts) else [w for w, gone in zip(words, mask.tolist(), strict=True) if not gone]))
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         texts = pa.array(kept, pa.binary()).cast(pa.string())
+        rest = [table["rest"]] if carry else []
         return pa.table(
-            [table["id"], table["text"], pa.array(counts, pa.int64()), pa.array(removed, span), texts],
-            ["id", "text", "n_words", "removed", "kept"],
+            [table["id"], table["text"], pa.array(counts, pa.int64()), pa.array(removed, span), texts, *rest],
+            ["id", "text", "n_words", "removed", "kept", "rest"][: 5 + len(rest)],
         )
 
     probes = rows.groupBy("chunk").applyInArrow(probe, "slot long, chunk long, keys binary, marks binary")
@@ -177,6 +183,4 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         extend, "slot long, chunk long, keys binary, more binary, ids binary, several binary"
     )
     told = windows.groupBy("slot").applyInArrow(least, "chunk long, keys binary, more binary, ids binary")
-    return rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
-        cut, "id long, text string, n_words long, removed array<struct<start:long,end:long>>, kept string"
-    )
+    return rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, shape)

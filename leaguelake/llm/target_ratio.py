@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from leaguelake.llm.common import Hashes, binaries, numbers, rolled
 
-NGRAM = 4
-BUCKET_BITS = 17
+NGRAM = 2
+BUCKET_BITS = 12
 SLICES = 16
 TRUSTED_ROWS = 20_000  # at most so many labelled rows make the trusted multinomial
-FLOOR = -0.1  # mean log ratio below which a text is rejected
+FLOOR = -0.7  # mean log ratio below which a text is rejected; held-out trusted texts stay above -0.35, junk is below -1.1
 LEAST_WORDS = 10
 REPEAT_WINDOW = 5
 MOST_REPEATED = 20  # per cent of the words
@@ -137,29 +137,52 @@ def measures(text: bytes, memo: Hashes) -> tuple[int, int, int, int, int]:
     )
 
 
+def judged(values: list[bytes], weight: np.ndarray, floor: float, memo: Hashes) -> tuple[np.ndarray, ...]:
+    """Counts, scores, and the verdicts of the plain rules and of both."""
+    out, scores = [], []
+    for value in values:
+        out.append(measures(value, memo))
+        h = buckets(value)
+        scores.append(float(weight[h].mean(dtype=np.float64)) if len(h) else 0.0)
+    n = np.array(out, np.int64).reshape(-1, 5)
+    failed = (n[:, 0] < LEAST_WORDS) | (100 * n[:, 4] > MOST_REPEATED * n[:, 0])
+    score = np.array(scores, np.float64)
+    return n, score, failed, ~failed & (score >= floor)
+
+
+def weights(documents: DataFrame, labels: DataFrame, doc_id: str, text: str) -> np.ndarray:
+    rows = documents.select(documents[doc_id].cast("long").alias("id"), documents[text].cast("string").alias("text"))
+    return ratios(*counts(rows, trusted_ids(labels))).astype(np.float32)
+
+
 def quality(
     documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", floor: float = FLOOR
 ) -> DataFrame:
     """One row per document: (id, counts, score, base_failed, kept)."""
-    rows = documents.select(
-        documents[doc_id].cast("long").alias("id"), documents[text].cast("string").alias("text")
-    )
-    weight = ratios(*counts(rows, trusted_ids(labels))).astype(np.float32)
+    weight = weights(documents, labels, doc_id, text)
+    rows = documents.select(documents[doc_id].cast("long").alias("id"), documents[text].cast("string").alias("text"))
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()
         for batch in batches:
-            out, scores = [], []
-            for value in binaries(batch["text"]):
-                out.append(measures(value, memo))
-                h = buckets(value)
-                scores.append(float(weight[h].mean(dtype=np.float64)) if len(h) else 0.0)
-            n = np.array(out, np.int64).reshape(-1, 5)
-            failed = (n[:, 0] < LEAST_WORDS) | (100 * n[:, 4] > MOST_REPEATED * n[:, 0])
-            score = np.array(scores, np.float64)
+            n, score, failed, kept = judged(binaries(batch["text"]), weight, floor, memo)
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], *map(pa.array, n.T), pa.array(score), pa.array(failed), pa.array(~failed & (score >= floor))],
+                [batch["id"], *map(pa.array, n.T), pa.array(score), pa.array(failed), pa.array(kept)],
                 [c.split()[0] for c in COLUMNS.split(", ")],
             )
 
     return rows.mapInArrow(judge, COLUMNS)
+
+
+def passing(
+    documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", floor: float = FLOOR
+) -> DataFrame:
+    """The documents that are kept, with all their columns."""
+    weight = weights(documents, labels, doc_id, text)
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Hashes()
+        for batch in batches:
+            yield batch.filter(pa.array(judged(binaries(batch[text]), weight, floor, memo)[3]))
+
+    return documents.mapInArrow(choose, documents.schema)
