@@ -13,8 +13,8 @@ one global order: n-grams that many documents share last, the others by hash.
 
 Components are found by passing on least labels until none changes. Blocks hold ``BLOCK`` sets at most; what does not fit is dealt to
 several, each with the block's first set, or compared cell by cell, so no group of copies has to fit in one task. Texts are
-never shuffled: each round reads them where they are and sends the sets asked for. Which are asked for is told by a bit table of
-fixed size; where it is too full to tell them apart, more is sent and the join that follows drops it.
+read once and never shuffled: sets are written with 48 bits of each hash, and each round reads them and sends on those asked for.
+Which are is told by a bit table of fixed size; where it is too full to tell, more are sent and the join that follows drops them.
 
 Defined cases: null, empty and white texts have empty sets and are linked with nothing; of fewer words than n the whole sequence is
 the one n-gram; a null id is linked like any other and counts as the largest; repeated rows are copies; an empty table gives an
@@ -28,11 +28,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from leaguelake.llm.common import Hashes, binaries, found, mixed, null_safe, planes, rolled, unplanes
+from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, mixed, null_safe, rolled, spread
 from leaguelake.session import stored
 
 N = 4
@@ -41,6 +41,7 @@ BLOCK = 2048
 SURVIVORS = 3
 COMMON = 500  # an n-gram that one document in so many has comes last in the order
 STEP = 64
+DROPPED = np.uint64(16)  # bits of a hash that stored sets go without
 TABLE_BITS = 1 << 24
 TABLE_SLICE = 1 << 16
 
@@ -67,10 +68,10 @@ def ordered(h: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.concatenate([h[~last], h[last]])
 
 
-def name(h: np.ndarray) -> str:
-    """The class of a set: 128 bits of its elements and their number."""
-    a, b = np.bitwise_xor.reduce(mixed(h)), (h * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
-    return f"{int(a):016x}{int(b):016x}{len(h):x}"
+def name(h: np.ndarray) -> int:
+    """The class of a set: 64 bits of its elements and their number."""
+    both = np.bitwise_xor.reduce(mixed(h), keepdims=True) + (h * MULTIPLIERS[1]).sum(dtype=np.uint64, keepdims=True)
+    return int(mixed(both + np.uint64(len(h))).view(np.int64)[0])
 
 
 def signature(h: np.ndarray) -> bytes:
@@ -184,7 +185,7 @@ class Tree:
             stack += [(node.below[x], shared, depth) for x in near]
 
 
-def linked(names: list[str], sets: list[list[int]], percent: int) -> Iterator[tuple[str, str]]:
+def linked(names: list[int], sets: list[list[int]], percent: int) -> Iterator[tuple[int, int]]:
     """A link from each set's class to the first of its component in this block."""
     tree = Tree(sets, percent)
     for i in range(len(sets)):
@@ -210,103 +211,105 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("x").alias("class"), F.col("label").alias("component"))
 
 
-def per_batch(rows: DataFrame, n: int, send, kinds: list[tuple[str, pa.DataType, str]]) -> DataFrame:
-    """Rows that ``send`` makes of the distinct sets of a batch of documents, given as (class, set)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Hashes()
-        for batch in batches:
-            seen: dict[str, np.ndarray] = {}
-            for value in binaries(batch["text"]):
-                h = shingles(value, memo, n)
-                if len(h):
-                    seen.setdefault(name(h), h)
-            columns = send(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k, _) in zip(columns, kinds, strict=True)], [k[0] for k in kinds])
-
-    return rows.mapInArrow(run, ", ".join(f"{c} {t}" for c, _, t in kinds))
-
-
 def described(rows: DataFrame, n: int) -> DataFrame:
-    """A row per document (id, n_shingles, class, least, signature), and a row (gram, times) for each n-gram that is
-    common in some batch."""
-    names = ["id", "n_shingles", "class", "least", "signature", "gram", "times"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    """A row per document (id, n_shingles, class, least, signature, items), the items being its set where the batch has it
+    first; and a row (gram, times) for each n-gram that is common in some batch."""
+    names = ["id", "n_shingles", "class", "least", "signature", "items", "gram", "times"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()
         for batch in batches:
-            out, counted = [], [np.empty(0, np.uint64)]
+            out, counted, seen = [], [np.empty(0, np.uint64)], set()
             for key, value in zip(batch["id"].to_pylist(), binaries(batch["text"]), strict=True):
                 h = shingles(value, memo, n)
-                counted.append(h)
-                if len(h):
-                    out.append((key, len(h), name(h), int(h[0] >> np.uint64(1)), signature(h), None, None))
-                else:
-                    out.append((key, 0, None, None, None, None, None))
+                if not len(h):
+                    out.append((key, 0, *(None,) * 6))
+                    continue
+                who, items = name(h), None
+                if who not in seen:
+                    seen.add(who)
+                    counted.append(h)
+                    items = (h >> DROPPED).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                out.append((key, len(h), who, int(h[0] >> np.uint64(1)), signature(h), items, None, None))
             keys, times = np.unique(np.concatenate(counted), return_counts=True)
             often = (times > 1) & (times * COMMON >= batch.num_rows)
-            out += [(None,) * 5 + x for x in zip(keys[often].view(np.int64).tolist(), times[often].tolist(), strict=True)]
+            out += [(*(None,) * 6, *x) for x in zip((keys[often] >> DROPPED).astype(np.int64).tolist(), times[often].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
-    return rows.mapInArrow(run, "id long, n_shingles long, class string, least long, signature binary, gram long, times long")
+    return rows.mapInArrow(run, "id long, n_shingles long, class long, least long, signature binary, items binary, gram long, times long")
+
 
+def items_of(data: bytes) -> np.ndarray:
+    """The stored set: 48 bits of each hash, ascending."""
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.reshape(-1).view("<u8")
 
-def bit_table(names: DataFrame) -> np.ndarray:
-    """Marks at the hashes of class names: ``TABLE_BITS`` bits, however many names there are."""
+
+def bit_table(classes: DataFrame) -> np.ndarray:
+    """Marks at the lowest bits of class ids: ``TABLE_BITS`` bits, however many classes there are."""
 
     def mark(table: pa.Table) -> pa.Table:
         bits = np.zeros(TABLE_SLICE, np.uint8)
         bits[table["at"].to_numpy()] = 1
         return pa.table([table["slice"][:1], pa.array([np.packbits(bits).tobytes()], pa.binary())], ["slice", "bits"])
 
-    at = names.select(F.substring("class", 1, 8).alias("h")).distinct().select(F.conv("h", 16, 10).cast("long").alias("h"))
-    at = at.select((F.col("h") % TABLE_BITS).alias("h")).distinct()
+    at = classes.select(F.pmod(F.col("class"), F.lit(TABLE_BITS)).alias("h")).distinct()
     slices = at.select(F.floor(F.col("h") / TABLE_SLICE).alias("slice"), (F.col("h") % TABLE_SLICE).alias("at"))
-    table = np.zeros(TABLE_BITS, bool)
+    table = np.zeros(TABLE_BITS // 8, np.uint8)
     for r in slices.groupBy("slice").applyInArrow(mark, "slice long, bits binary").collect():
-        table[r["slice"] * TABLE_SLICE : (r["slice"] + 1) * TABLE_SLICE] = np.unpackbits(np.frombuffer(r["bits"], np.uint8))
-    return np.packbits(table)
+        table[r["slice"] * TABLE_SLICE // 8 : (r["slice"] + 1) * TABLE_SLICE // 8] = np.frombuffer(r["bits"], np.uint8)
+    return table
 
 
-def fetched(rows: DataFrame, wanted: DataFrame, common: np.ndarray, n: int) -> DataFrame:
-    """(block, class, items): the sets of (class, block), in global order."""
+def fetched(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(block, class, items): the sets of (class, block)."""
     marks = bit_table(wanted)
 
-    def send(seen: dict[str, np.ndarray]) -> list[list]:
-        at = {c: int(c[:8], 16) % TABLE_BITS for c in seen}
-        sent = [c for c in seen if marks[at[c] >> 3] >> (7 - (at[c] & 7)) & 1]
-        return [sent, [planes(ordered(seen[c], common)) for c in sent]]
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch["class"].to_numpy() % TABLE_BITS
+            yield batch.filter(pa.array((marks[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+
+    sent = sets.mapInArrow(choose, "class long, items binary")
+    return sent.join(wanted, "class").select("block", "class", "items")
 
-    sets = per_batch(rows, n, send, [("class", pa.string(), "string"), ("items", pa.binary(), "binary")])
-    return sets.join(wanted, "class").select("block", "class", "items")
 
+def bucket(*columns: str) -> Column:
+    """Groups are handed to Python by the bucket: some per task, not one call for each."""
+    return F.pmod(F.xxhash64(*columns), F.lit(4 * spread(SparkSession.active()))).alias("bucket")
 
-def met(sets: DataFrame, percent: int) -> DataFrame:
+
+def met(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
     """(a, b): links of the sets of each block."""
 
     def meet(table: pa.Table) -> pa.Table:
-        sets = dict(zip(table["class"].to_pylist(), table["items"].to_pylist(), strict=True))
-        names = sorted(sets)
-        items = [unplanes(sets[c], np.uint64).tolist() for c in names]
-        links = list(linked(names, items, percent))
-        return pa.table([pa.array([x[i] for x in links], pa.string()) for i in (0, 1)], ["a", "b"])
+        blocks: dict[int, dict[int, bytes]] = {}
+        for block, who, items in zip(*(table[c].to_pylist() for c in ("block", "class", "items")), strict=True):
+            blocks.setdefault(block, {})[who] = items
+        links: list[tuple[int, int]] = []
+        for block in blocks.values():
+            names = sorted(block)
+            links += linked(names, [ordered(items_of(block[c]), common).tolist() for c in names], percent)
+        return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return sets.groupBy("block").applyInArrow(meet, "a string, b string")
+    return sets.withColumn("bucket", bucket("block")).groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
-def prefix_entries(rows: DataFrame, common: np.ndarray, n: int, percent: int) -> DataFrame:
+def prefix_entries(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
     """(gram, class) of prefix n-grams that several classes share."""
 
-    def send(seen: dict[str, np.ndarray]) -> list:
-        first = [ordered(h, common)[: prefix(len(h), percent)] for h in seen.values()]
-        who = np.repeat(np.array([int(c[:16], 16) for c in seen], np.uint64), [len(x) for x in first])
-        grams = np.concatenate([np.empty(0, np.uint64), *first])
-        return [grams.view(np.int64), who.view(np.int64)]
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [ordered(h, common)[: prefix(len(h), percent)] for h in map(items_of, batch["items"].to_pylist())]
+            who = np.repeat(batch["class"].to_numpy(), [len(x) for x in grams])
+            flat = np.concatenate([np.empty(0, np.uint64), *grams]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(who)], ["gram", "class"])
 
-    entries = stored(per_batch(rows, n, send, [("gram", pa.int64(), "long"), ("who", pa.int64(), "long")]), "prefixes")
-    shared = entries.groupBy("gram").agg(F.min("who").alias("low"), F.max("who").alias("high")).where("low <> high")
-    return entries.join(shared.select("gram"), "gram", "left_semi").distinct()
+    entries = stored(sets.mapInArrow(first, "gram long, class long"), "prefixes")
+    shared = entries.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    return entries.join(shared.select("gram"), "gram", "left_semi")
 
 
 def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
@@ -314,37 +317,49 @@ def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, perc
     and were not compared yet; a few for each class and other component."""
     both = compared.unionByName(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
     failed = both.groupBy(F.col("a").alias("class")).agg(F.collect_set("b").alias("failed"))
-    each = entries.join(state.join(failed, "class", "left"), "who")
-    tally = entries.join(state.select("who", "component"), "who").groupBy("gram").agg(
+    placed = entries.join(state.select("class", "component"), "class")
+    tally = placed.groupBy("gram").agg(
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     tally = tally.where("low <> high").select("gram", F.ceil(F.col("members") / BLOCK).alias("cells"))
-    dealt = each.join(tally, "gram").withColumn("mine", F.pmod(F.xxhash64("class"), F.col("cells")))
+    facts = state.select("class", "size", "signature").join(failed, "class", "left")
+    dealt = placed.join(tally, "gram").join(facts, "class").withColumn("mine", F.pmod(F.xxhash64("class"), F.col("cells")))
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1), lambda j: F.struct(F.least("mine", j).alias("i"), F.greatest("mine", j).alias("j")))
     dealt = dealt.withColumn("cell", F.explode(others))
 
     def compare(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["size"].to_numpy(), kind="stable").tolist()
-        who, part, mine, size = (table[c].to_pylist() for c in ("class", "component", "mine", "size"))
+        table = table.sort_by([("gram", "ascending"), ("i", "ascending"), ("j", "ascending"), ("size", "ascending")])
+        where = [table[c].to_numpy() for c in ("gram", "i", "j")]
+        new = np.zeros(table.num_rows, bool)
+        new[:1] = True
+        for c in where:
+            new[1:] |= c[1:] != c[:-1]
+        bounds = [*np.flatnonzero(new).tolist(), table.num_rows]
+        who, part, mine, size, past = (table[c].to_pylist() for c in ("class", "component", "mine", "size", "failed"))
         code = [int.from_bytes(b, "little") for b in table["signature"].to_pylist()]
-        past = [set(x or ()) for x in table["failed"].to_pylist()]
-        inside = table["cell"][0].as_py()
-        alone = inside["i"] == inside["j"]
-        out, kept = [], {}
-        for at, x in enumerate(order):
-            for y in order[at + 1 :]:
-                if 100 * size[x] < percent * size[y]:
-                    break
-                if part[x] == part[y] or (not alone and mine[x] == mine[y]) or kept.get((x, part[y]), 0) >= SURVIVORS:
-                    continue
-                most = size[x] + size[y] - 2 * needed(size[x], size[y], percent)
-                if apart(code[x], size[x], code[y], size[y]) <= most and who[y] not in past[x]:
-                    kept[x, part[y]] = kept.get((x, part[y]), 0) + 1
-                    out.append((min(who[x], who[y]), max(who[x], who[y])))
-        return pa.table([pa.array([p[i] for p in out], pa.string()) for i in (0, 1)], ["a", "b"])
-
-    kept = ["gram", "cell", "class", "component", "mine", "size", "signature", "failed"]
-    return dealt.select(*kept).groupBy("gram", "cell").applyInArrow(compare, "a string, b string").distinct()
+        out, looked, kept = set(), set(), {}
+        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            alone = where[1][start] == where[2][start]
+            for x in range(start, end - 1):
+                a = who[x]
+                for y in range(x + 1, end):
+                    if 100 * size[x] < percent * size[y]:
+                        break
+                    b = who[y]
+                    if part[x] == part[y] or (not alone and mine[x] == mine[y]) or (a, b) in looked or kept.get((a, part[y]), 0) >= SURVIVORS:
+                        continue
+                    if end - start < BLOCK // 8:
+                        looked.add((a, b))
+                    most = size[x] + size[y] - 2 * needed(size[x], size[y], percent)
+                    if apart(code[x], size[x], code[y], size[y]) <= most and not (past[x] and b in past[x]):
+                        kept[a, part[y]] = kept.get((a, part[y]), 0) + 1
+                        out.add((min(a, b), max(a, b)))
+        pairs = sorted(out)
+        return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    rows = dealt.select("gram", "cell.i", "cell.j", "class", "component", "mine", "size", "signature", "failed")
+    rows = rows.withColumn("bucket", bucket("gram", "i", "j"))
+    return rows.groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
 
 
 def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -354,26 +369,27 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     rows = documents.select(documents[doc_id].cast("long").alias("id"), documents[text].cast("string").alias("text"))
     facts = stored(described(rows, n), "shingle-sets")
     docs = facts.where("gram IS NULL").select("id", "n_shingles", "class", "least", "signature")
+    sets = facts.where("items IS NOT NULL").select("class", "items")
     count = docs.agg(F.count("*")).scalar()
     often = facts.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("times"))
     # Each such n-gram is in one of COMMON documents: there are at most COMMON times as many as a set's mean size.
     top = often.where(F.col("times") * COMMON >= count).select("gram").collect()
-    common = np.sort(np.array([r.gram for r in top], np.int64).view(np.uint64))
+    common = np.sort(np.array([r.gram for r in top], np.uint64))
 
     classes = docs.where("class IS NOT NULL").groupBy("class").agg(
         F.min("id").alias("first_id"), F.min("least").alias("least"), F.min("n_shingles").alias("size"), F.min("signature").alias("signature")
     )
-    classes = stored(classes.withColumn("who", half(F.substring("class", 1, 16))), "classes")
+    classes = stored(classes, "classes")
     shared = classes.groupBy("least").agg(F.count("*").alias("members"), F.min("class").alias("first")).where("members > 1")
     parts = F.ceil(F.col("members") / BLOCK)
     own = classes.join(shared, "least").withColumn("part", F.pmod(F.xxhash64("class"), parts))
-    own = own.select("class", F.concat_ws("-", "least", "part").alias("block"))
-    every = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda p: F.concat_ws("-", "least", p))
+    own = own.select("class", F.xxhash64("least", "part").alias("block"))
+    every = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda p: F.xxhash64("least", p))
     firsts = shared.where(F.col("members") > BLOCK).select(F.col("first").alias("class"), F.explode(every).alias("block"))
     blocks = stored(own.unionByName(firsts).distinct(), "blocks")
-    links = stored(met(fetched(rows, blocks, common, n), percent), "block-links")
-    entries = stored(prefix_entries(rows, common, n, percent), "prefix-entries")
-    compared = spark.createDataFrame([], "a string, b string")
+    links = stored(met(fetched(sets, blocks), common, percent), "block-links")
+    entries = stored(prefix_entries(sets, common, percent), "prefix-entries")
+    compared = spark.createDataFrame([], "a long, b long")
     while True:
         labels = components(links)
         state = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
@@ -381,9 +397,9 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
         survivors = stored(survivors_of(entries, state, compared, percent), "survivors")
         if survivors.isEmpty():
             break
-        block = F.concat_ws("/", "a", F.pmod(F.xxhash64("b"), F.lit(16)))
-        wanted = survivors.select(F.explode(F.array("a", "b")).alias("class"), block.alias("block")).distinct()
-        links = stored(links.unionByName(met(fetched(rows, wanted, common, n), percent)), "block-links")
+        block = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(16)))
+        wanted = stored(survivors.select(F.explode(F.array("a", "b")).alias("class"), block.alias("block")).distinct(), "blocks")
+        links = stored(links.unionByName(met(fetched(sets, wanted), common, percent)), "block-links")
         compared = stored(compared.unionByName(survivors), "compared")
 
     least = state.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -404,16 +420,10 @@ def representatives(
         memo = Hashes()
         for batch in batches:
             sets = [shingles(t, memo, n) for t in binaries(batch[text])]
-            yield batch.append_column("__class", pa.array([name(h) if len(h) else None for h in sets], pa.string()))
+            yield batch.append_column("__class", pa.array([name(h) if len(h) else None for h in sets], pa.int64()))
 
     columns = documents.columns
-    named = documents.mapInArrow(name_rows, StructType([*documents.schema.fields, StructField("__class", StringType())]))
+    named = documents.mapInArrow(name_rows, StructType([*documents.schema.fields, StructField("__class", LongType())]))
     named = named.withColumn("__id", F.col(doc_id).cast("long"))
     kept = null_safe(named.where("__class IS NOT NULL"), chosen, ["__id", "__class"], "left_semi").dropDuplicates(["__id", "__class"])
     return kept.unionByName(named.where("__class IS NULL")).select(*columns)
-
-
-def half(digits: Column) -> Column:
-    """Sixteen hexadecimal digits as the same 64 bits, signed."""
-    high = F.conv(F.substring(digits, 1, 8), 16, 10).cast("long")
-    return F.shiftleft(high, 32).bitwiseOR(F.conv(F.substring(digits, 9, 8), 16, 10).cast("long"))
