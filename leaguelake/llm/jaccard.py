@@ -41,6 +41,7 @@ BLOCK = 2048
 SURVIVORS = 3
 COMMON = 500  # an n-gram that one document in so many has comes last in the order
 STEP = 64
+ROWS = 1024  # documents among which common n-grams are counted
 DROPPED = np.uint64(16)  # bits of a hash that stored sets go without
 TABLE_BITS = 1 << 24
 TABLE_SLICE = 1 << 16
@@ -74,16 +75,20 @@ def name(h: np.ndarray) -> int:
     return int(mixed(both + np.uint64(len(h))).view(np.int64)[0])
 
 
+def buckets(size: int) -> int:
+    return max(64, 1 << size.bit_length())
+
+
 def signature(h: np.ndarray) -> bytes:
-    """Parities of the hashes' counts in buckets, about half as many as the set has elements."""
-    bits = max(64, 1 << (len(h) // 2).bit_length())
+    """Parities of the hashes' counts in buckets, one or two for each element."""
+    bits = buckets(len(h))
     odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def apart(a: int, size_a: int, b: int, size_b: int) -> int:
     """At most the number of elements that only one of two sets has."""
-    wide, narrow = (max(64, 1 << (s // 2).bit_length()) for s in (max(size_a, size_b), min(size_a, size_b)))
+    wide, narrow = buckets(max(size_a, size_b)), buckets(min(size_a, size_b))
     large, small = (a, b) if size_a >= size_b else (b, a)
     while wide > narrow:
         wide //= 2
@@ -213,29 +218,33 @@ def components(links: DataFrame) -> DataFrame:
 
 def described(rows: DataFrame, n: int) -> DataFrame:
     """A row per document (id, n_shingles, class, least, signature, items), the items being its set where the batch has it
-    first; and a row (gram, times) for each n-gram that is common in some batch."""
+    first; and a row (gram, times) for each n-gram that is common in some rows that follow each other."""
     names = ["id", "n_shingles", "class", "least", "signature", "items", "gram", "times"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()
         for batch in batches:
-            out, counted, seen = [], [np.empty(0, np.uint64)], set()
-            for key, value in zip(batch["id"].to_pylist(), binaries(batch["text"]), strict=True):
-                h = shingles(value, memo, n)
-                if not len(h):
-                    out.append((key, 0, *(None,) * 6))
-                    continue
-                who, items = name(h), None
-                if who not in seen:
-                    seen.add(who)
-                    counted.append(h)
-                    items = (h >> DROPPED).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                out.append((key, len(h), who, int(h[0] >> np.uint64(1)), signature(h), items, None, None))
-            keys, times = np.unique(np.concatenate(counted), return_counts=True)
-            often = (times > 1) & (times * COMMON >= batch.num_rows)
-            out += [(*(None,) * 6, *x) for x in zip((keys[often] >> DROPPED).astype(np.int64).tolist(), times[often].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
+            seen: set[int] = set()
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                out, counted = [], [np.empty(0, np.uint64)]
+                for key, value in zip(part["id"].to_pylist(), binaries(part["text"]), strict=True):
+                    h = shingles(value, memo, n)
+                    if not len(h):
+                        out.append((key, 0, *(None,) * 6))
+                        continue
+                    who, items = name(h), None
+                    if who not in seen:
+                        seen.add(who)
+                        counted.append(h)
+                        items = (h >> DROPPED).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                    out.append((key, len(h), who, int(h[0] >> np.uint64(1)), signature(h), items, None, None))
+                keys, times = np.unique(np.concatenate(counted), return_counts=True)
+                often = (times > 1) & (times * COMMON >= part.num_rows)
+                grams = (keys[often] >> DROPPED).astype(np.int64).tolist()
+                out += [(*(None,) * 6, *x) for x in zip(grams, times[often].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
     return rows.mapInArrow(run, "id long, n_shingles long, class long, least long, signature binary, items binary, gram long, times long")
 
@@ -314,7 +323,7 @@ def prefix_entries(sets: DataFrame, common: np.ndarray, percent: int) -> DataFra
 
 def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of different components that share a prefix n-gram, may be similar enough by size and signature,
-    and were not compared yet; a few for each class and other component."""
+    and were not compared yet; a few for each class and other component, and (a, null) if a has more."""
     both = compared.unionByName(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
     failed = both.groupBy(F.col("a").alias("class")).agg(F.collect_set("b").alias("failed"))
     placed = entries.join(state.select("class", "component"), "class")
@@ -337,7 +346,7 @@ def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, perc
         bounds = [*np.flatnonzero(new).tolist(), table.num_rows]
         who, part, mine, size, past = (table[c].to_pylist() for c in ("class", "component", "mine", "size", "failed"))
         code = [int.from_bytes(b, "little") for b in table["signature"].to_pylist()]
-        out, looked, kept = set(), set(), {}
+        out, more, looked, kept = set(), set(), set(), {}
         for start, end in zip(bounds[:-1], bounds[1:], strict=True):
             alone = where[1][start] == where[2][start]
             for x in range(start, end - 1):
@@ -346,7 +355,10 @@ def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, perc
                     if 100 * size[x] < percent * size[y]:
                         break
                     b = who[y]
-                    if part[x] == part[y] or (not alone and mine[x] == mine[y]) or (a, b) in looked or kept.get((a, part[y]), 0) >= SURVIVORS:
+                    if part[x] == part[y] or (not alone and mine[x] == mine[y]) or (a, b) in looked:
+                        continue
+                    if kept.get((a, part[y]), 0) >= SURVIVORS:
+                        more.add(a)
                         continue
                     if end - start < BLOCK // 8:
                         looked.add((a, b))
@@ -354,7 +366,7 @@ def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, perc
                     if apart(code[x], size[x], code[y], size[y]) <= most and not (past[x] and b in past[x]):
                         kept[a, part[y]] = kept.get((a, part[y]), 0) + 1
                         out.add((min(a, b), max(a, b)))
-        pairs = sorted(out)
+        pairs = [*sorted(out), *((a, None) for a in sorted(more))]
         return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     rows = dealt.select("gram", "cell.i", "cell.j", "class", "component", "mine", "size", "signature", "failed")
@@ -391,16 +403,25 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     entries = stored(prefix_entries(sets, common, percent), "prefix-entries")
     compared = spark.createDataFrame([], "a long, b long")
     while True:
-        labels = components(links)
-        state = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        state = classes.join(components(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
         state = stored(state, "class-components")
-        survivors = stored(survivors_of(entries, state, compared, percent), "survivors")
+        if entries is None:
+            break
+        looked = stored(survivors_of(entries, state, compared, percent), "survivors")
+        survivors = looked.where("b IS NOT NULL")
         if survivors.isEmpty():
             break
         block = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(16)))
         wanted = stored(survivors.select(F.explode(F.array("a", "b")).alias("class"), block.alias("block")).distinct(), "blocks")
         links = stored(links.unionByName(met(fetched(sets, wanted), common, percent)), "block-links")
         compared = stored(compared.unionByName(survivors), "compared")
+        # Only classes with more survivors than were kept can still have links that nobody looked at.
+        more = looked.where("b IS NULL").select(F.col("a").alias("class"))
+        if more.isEmpty():
+            entries = None
+        else:
+            left = entries.join(more, "class", "left_semi").select("gram").distinct()
+            entries = stored(entries.join(left, "gram", "left_semi"), "prefix-entries")
 
     least = state.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_class = state.join(least, "component").select("class", "component_id")
