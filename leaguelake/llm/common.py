@@ -9,6 +9,9 @@ size follows the setting which already sizes tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -139,6 +142,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """While this lasts, Python gets and gives so many rows at a time: a batch of long rows is held by both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str = "left") -> DataFrame:
     """Join on equal names, null equal to null; the right side's key columns go."""
     renamed = right.withColumnsRenamed({n: f"__{n}" for n in names})

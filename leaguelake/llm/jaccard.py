@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, mixed, null_safe, rolled, spread
+from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, mixed, null_safe, rolled, small_batches, spread
 from leaguelake.session import stored
 
 N = 4
@@ -377,6 +377,11 @@ def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, perc
 def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """One row per document: (id, n_shingles, class, component_id); documents without n-grams have no class and are their
     own component."""
+    with small_batches(documents.sparkSession):
+        return all_rounds(documents, doc_id, text, n, percent)
+
+
+def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
     spark = documents.sparkSession
     rows = documents.select(documents[doc_id].cast("long").alias("id"), documents[text].cast("string").alias("text"))
     facts = stored(described(rows, n), "shingle-sets")
