@@ -9,7 +9,7 @@ one global order: n-grams that many documents share last, the others by hash.
 2. That finds most links, not all. Two sets of the needed similarity share an n-gram of their prefixes (the first
    n - ceil(t n) + 1 in order), so only classes of different components that share one can still be linked. They are compared
    by parity signatures, whose difference never exceeds that of the sets; each class keeps a few survivors in every
-   other component, and these meet in blocks as in 1. This repeats until no survivor is left that was not compared.
+   other component, and these meet in blocks as in 1. Classes that had more go on, with more, in another round.
 
 Components are found by passing on least labels until none changes. Blocks hold ``BLOCK`` sets at most; what does not fit is dealt to
 several, each with the block's first set, or compared cell by cell, so no group of copies has to fit in one task. Texts are
@@ -38,7 +38,7 @@ from leaguelake.session import stored
 N = 4
 PERCENT = 85
 BLOCK = 2048
-SURVIVORS = 3
+SURVIVORS = 8  # in the first round; eight times as many in each further one
 COMMON = 500  # an n-gram that one document in so many has comes last in the order
 STEP = 64
 ROWS = 1024  # documents among which common n-grams are counted
@@ -282,7 +282,7 @@ def fetched(sets: DataFrame, wanted: DataFrame) -> DataFrame:
             yield batch.filter(pa.array((marks[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
 
     sent = sets.mapInArrow(choose, "class long, items binary")
-    return sent.join(wanted, "class").select("block", "class", "items")
+    return sent.join(wanted.hint("merge"), "class").select("block", "class", "items")
 
 
 def bucket(*columns: str) -> Column:
@@ -318,21 +318,19 @@ def prefix_entries(sets: DataFrame, common: np.ndarray, percent: int) -> DataFra
 
     entries = stored(sets.mapInArrow(first, "gram long, class long"), "prefixes")
     shared = entries.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    return entries.join(shared.select("gram"), "gram", "left_semi")
+    return entries.join(shared.select("gram").hint("merge"), "gram", "left_semi")
 
 
-def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of different components that share a prefix n-gram, may be similar enough by size and signature,
-    and were not compared yet; a few for each class and other component, and (a, null) if a has more."""
-    both = compared.unionByName(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    failed = both.groupBy(F.col("a").alias("class")).agg(F.collect_set("b").alias("failed"))
-    placed = entries.join(state.select("class", "component"), "class")
+def survivors_of(entries: DataFrame, state: DataFrame, percent: int, most: int) -> DataFrame:
+    """(a, b): pairs of different components that share a prefix n-gram and may be similar enough by size and signature;
+    at most so many for each class and other component, and (a, null) if a has more."""
+    placed = entries.join(state.select("class", "component").hint("merge"), "class")
     tally = placed.groupBy("gram").agg(
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     tally = tally.where("low <> high").select("gram", F.ceil(F.col("members") / BLOCK).alias("cells"))
-    facts = state.select("class", "size", "signature").join(failed, "class", "left")
-    dealt = placed.join(tally, "gram").join(facts, "class").withColumn("mine", F.pmod(F.xxhash64("class"), F.col("cells")))
+    facts = state.select("class", "size", "signature")
+    dealt = placed.join(tally.hint("merge"), "gram").join(facts.hint("merge"), "class").withColumn("mine", F.pmod(F.xxhash64("class"), F.col("cells")))
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1), lambda j: F.struct(F.least("mine", j).alias("i"), F.greatest("mine", j).alias("j")))
     dealt = dealt.withColumn("cell", F.explode(others))
 
@@ -344,7 +342,7 @@ def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, perc
         for c in where:
             new[1:] |= c[1:] != c[:-1]
         bounds = [*np.flatnonzero(new).tolist(), table.num_rows]
-        who, part, mine, size, past = (table[c].to_pylist() for c in ("class", "component", "mine", "size", "failed"))
+        who, part, mine, size = (table[c].to_pylist() for c in ("class", "component", "mine", "size"))
         code = [int.from_bytes(b, "little") for b in table["signature"].to_pylist()]
         out, more, looked, kept = set(), set(), set(), {}
         for start, end in zip(bounds[:-1], bounds[1:], strict=True):
@@ -357,19 +355,19 @@ def survivors_of(entries: DataFrame, state: DataFrame, compared: DataFrame, perc
                     b = who[y]
                     if part[x] == part[y] or (not alone and mine[x] == mine[y]) or (a, b) in looked:
                         continue
-                    if kept.get((a, part[y]), 0) >= SURVIVORS:
+                    if kept.get((a, part[y]), 0) >= most:
                         more.add(a)
                         continue
                     if end - start < BLOCK // 8:
                         looked.add((a, b))
-                    most = size[x] + size[y] - 2 * needed(size[x], size[y], percent)
-                    if apart(code[x], size[x], code[y], size[y]) <= most and not (past[x] and b in past[x]):
+                    differ = size[x] + size[y] - 2 * needed(size[x], size[y], percent)
+                    if apart(code[x], size[x], code[y], size[y]) <= differ:
                         kept[a, part[y]] = kept.get((a, part[y]), 0) + 1
                         out.add((min(a, b), max(a, b)))
         pairs = [*sorted(out), *((a, None) for a in sorted(more))]
         return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    rows = dealt.select("gram", "cell.i", "cell.j", "class", "component", "mine", "size", "signature", "failed")
+    rows = dealt.select("gram", "cell.i", "cell.j", "class", "component", "mine", "size", "signature")
     rows = rows.withColumn("bucket", bucket("gram", "i", "j"))
     return rows.groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
 
@@ -407,26 +405,27 @@ def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: in
     links = stored(met(fetched(sets, blocks), common, percent), "block-links")
     entries = stored(prefix_entries(sets, common, percent), "prefix-entries")
     compared = spark.createDataFrame([], "a long, b long")
-    while True:
-        state = classes.join(components(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
-        state = stored(state, "class-components")
-        if entries is None:
-            break
-        looked = stored(survivors_of(entries, state, compared, percent), "survivors")
-        survivors = looked.where("b IS NOT NULL")
-        if survivors.isEmpty():
-            break
+    live = entries.select("class").distinct()
+    live = stored(classes.join(live, "class", "left_semi").select("class", "size", "signature"), "live-classes")
+    most, unfinished = SURVIVORS, True
+    while unfinished:
+        labels = components(links)
+        links = labels.select(F.col("class").alias("a"), F.col("component").alias("b"))
+        state = live.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        looked = stored(survivors_of(entries, state, percent, most), "survivors")
+        survivors = stored(looked.where("b IS NOT NULL").join(compared, ["a", "b"], "left_anti"), "survivors")
         block = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(16)))
         wanted = stored(survivors.select(F.explode(F.array("a", "b")).alias("class"), block.alias("block")).distinct(), "blocks")
         links = stored(links.unionByName(met(fetched(sets, wanted), common, percent)), "block-links")
         compared = stored(compared.unionByName(survivors), "compared")
         # Only classes with more survivors than were kept can still have links that nobody looked at.
         more = looked.where("b IS NULL").select(F.col("a").alias("class"))
-        if more.isEmpty():
-            entries = None
-        else:
+        unfinished = not more.isEmpty()
+        if unfinished:
             left = entries.join(more, "class", "left_semi").select("gram").distinct()
             entries = stored(entries.join(left, "gram", "left_semi"), "prefix-entries")
+            most *= 8
+    state = classes.join(components(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
 
     least = state.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_class = state.join(least, "component").select("class", "component_id")
