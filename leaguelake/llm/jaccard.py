@@ -38,7 +38,7 @@ from leaguelake.session import stored
 N = 4
 PERCENT = 85
 BLOCK = 2048
-SURVIVORS = 8  # in the first round; eight times as many in each further one
+SURVIVORS = 2  # in the first round; four times as many in each further one
 COMMON = 500  # an n-gram that one document in so many has comes last in the order
 STEP = 64
 ROWS = 1024  # documents among which common n-grams are counted
@@ -424,7 +424,7 @@ def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: in
         if unfinished:
             left = entries.join(more, "class", "left_semi").select("gram").distinct()
             entries = stored(entries.join(left, "gram", "left_semi"), "prefix-entries")
-            most *= 8
+            most *= 4
     state = classes.join(components(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
 
     least = state.groupBy("component").agg(F.min("first_id").alias("component_id"))
