@@ -9,7 +9,7 @@ size follows the setting which already sizes tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -22,6 +22,13 @@ MEMO = 1 << 18  # entries that a task's table of known words may hold before it
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows, a few at a time, so that not all texts of a batch become Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 class Hashes(dict):
     """64-bit hashes of words, kept for those seen lately."""
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, mixed, null_safe, rolled, small_batches, spread
+from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, mixed, null_safe, rolled, sliced, small_batches, spread
 from leaguelake.session import stored
 
 N = 4
@@ -443,7 +443,7 @@ def representatives(
 
     def name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingles(t, memo, n) for t in binaries(batch[text])]
             yield batch.append_column("__class", pa.array([name(h) if len(h) else None for h in sets], pa.int64()))
 

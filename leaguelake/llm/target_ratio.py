@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaguelake.llm.common import Hashes, binaries, numbers, rolled
+from leaguelake.llm.common import Hashes, binaries, numbers, rolled, sliced
 
 NGRAM = 2
 BUCKET_BITS = 12
@@ -63,7 +63,7 @@ def counts(documents: DataFrame, trusted: np.ndarray) -> tuple[np.ndarray, np.nd
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, size), np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             good = np.isin(numbers(batch["id"], 0), trusted) & batch["id"].is_valid().to_numpy(zero_copy_only=False)
             waiting: list[list[np.ndarray]] = [[], []]
             texts = binaries(batch["text"])
@@ -164,7 +164,7 @@ def quality(
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()
-        for batch in batches:
+        for batch in sliced(batches):
             n, score, failed, kept = judged(binaries(batch["text"]), weight, floor, memo)
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], *map(pa.array, n.T), pa.array(score), pa.array(failed), pa.array(kept)],
@@ -182,7 +182,7 @@ def passing(
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array(judged(binaries(batch[text]), weight, floor, memo)[3]))
 
     return documents.mapInArrow(choose, documents.schema)
