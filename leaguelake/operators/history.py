@@ -69,15 +69,17 @@ def scd1(
 def change_islands(
     df: DataFrame, entity: Sequence[str], order_by: Sequence[str], tracked: str, name: str = "version_group"
 ) -> DataFrame:
-    """Number runs of equal ``tracked`` values; a run starts where the value differs from the row before."""
-    before = F.col("_previous")
+    """Number runs of equal ``tracked`` values; a run starts where the value differs from the row before,
+    NULL being a value like others."""
+    same = (F.col("_at") > 1) & F.col("_previous").eqNullSafe(F.col(tracked))
     return (
         OrderedRows(df, order_by, entity)
+        .number("_at")
         .previous(_previous=tracked)
-        .derive(_changed=C.flag(before.isNull() | (before != F.col(tracked))))
+        .derive(_changed=C.flag(~same))
         .running(**{name: ("sum", "_changed")})
         .result()
-        .drop("_changed", "_previous")
+        .drop("_changed", "_previous", "_at")
     )
 
 

@@ -8,26 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 64
-MOST_HOT_KEYS = 256
-TRACKED_KEYS = 4096
-SHARDS = 256
 HOT_SHARE = 0.002
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """One row with the array of keys that hold more than ``share`` of the rows.
+    """One row with the array of keys that hold more than ``share`` of the rows, at most 1 / ``share`` of them.
 
-    Frequent-items sketches of bounded size: one scan of the key column and no shuffle of keys. The sketches of the
-    tasks are merged in ``SHARDS`` groups before the last merge.
+    Keys are counted within each task first, so a hot key sends one row per task. NULL is no key.
     """
-    shards = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SHARDS)).alias("shard")).agg(
-        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"), F.count(F.lit(1)).alias("n")
-    )
-    merged = shards.agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"), F.sum("n").alias("n"))
-    top = F.expr(f"approx_top_k_estimate(sketch, {MOST_HOT_KEYS})")
-    return merged.select(top.alias("top"), "n").select(
-        F.transform(F.filter("top", lambda t: t["count"] > F.col("n") * share), lambda t: t["item"]).alias("hot")
-    )
+    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > total * share).agg(F.collect_list(key).alias("hot"))
 
 
 def enrich(
@@ -42,15 +33,17 @@ def enrich(
 
     Rows of hot keys are spread over ``salts`` buckets by a hash of ``spread_by`` (a row's own values, so a retried
     task puts it in the same bucket) and only the hot dimension rows are repeated. Which keys are hot changes the
-    layout, never the result. Spark still broadcasts the dimension where its measured size allows it.
+    layout, never the result. Rows without a key match nothing and are spread too. Spark still broadcasts the
+    dimension where its measured size allows it.
     """
     hot = hot_keys(fact, key)
     is_hot = F.coalesce(F.array_contains(F.col("_hot"), F.col(key)), F.lit(False))
+    spread = is_hot | F.col(key).isNull()
     salted_fact = (
         fact.withColumn("_hot", hot.scalar())
         .withColumn(
             "_salt",
-            F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
+            F.when(spread, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
         )
         .drop("_hot")
     )

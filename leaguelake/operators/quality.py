@@ -316,7 +316,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def missing_table(df: DataFrame, name: str, reason: str) -> DataFrame:
     """The failed existence check of a table that cannot be read; ``df`` supplies the session only."""
-    row = (f"{name} exists", "schema", False, "critical", reason[:100], None)
+    row = (f"{name} exists", "schema", False, "critical", reason, None)
     schema = "name string, category string, passed boolean, severity string, message string, value string"
     return df.sparkSession.createDataFrame([row], schema)
 

@@ -166,11 +166,9 @@ def infer_rounds(
     return matches.drop(name).join(rounds, [*season, date], "left").withColumn(name, F.coalesce(name, F.lit(1)))
 
 
-def pivot_race(race: DataFrame, teams: Sequence[str], order: str = "matchday") -> DataFrame:
-    """One row per matchday, one column per named team; the team list is given, so there is no extra job."""
-    return (
-        race.groupBy(order).pivot("team_name", list(teams)).agg(F.max("cumulative_points"))
-    )
+def pivot_race(race: DataFrame, teams: Sequence[str] | None = None, order: str = "matchday") -> DataFrame:
+    """One row per matchday, one column per team: all that are found (which takes a job), or those named."""
+    return race.groupBy(order).pivot("team_name", None if teams is None else list(teams)).agg(F.max("cumulative_points"))
 
 
 def leaders(race: DataFrame, n: int = 6) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Parameterised result sets. A filter that is not given changes nothing; limits are clamped."""
+"""Parameterised result sets. A filter or limit that is not given changes nothing."""
 
 from __future__ import annotations
 
@@ -12,20 +12,15 @@ from leaguelake.operators.ordered import sort_columns
 from leaguelake.sources.exports import date_window
 from leaguelake.sources.landing import first_available
 
-FIRST_MATCHDAY, LAST_MATCHDAY = 1, 38
-
-
-def clamp(n: int, low: int, high: int) -> int:
-    return max(low, min(int(n), high))
-
 
 def same_name(column: str, name: str) -> Column:
     return F.lower(F.col(column)) == name.lower()
 
 
-def top(df: DataFrame, order_by: Sequence[str], limit: int, most: int = 1000) -> DataFrame:
-    """The first rows, at least 1 and at most ``most``."""
-    return df.orderBy(*sort_columns(order_by)).limit(clamp(limit, 1, most))
+def top(df: DataFrame, order_by: Sequence[str], limit: int | None = None) -> DataFrame:
+    """The rows in order: the first ``limit`` of them, or all."""
+    rows = df.orderBy(*sort_columns(order_by))
+    return rows if limit is None else rows.limit(max(limit, 0))
 
 
 def league_table(live: DataFrame, batch: DataFrame) -> DataFrame:
@@ -39,9 +34,9 @@ def standings_history(
 ) -> DataFrame:
     out = versions
     if team:
-        out = out.filter(same_name("team_name", team[:100]))
+        out = out.filter(same_name("team_name", team))
     if matchday is not None:
-        out = versions_at(out, clamp(matchday, FIRST_MATCHDAY, LAST_MATCHDAY))
+        out = versions_at(out, matchday)
     return out.filter("is_current") if current_only else out
 
 
@@ -52,17 +47,17 @@ def race(
     if teams:
         out = out.filter(F.lower("team_name").isin(*[t.strip().lower() for t in teams]))
     if first is not None:
-        out = out.filter(F.col("matchday") >= clamp(first, FIRST_MATCHDAY, LAST_MATCHDAY))
+        out = out.filter(F.col("matchday") >= first)
     if last is not None:
-        out = out.filter(F.col("matchday") <= clamp(last, FIRST_MATCHDAY, LAST_MATCHDAY))
+        out = out.filter(F.col("matchday") <= last)
     return out
 
 
 def form(rows: DataFrame, team: str | None = None, momentum: str | None = None) -> DataFrame:
     out = rows
     if team:
-        out = out.filter(same_name("team_name", team[:100]))
-    return out.filter(F.col("current_momentum") == momentum[:20].upper()) if momentum else out
+        out = out.filter(same_name("team_name", team))
+    return out.filter(F.col("current_momentum") == momentum.upper()) if momentum else out
 
 
 def teams(dim: DataFrame, tier: str | None = None, team: str | None = None) -> DataFrame:
@@ -72,16 +67,16 @@ def teams(dim: DataFrame, tier: str | None = None, team: str | None = None) -> D
     return out.filter(same_name("team_name", team)) if team else out
 
 
-def matches(results: DataFrame, limit: int = 380) -> DataFrame:
+def matches(results: DataFrame, limit: int | None = None) -> DataFrame:
     return top(results, ["matchday", "match_date", "match_id"], limit)
 
 
-def results(rows: DataFrame, limit: int = 380) -> DataFrame:
+def results(rows: DataFrame, limit: int | None = None) -> DataFrame:
     return top(rows, ["-match_date", "-matchday", "match_id"], limit)
 
 
-def scorers(rows: DataFrame, limit: int = 20) -> DataFrame:
-    return top(rows, ["rank"], limit, most=100)
+def scorers(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    return top(rows, ["rank"], limit)
 
 
 def live_window(live: DataFrame, as_of: Column) -> DataFrame:

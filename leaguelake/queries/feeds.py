@@ -152,7 +152,7 @@ def standings_feed(spark, sf_dir):
         *LEAGUE,
         select="""SELECT 'local-mart-fallback' AS source, 'Premier League' AS competition, '2023/24' AS season, position,
  team_name, played, won, drawn AS draw, lost, goals_for, goals_against, goal_difference, points,
- CAST(NULL AS VARCHAR) AS form FROM league ORDER BY position LIMIT 20""",
+ CAST(NULL AS VARCHAR) AS form FROM league""",
     )
 )
 def standings_from_table(spark, sf_dir):

@@ -102,7 +102,7 @@ def recent_results(spark, sf_dir):
     return results(spark, sf_dir)
 
 
-@query(with_ctes(*CLEAN, RESULTS, select="SELECT * FROM results ORDER BY matchday, match_date, match_id LIMIT 380"))
+@query(with_ctes(*CLEAN, RESULTS, select="SELECT * FROM results"))
 def served_matches(spark, sf_dir):
     return serving.matches(results(spark, sf_dir))
 
@@ -111,11 +111,11 @@ def served_matches(spark, sf_dir):
     with_ctes(
         *CLEAN,
         RESULTS,
-        select="SELECT * FROM results ORDER BY match_date DESC, matchday DESC, match_id LIMIT 1000",
+        select="SELECT * FROM results ORDER BY match_date DESC, matchday DESC, match_id LIMIT 5000",
     )
 )
 def served_results(spark, sf_dir):
-    """A limit above the highest one is clamped."""
+    """A limit is the caller's, however high."""
     return serving.results(results(spark, sf_dir), limit=5_000)
 
 
@@ -129,11 +129,11 @@ def results_of_round(spark, sf_dir):
         cte("scorers"),
         select="""SELECT player_id, goals, row_number() OVER (ORDER BY goals DESC, assists DESC, player_id) AS rank
  FROM (SELECT * FROM scorers WHERE player_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY player_id
- ORDER BY ingested_at DESC, ingest_seq DESC) = 1) ORDER BY goals DESC, assists DESC, player_id LIMIT 20""",
+ ORDER BY ingested_at DESC, ingest_seq DESC) = 1) ORDER BY goals DESC, assists DESC, player_id LIMIT 200""",
     )
 )
 def served_scorers(spark, sf_dir):
-    best = marts.top_scorers(load(spark, sf_dir, "scorers"), order_by=NEWEST)
+    best = marts.top_scorers(load(spark, sf_dir, "scorers"), n=200, order_by=NEWEST)
     return serving.scorers(best).select("player_id", "goals", "rank")
 
 

@@ -129,7 +129,7 @@ def normalize_standings_feed(payloads: DataFrame, source: str = values.PRIMARY_S
     )
 
 
-def standings_from_table(table: DataFrame, top: int = 20) -> DataFrame:
+def standings_from_table(table: DataFrame, top: int | None = None) -> DataFrame:
     """The computed league table as standings rows: the fallback of the standings feed."""
     row = F.struct(
         "position",
@@ -143,10 +143,9 @@ def standings_from_table(table: DataFrame, top: int = 20) -> DataFrame:
         "goal_difference",
         "points",
     )
+    rows = table if top is None else table.orderBy("position").limit(top)
     return (
-        table.orderBy("position")
-        .limit(top)
-        .select(row.alias("t"))
+        rows.select(row.alias("t"))
         .select(
             F.lit(values.TABLE_FALLBACK_SOURCE).alias("source"),
             F.lit(values.DEFAULT_COMPETITION).alias("competition"),

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, IllegalArgumentException
 
 from leaguelake.operators.history import drop_repeated
 from leaguelake.operators.joins import absent, present
@@ -29,25 +29,34 @@ RUN_LOG = T.StructType(
 )
 
 
+#: Conditions of a path that does not exist or holds no files yet.
+NOT_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None where there is none yet."""
+    """The table at a path, or None where there is none yet; any other error is the caller's."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in NOT_THERE:
+            raise
         return None
 
 
+UNREADABLE = (AnalysisException, IllegalArgumentException, OSError)
+
+
 def first_available(*sources: tuple[str, DataFrame | Callable[[], DataFrame]], label: str = "source_used") -> DataFrame:
     """Rows of the first source that has any, with its name in ``label``.
 
-    A source given as a function counts as empty if calling it fails. Which source wins is decided inside the query
+    A source given as a function counts as empty if it cannot be read (``UNREADABLE``). Which source wins is decided inside the query
     by a scalar subquery that looks at one row per source.
     """
     frames = []
     for priority, (name, source) in enumerate(sources):
         try:
             df = source() if callable(source) else source
-        except Exception:  # an unreadable source falls through to the next one
+        except UNREADABLE:  # falls through to the next one
             continue
         frames.append((priority, df.withColumn(label, F.lit(name))))
     if not frames:

@@ -268,7 +268,10 @@ def test_served_filters(season):
     assert serving.standings_history(versions, matchday=3).count() == 4
     assert {r.team_name for r in serving.standings_history(versions, team="a").collect()} == {"A"}
     assert serving.standings_history(versions, current_only=True).count() == 4
-    assert serving.clamp(0, 1, 38) == 1 and serving.clamp(99, 1, 38) == 38
+    long = versions.limit(1).withColumn("team_name", F.lit("n" * 101))
+    assert serving.standings_history(long, team="n" * 100).count() == 0
+    assert serving.standings_history(long, team="N" * 101).count() == 1
+    assert serving.race(versions.withColumn("matchday", F.lit(46)), first=40, last=46).count() == versions.count()
 
 
 def test_report_and_missing_table(spark):
@@ -282,3 +285,28 @@ def test_report_and_missing_table(spark):
     }
     summary = quality.report_summary(rows).first()
     assert (summary.total, summary.passed, summary.failed, summary.gate_open) == (5, 1, 4, False)
+
+
+def test_enrich_empty_and_null_keys(spark):
+    from leaguelake.operators import joins
+
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, name string")
+    fact = spark.range(2000).select("id", F.when(F.col("id") % 10 == 0, F.lit(1)).alias("k"))
+    assert joins.enrich(fact.limit(0), dim, "k", ["id"]).count() == 0
+    assert joins.enrich(fact, dim, "k", ["id"]).count() == 200
+    left = joins.enrich(fact, dim.hint("merge"), "k", ["id"], how="left")
+    assert left.count() == 2000 and left.filter("name IS NOT NULL").count() == 200
+
+
+def test_change_islands_on_null(spark):
+    from leaguelake.operators import history
+
+    rows = spark.createDataFrame([(1, i, v) for i, v in enumerate(["a", None, None, "a"])], "e int, at int, v string")
+    assert [r.version_group for r in history.change_islands(rows, ["e"], ["at"], "v").orderBy("at").collect()] == [1, 2, 2, 3]
+
+
+def test_pivot_over_all_teams(spark):
+    from leaguelake.operators import results
+
+    race = spark.createDataFrame([(1, "x", 3), (1, "y", 1), (2, "x", 4)], "matchday int, team_name string, cumulative_points int")
+    assert results.pivot_race(race).columns == ["matchday", "x", "y"]
