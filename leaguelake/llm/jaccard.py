@@ -8,8 +8,9 @@ one global order: n-grams that many documents share last, the others by hash.
    remains cannot reach the needed overlap, or when all below is already in its component.
 2. That finds most links, not all. Two sets of the needed similarity share an n-gram of their prefixes (the first
    n - ceil(t n) + 1 in order), so only classes of different components that share one can still be linked. They are compared
-   by parity signatures, whose difference never exceeds that of the sets; each class keeps a few survivors in every
-   other component, and these meet in blocks as in 1. Classes that had more go on, with more, in another round.
+   by parity signatures, whose difference never exceeds that of the sets; each class keeps a few survivors, the next
+   larger ones first, and these meet in blocks as in 1. That links a group of copies as a chain. Classes that had more
+   go on, with more, in another round.
 
 Components are found by passing on least labels until none changes. Blocks hold ``BLOCK`` sets at most; what does not fit is dealt to
 several, each with the block's first set, or compared cell by cell, so no group of copies has to fit in one task. Texts are
@@ -323,7 +324,7 @@ def prefix_entries(sets: DataFrame, common: np.ndarray, percent: int) -> DataFra
 
 def survivors_of(entries: DataFrame, state: DataFrame, percent: int, most: int) -> DataFrame:
     """(a, b): pairs of different components that share a prefix n-gram and may be similar enough by size and signature;
-    at most so many for each class and other component, and (a, null) if a has more."""
+    at most so many for each class and bucket, the nearest in size first, and (a, null) if a has more."""
     placed = entries.join(state.select("class", "component").hint("merge"), "class")
     tally = placed.groupBy("gram").agg(
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -335,7 +336,7 @@ def survivors_of(entries: DataFrame, state: DataFrame, percent: int, most: int)
     dealt = dealt.withColumn("cell", F.explode(others))
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("gram", "ascending"), ("i", "ascending"), ("j", "ascending"), ("size", "ascending")])
+        table = table.sort_by([(c, "ascending") for c in ("gram", "i", "j", "size", "class")])
         where = [table[c].to_numpy() for c in ("gram", "i", "j")]
         new = np.zeros(table.num_rows, bool)
         new[:1] = True
@@ -349,20 +350,21 @@ def survivors_of(entries: DataFrame, state: DataFrame, percent: int, most: int)
             alone = where[1][start] == where[2][start]
             for x in range(start, end - 1):
                 a = who[x]
-                for y in range(x + 1, end):
+                for y in range(x + 1, end if a not in more else 0):
                     if 100 * size[x] < percent * size[y]:
                         break
                     b = who[y]
                     if part[x] == part[y] or (not alone and mine[x] == mine[y]) or (a, b) in looked:
                         continue
-                    if kept.get((a, part[y]), 0) >= most:
+                    differ = size[x] + size[y] - 2 * needed(size[x], size[y], percent)
+                    near = (min(a, b), max(a, b)) not in out and apart(code[x], size[x], code[y], size[y]) <= differ
+                    if near and kept.get(a, 0) >= most:
                         more.add(a)
-                        continue
+                        break
                     if end - start < BLOCK // 8:
                         looked.add((a, b))
-                    differ = size[x] + size[y] - 2 * needed(size[x], size[y], percent)
-                    if apart(code[x], size[x], code[y], size[y]) <= differ:
-                        kept[a, part[y]] = kept.get((a, part[y]), 0) + 1
+                    if near:
+                        kept[a] = kept.get(a, 0) + 1
                         out.add((min(a, b), max(a, b)))
         pairs = [*sorted(out), *((a, None) for a in sorted(more))]
         return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
@@ -424,6 +426,7 @@ def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: in
         if unfinished:
             left = entries.join(more, "class", "left_semi").select("gram").distinct()
             entries = stored(entries.join(left, "gram", "left_semi"), "prefix-entries")
+            live = stored(live.join(entries.select("class").distinct(), "class", "left_semi"), "live-classes")
             most *= 4
     state = classes.join(components(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
 
