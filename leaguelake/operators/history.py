@@ -179,11 +179,24 @@ def as_of_versions(
 ) -> DataFrame:
     """For each (entity, period) row the version that is valid then; rows outside all versions are kept.
 
-    Versions are laid out as one row per period they cover - at most entities x periods rows - so the lookup is an
-    equi-join on both columns: no range condition, and a large entity is spread over its periods.
+    The versions of an entity must not overlap. Each version is one row at its start, sorted among the entity's points;
+    a point takes the last start up to its period and keeps it if that version has not ended. No row is added per
+    period, there is no range condition, and a large entity is cut into ranges.
     """
-    covered = versions.withColumn(period, F.explode(F.sequence("valid_from_matchday", "valid_to_matchday")))
-    return points.join(covered, [entity, period], "left")
+    first, last = "valid_from_matchday", "valid_to_matchday"
+    rest = [c for c in versions.columns if c not in (entity, period)]
+    version = F.struct(first, *(c for c in rest if c != first))
+    starts = versions.filter(F.col(first) <= F.col(last)).select(
+        F.col(entity).alias("_entity"), F.col(first).alias("_at"), F.lit(0).alias("_point"), version.alias("_version")
+    )
+    asked = points.select(
+        F.col(entity).alias("_entity"), F.col(period).alias("_at"), F.lit(1).alias("_point"), F.struct("*").alias("_row")
+    )
+    both = asked.unionByName(starts, allowMissingColumns=True)
+    found = OrderedRows(both, ["_at", "_point"], ["_entity"]).running(_found=("max", "_version")).result()
+    valid = F.col("_entity").isNotNull() & (F.col("_at") <= F.col(f"_found.{last}"))
+    values = [F.when(valid, F.col(f"_found.{c}")).alias(c) for c in rest]
+    return found.filter("_point = 1").select("_row.*", *values)
 
 
 def biggest_movers(versions: DataFrame, entity: str = "team_name") -> DataFrame:

@@ -203,6 +203,22 @@ def test_replace_keys_leaves_other_partitions(spark):
     assert sorted(map(tuple, out)) == [(1, "x", 2), (1, "x", 3), (2, "x", 1), (3, "y", 1)]
 
 
+@pytest.mark.parametrize("rows_per_range", [4_000_000, 2])
+def test_as_of_versions_with_gaps_and_wide_periods(spark, monkeypatch, rows_per_range):
+    make = history.OrderedRows
+    monkeypatch.setattr(history, "OrderedRows", lambda *a: make(*a, rows_per_range=rows_per_range))
+    versions = spark.createDataFrame(
+        [("a", 1, 3, 10), ("a", 6, 3_000_000, 11), ("a", 9_000_000, 8_000_000, 12), ("b", 2, 2, 20), (None, 1, 9, 30)],
+        "team_name string, valid_from_matchday int, valid_to_matchday int, position int",
+    )
+    asked = [("a", 0), ("a", 1), ("a", 3), ("a", 3), ("a", 4), ("a", 6), ("a", 2_999_999), ("a", 3_000_001), ("a", 9_000_001)]
+    asked += [("b", 1), ("b", 2), ("b", 3), ("c", 1), (None, 2), ("a", None)]
+    points = spark.createDataFrame([(i, *r) for i, r in enumerate(asked)], "n int, team_name string, matchday long")
+    out = sorted((r.n, r.valid_from_matchday, r.position) for r in history.as_of_versions(points, versions).collect())
+    hits = {1: (1, 10), 2: (1, 10), 3: (1, 10), 5: (6, 11), 6: (6, 11), 10: (2, 20)}
+    assert out == [(i, *hits.get(i, (None, None))) for i in range(len(asked))]
+
+
 def test_first_available(spark):
     rows = spark.createDataFrame([(1,)], "n int")
 
