@@ -84,9 +84,13 @@ def append_bronze(df: DataFrame, path: str, at=None) -> None:
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Rows of the batch whose key is not in the target, one per key (the first in ``order_by``)."""
+    """Rows of the batch whose key is not in the target, one per key (the first in ``order_by``).
+
+    The target is first reduced to keys of the batch: where the batch is small, Spark broadcasts it and the target is
+    not shuffled.
+    """
     once = drop_repeated(batch, keys, order_by)
-    return once if target is None else absent(once, target, keys)
+    return once if target is None else absent(once, present(target.select(*keys), batch, keys), keys)
 
 
 def insert_new_keys(batch: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
