@@ -375,8 +375,9 @@ def survivors_of(entries: DataFrame, state: DataFrame, percent: int, most: int)
 
 
 def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """One row per document: (id, n_shingles, class, component_id); documents without n-grams have no class and are their
-    own component."""
+    """One row per document: (id, n_shingles, class, component, component_id). The component is a class of it, and tells
+    components apart; component_id, its least id, does not where ids are null or repeated. Documents without n-grams
+    have neither class nor component, and their own id."""
     with small_batches(documents.sparkSession):
         return all_rounds(documents, doc_id, text, n, percent)
 
@@ -431,18 +432,19 @@ def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: in
     state = classes.join(components(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
 
     least = state.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = state.join(least, "component").select("class", "component_id")
+    of_class = state.join(least, "component").select("class", "component", "component_id")
     out = docs.join(of_class, "class", "left")
-    return out.select("id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    own = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return out.select("id", "n_shingles", "class", "component", own.alias("component_id"))
 
 
 def representatives(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT
 ) -> DataFrame:
-    """The documents without near copies: of each component the row of the least id (of repeated ids, the one
+    """The documents without near copies: of each component the row of the least id (of its rows with this id, one
     whose class comes first), and all documents without n-grams."""
     chosen = joined(documents, doc_id, text, n, percent).where("class IS NOT NULL AND id <=> component_id")
-    chosen = chosen.groupBy("component_id").agg(F.min("class").alias("__class")).withColumnRenamed("component_id", "__id")
+    chosen = chosen.groupBy("component").agg(F.min("id").alias("__id"), F.min("class").alias("__class")).drop("component")
 
     def name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()

@@ -72,6 +72,17 @@ def test_components(documents, empty, rows, monkeypatch):
     assert kept.count() == len(groups) + sum(not s for s in sets)
 
 
+def test_representatives_of_null_and_repeated_ids(spark):
+    """Unrelated components may have the same least id, or none; each keeps a row."""
+    text = lambda *at: " ".join(f"w{a}x{i}" for a in at for i in range(40))
+    rows = [(None, text(1)), (None, text(2)), (None, text(3)), (None, text(3)), (None, None), (None, None)]
+    rows += [(1, text(4)), (1, text(5)), (1, text(5)), (2, text(5) + " more"), (2, text(6)), (None, text(6))]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, jaccard.representatives(documents).collect()), key=str)
+    want = [(None, text(1)), (None, text(2)), (None, text(3)), (None, None), (None, None), (1, text(4)), (1, text(5)), (2, text(6))]
+    assert got == sorted(want, key=str)
+
+
 def test_tree_finds_all_links():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 400, 60)
