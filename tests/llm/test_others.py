@@ -1,5 +1,6 @@
 """URL lists, WARC, templates, chat formatting, and the pipeline."""
 
+import base64
 import hashlib
 
 import pytest
@@ -62,6 +63,30 @@ def test_salvage():
     assert [x[3][0]["page-id"] for x in warc.salvage(broken) if x[0] == "record"] == ["0", "1", "2", "4", "5"]
 
 
+def foreign(held, name="x", kind="application/http; msgtype=response", **digests):
+    """A record as other writers make it."""
+    fields = {"WARC-Type": "response", "WARC-Record-ID": name, "Content-Type": kind, "Content-Length": len(held)}
+    fields |= {f"WARC-{k.title()}-Digest": v for k, v in digests.items()}
+    return warc.head(fields.items()) + held + b"\r\n\r\n"
+
+
+def test_digests_of_other_writers():
+    body, headers = b"<p>text</p>", b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    sha1, sha256 = hashlib.sha1(body), hashlib.sha256(body)
+    good = [f"sha1:{warc.digest(body)}", f"sha1:{warc.digest(body).lower()}", f"SHA-1:{sha1.hexdigest()}", f"sha256:{sha256.hexdigest()}",
+            f"sha256:{base64.b32encode(sha256.digest()).decode()}", f"md5:{hashlib.md5(body).hexdigest().upper()}",
+            "blake9:abc", "sha1:odd", "nothing"]
+    for stated in good:
+        assert len(warc.parse(foreign(headers + body, payload=stated, block=f"sha1:{warc.digest(headers + body)}"))[1]) == len(headers + body)
+        assert warc.parse(foreign(body, kind="text/html", payload=stated, block=stated))[1] == body
+    coded = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4\r\n<p>t\r\n7;a=b\r\next</p>\r\n0\r\n\r\n"
+    assert warc.parse(foreign(coded, payload=good[0]))[1] == coded
+    for block in (headers + b"<p>taxt</p>", coded.replace(b"ext", b"axt")):
+        for stated in good[:6]:
+            with pytest.raises(ValueError, match="payload-digest differs"):
+                warc.parse(foreign(block, payload=stated))
+
+
 def test_templates():
     run = lambda t, **n: "".join(p for p, _ in templates.compiled(t)(n))
     assert run("{{ 'a' ~ 1 + 2 }}{% if not false and x == 'q' %}y{% else %}n{% endif %}", x="q") == "a12y"
