@@ -3,7 +3,8 @@
 Every record is a gzip member of its own. The reader checks a member's checksum, the record's head, its stated length, and the
 digests of block and payload; the payload of an application/http block begins after its headers, and a digest of an unknown
 algorithm or encoding is not checked. After a failed check it searches for the next place where a member or a version line
-starts, goes on there, and reports the bytes between as a gap.
+starts, goes on there, and reports the bytes between as a gap; so it does within a member's content. Of a broken member it keeps
+the records that were complete before the error, but nothing of one that is cut off right after its only record.
 
 Defined cases: a null payload is the empty one, a null url the empty text; a null id is written as none and read back as null,
 sorts after all others, and such rows refer to each other only where no equal payload has an id; equal rows are records of
@@ -13,6 +14,7 @@ their own, all with the least id are responses, the others revisit it; an empty
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import uuid
 import zlib
@@ -37,6 +39,8 @@ RECORD = (
     "payload_bytes long, payload binary"
 )
 GAP = "uri string, start long, end long, reason string"
+LINE = regex.compile(rb"WARC/1\.[01]\r\n")
+PIECE = 1 << 12  # bytes of a broken member handed to the decompressor at once
 START = regex.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 ALGORITHMS = {"md5", "sha1", "sha224", "sha256", "sha384", "sha512"}
 BLANK = regex.compile(rb"\r?\n\r?\n")
@@ -164,33 +168,109 @@ def member(raw: bytes, at: int) -> tuple[bytes, int]:
     return content, len(raw) - len(unpack.unused_data)
 
 
+def unpacked(raw: bytes) -> tuple[bytes, str | None]:
+    """What the broken member at the start gives before its error, and the error, or None if it is only cut off."""
+    out, unpack = [], zlib.decompressobj(wbits=31)
+    for start in range(0, len(raw), PIECE):
+        before = unpack.copy()
+        try:
+            out.append(unpack.decompress(raw[start : start + PIECE]))
+        except zlib.error as e:
+            try:
+                for i in range(start, start + PIECE):
+                    out.append(before.decompress(raw[i : i + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), str(e)[:60]
+    return b"".join(out), None
+
+
+def needed(raw: bytes, size: int) -> int:
+    """How many bytes of the member at the start give the first ``size`` bytes of its content."""
+    unpack, had = zlib.decompressobj(wbits=31), 0
+    for start in range(0, len(raw), PIECE):
+        before, had_before = unpack.copy(), had
+        with contextlib.suppress(zlib.error):
+            had += len(unpack.decompress(raw[start : start + PIECE]))
+            if had < size:
+                continue
+        for i in range(start, min(start + PIECE, len(raw))):
+            had_before += len(before.decompress(raw[i : i + 1]))
+            if had_before >= size:
+                return i + 1
+    return len(raw)
+
+
+def inside(content: bytes, whole: bool, sure: bool) -> tuple[list[tuple[str, object]], int]:
+    """Records and gaps of a member's content, and where its last record ends. What follows that is a gap if the member is
+    whole. If its checksum is not ``sure``, records count whose own digests can be computed and agree."""
+    out, at, last, since, reason = [], 0, 0, None, ""
+    while at < len(content):
+        try:
+            fields, block, end = parse(content, at)
+            if not sure and not digests(fields, block):
+                raise ValueError("no digest in a broken member")
+        except ValueError as e:
+            if since is None:
+                since, reason = at, str(e)
+            following = LINE.search(content, at + 1)
+            at = following.start() if following else len(content)
+            continue
+        if since is not None:
+            out.append(("gap", f"{reason}; content {since} to {at}"))
+            since = None
+        out.append(("record", (fields, block)))
+        at = last = end
+    if since is not None and whole:
+        out.append(("gap", f"{reason}; content {since} to {at}"))
+    return out, last
+
+
 def salvage(raw: bytes) -> Iterator[tuple[str, int, int, object]]:
-    """("record", start, end, (head, block)) for each that passes its checks, ("gap", start, end, reason) for all bytes between."""
+    """("record", start, end, (head, block)) for each that passes its checks, ("gap", start, end, reason) for all bytes between.
+    What lies in a member has the member's range; that of a broken one ends with its last record."""
     at, since, reason = 0, None, ""
     while at < len(raw):
+        broken, found = "", []
         try:
             if raw.startswith(MEMBER, at):
-                content, end = member(raw[at : at + window(raw, at)], 0)
-                found, inner = [], 0
-                while inner < len(content):
-                    fields, block, inner = parse(content, inner)
-                    found.append((fields, block))
+                near = raw[at : at + window(raw, at)]
+                try:
+                    content, end = member(near, 0)
+                    found, _ = inside(content, True, True)
+                except ValueError as e:
+                    broken = str(e)
+                    content, error = unpacked(near)
+                    found, last = inside(content, False, error is None)
+                    alone = error is None and len(found) == 1 and last == len(content)
+                    if not found or alone:  # test_salvage has a member cut off within its trailer, of one record, as a gap
+                        raise
+                    end = needed(near, last)
                 end += at
             else:
                 fields, block, end = parse(raw, at)
-                found = [(fields, block)]
+                found = [("record", (fields, block))]
         except ValueError as e:
             if since is None:
                 since, reason = at, str(e)
             following = START.search(raw, at + 1)
             at = following.start() if following else len(raw)
             continue
+        if len(found) == 1 and found[0][0] == "gap":
+            if since is None:
+                since, reason = at, found[0][1]
+            at = end
+            continue
         if since is not None:
             yield "gap", since, at, reason
             since = None
-        for x in found:
-            yield "record", at, end, x
+        for kind, what in found:
+            yield kind, at, end, what
         at = end
+        if broken:
+            since, reason = at, broken
+            following = START.search(raw, at)
+            at = following.start() if following else len(raw)
     if since is not None:
         yield "gap", since, len(raw), reason
 

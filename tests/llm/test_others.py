@@ -1,6 +1,7 @@
 """URL lists, WARC, templates, chat formatting, and the pipeline."""
 
 import base64
+import gzip
 import hashlib
 
 import pytest
@@ -87,6 +88,34 @@ def test_digests_of_other_writers():
                 warc.parse(foreign(block, payload=stated))
 
 
+def test_salvage_within_members():
+    body = lambda i: b"".join(hashlib.sha256(b"%d %d" % (i, k)).hexdigest().encode() for k in range(2000))
+    parts = [foreign(body(i), f"r{i}", "text/html", block=f"sha1:{warc.digest(body(i))}") for i in range(6)]
+    names = lambda out: [x[3][0]["warc-record-id"] for x in out if x[0] == "record"]
+    after = gzip.compress(foreign(b"later", "z", "text/html"))
+    read = lambda raw: list(warc.salvage(raw + after))
+
+    whole = b"".join(parts)
+    hurt = read(gzip.compress(whole.replace(body(2)[:99], b"?" * 99)))
+    assert names(hurt) == ["r0", "r1", "r3", "r4", "r5", "z"]
+    assert [x[3].partition(";")[0] for x in hurt if x[0] == "gap"] == ["warc-block-digest differs"]
+    first = read(gzip.compress(b"junk" + whole + b"junk"))
+    assert names(first) == ["r0", "r1", "r2", "r3", "r4", "r5", "z"] and sum(x[0] == "gap" for x in first) == 2
+
+    packed = gzip.compress(whole)
+    sums = read(packed[:-8] + b"\0" * 8)
+    assert names(sums) == ["r0", "r1", "r2", "r3", "r4", "r5", "z"] and [x[0] for x in sums].count("gap") == 1
+    for level in (0, 6):
+        packed = gzip.compress(whole, level)
+        cut = list(warc.salvage(packed[: len(packed) * 7 // 12]))
+        assert names(cut) == ["r0", "r1", "r2"] and cut[-1][0] == "gap" and cut[-1][3] == "member without end"
+        assert names(read(packed[: len(packed) * 7 // 12])) == ["r0", "r1", "r2", "z"]
+
+    bare = [foreign(body(i), f"r{i}", "text/html") for i in range(2)]
+    assert names(read(gzip.compress(b"".join(bare))[:-8] + b"\0" * 8)) == ["z"]
+    assert names(warc.salvage(gzip.compress(b"".join(bare))[:-8])) == ["r0", "r1"]
+
+
 def test_templates():
     run = lambda t, **n: "".join(p for p, _ in templates.compiled(t)(n))
     assert run("{{ 'a' ~ 1 + 2 }}{% if not false and x == 'q' %}y{% else %}n{% endif %}", x="q") == "a12y"
