@@ -252,16 +252,18 @@ def dim_matchdays(
     )
 
 
-def season_stats(form_rows: DataFrame, form_pick: str = "last") -> DataFrame:
-    """Season totals per team over the rows within the last matchday's number of matches.
+def season_stats(form_rows: DataFrame, form_pick: str = "last", within_matchdays: bool = False) -> DataFrame:
+    """Season totals per team over all rows.
 
-    ``form_pick="last"`` takes the newest form text, ``"max"`` the greatest text.
+    ``form_pick="last"`` takes the newest form text, ``"max"`` the greatest text. ``within_matchdays`` keeps, like the
+    reference, as many newest rows per team as the last matchday's number.
     """
     newest = F.max_by("last_5_form", -F.col("recency_rank"))
-    matchdays = form_rows.agg(F.max("matchday")).scalar()
+    rows = form_rows
+    if within_matchdays:
+        rows = rows.filter(F.col("recency_rank") <= form_rows.agg(F.max("matchday")).scalar())
     return (
-        form_rows.filter(F.col("recency_rank") <= matchdays)
-        .groupBy("team_name")
+        rows.groupBy("team_name")
         .agg(
             F.count(F.lit(1)).alias("total_matches"),
             F.count_if(F.col("result") == "W").alias("total_wins"),

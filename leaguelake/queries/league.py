@@ -197,7 +197,22 @@ def dim_teams(spark, sf_dir):
     )
 )
 def season_stats(spark, sf_dir):
-    return marts.season_stats(form(spark, sf_dir), form_pick="max")
+    """The reference's cut: as many newest results per team as there are matchdays."""
+    return marts.season_stats(form(spark, sf_dir), form_pick="max", within_matchdays=True)
+
+
+@query(
+    with_ctes(
+        *FORM,
+        select="""SELECT team_name, count(*) AS total_matches, count(*) FILTER (WHERE result = 'W') AS total_wins,
+ count(*) FILTER (WHERE result = 'L') AS total_losses, CAST(sum(gf) AS BIGINT) AS total_goals_scored,
+ CAST(sum(ga) AS BIGINT) AS total_goals_conceded, arg_min(last_5_form, recency_rank) AS current_form
+ FROM form GROUP BY team_name""",
+    )
+)
+def season_totals(spark, sf_dir):
+    """All results."""
+    return marts.season_stats(form(spark, sf_dir))
 
 
 @query(

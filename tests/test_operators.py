@@ -163,6 +163,15 @@ def test_current_form_options(spark):
     assert marts.season_stats(form, "max").first().current_form == "WWW"
 
 
+def test_season_stats_takes_all_results(spark):
+    """More results than matchdays: only the named option leaves any out."""
+    rows = [("A", 1, rank, "W" if rank > 2 else "L", rank, 1, f"F{rank}") for rank in range(1, 6)]
+    schema = "team_name string, matchday int, recency_rank long, result string, gf int, ga int, last_5_form string"
+    form = spark.createDataFrame(rows, schema)
+    assert tuple(marts.season_stats(form).first()) == ("A", 5, 3, 2, 15, 5, "F1")
+    assert tuple(marts.season_stats(form, within_matchdays=True).first()) == ("A", 1, 0, 1, 1, 1, "F1")
+
+
 def test_rounds(spark):
     """A gap alone does not start a round: the round needs eight matches first."""
     days = [(1, 4), (6, 4), (7, 1), (20, 2), (40, 9), (41, 1)]
