@@ -89,6 +89,16 @@ def clean_scorers(scorers: DataFrame, order_by: Sequence[str] = NEWEST) -> DataF
     return latest_per_key(scorers.filter(F.col("player_id").isNotNull()), ["player_id"], order_by)
 
 
+SCORER_ORDER = ["-goals", "-assists", "player_id"]
+
+
+def ranked_scorers(
+    scorers: DataFrame, order_by: Sequence[str] = NEWEST, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """All scorers with their rank."""
+    return global_row_number(clean_scorers(scorers, order_by), SCORER_ORDER, "rank", rows_per_range)
+
+
 def top_scorers(scorers: DataFrame, n: int = 30, order_by: Sequence[str] = NEWEST) -> DataFrame:
     """The best ``n`` scorers, ranked after the top-n so that the ranking's single window sees ``n`` rows only."""
     order = [F.desc("goals"), F.desc("assists"), F.asc("player_id")]

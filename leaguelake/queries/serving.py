@@ -133,8 +133,22 @@ def results_of_round(spark, sf_dir):
     )
 )
 def served_scorers(spark, sf_dir):
-    best = marts.top_scorers(load(spark, sf_dir, "scorers"), n=200, order_by=NEWEST)
-    return serving.scorers(best).select("player_id", "goals", "rank")
+    """A limit is the caller's."""
+    ranked = marts.ranked_scorers(load(spark, sf_dir, "scorers"), order_by=NEWEST)
+    return serving.scorers(ranked, limit=200).select("player_id", "goals", "rank")
+
+
+@query(
+    with_ctes(
+        cte("scorers"),
+        select="""SELECT player_id, goals, row_number() OVER (ORDER BY goals DESC, assists DESC, player_id) AS rank
+ FROM (SELECT * FROM scorers WHERE player_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY player_id
+ ORDER BY ingested_at DESC, ingest_seq DESC) = 1)""",
+    )
+)
+def served_all_scorers(spark, sf_dir):
+    ranked = marts.ranked_scorers(load(spark, sf_dir, "scorers"), order_by=NEWEST)
+    return serving.scorers(ranked).select("player_id", "goals", "rank")
 
 
 @query(

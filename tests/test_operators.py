@@ -172,6 +172,17 @@ def test_season_stats_takes_all_results(spark):
     assert tuple(marts.season_stats(form, within_matchdays=True).first()) == ("A", 1, 0, 1, 1, 1, "F1")
 
 
+def test_all_scorers_are_served(spark):
+    rows = [(i, 1000 - i // 2, i % 3, 0) for i in range(500)] + [(7, 5000, 0, 1), (None, 9, 9, 0)]
+    scorers = spark.createDataFrame(rows, "player_id long, goals int, assists int, seq int")
+    want = sorted(((-g, -a, i) for i, g, a, s in rows if i is not None and (i != 7 or s)))
+    for size in (1_000_000, 50):
+        ranked = marts.ranked_scorers(scorers, ["-seq"], size)
+        got = [(r["rank"], r.player_id) for r in serving.scorers(ranked).collect()]
+        assert got == [(n, i) for n, (_, _, i) in enumerate(want, 1)]
+        assert [r.player_id for r in serving.scorers(ranked, 300).collect()] == [i for *_, i in want[:300]]
+
+
 def test_rounds(spark):
     """A gap alone does not start a round: the round needs eight matches first."""
     days = [(1, 4), (6, 4), (7, 1), (20, 2), (40, 9), (41, 1)]
