@@ -296,6 +296,17 @@ def pivot_race(spark, sf_dir):
     return results.pivot_race(race(spark, sf_dir), CLUBS)
 
 
+@query(
+    with_ctes(
+        *RACE,
+        select="SELECT * FROM (PIVOT race ON team_name USING max(cumulative_points) GROUP BY matchday)",
+    )
+)
+def pivot_race_all(spark, sf_dir):
+    """All teams that are found."""
+    return results.pivot_race(race(spark, sf_dir))
+
+
 @query(
     with_ctes(
         *RACE,

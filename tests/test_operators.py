@@ -183,6 +183,15 @@ def test_all_scorers_are_served(spark):
         assert [r.player_id for r in serving.scorers(ranked, 300).collect()] == [i for *_, i in want[:300]]
 
 
+def test_race_has_teams_outside_the_list(spark, monkeypatch):
+    from leaguelake.queries import QUERIES, league
+
+    race = spark.createDataFrame([("Club 1", 1, 3), ("Newcomer", 1, 1)], "team_name string, matchday int, cumulative_points long")
+    monkeypatch.setattr(league, "race", lambda spark, sf_dir: race)
+    row = QUERIES["pivot_race_all"](spark, "").first()
+    assert row.asDict() == {"matchday": 1, "Club 1": 3, "Newcomer": 1}
+
+
 def test_rounds(spark):
     """A gap alone does not start a round: the round needs eight matches first."""
     days = [(1, 4), (6, 4), (7, 1), (20, 2), (40, 9), (41, 1)]
