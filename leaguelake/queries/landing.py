@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leaguelake.plans.adapters import cte, load, table
+from leaguelake.plans import marts
+from leaguelake.plans.adapters import NEWEST, cte, load, table
 from leaguelake.queries import league
-from leaguelake.queries.registry import CLEAN, LEAGUE, LIVE_TABLE, query, with_ctes
+from leaguelake.queries.registry import CLEAN, LEAGUE, LIVE_TABLE, TEAMS, query, with_ctes
 from leaguelake.session import new_folder
 from leaguelake.sources import exports, landing
 
@@ -189,6 +190,47 @@ def entity_documents(spark, sf_dir):
     )
 
 
+@query(
+    with_ctes(
+        *TEAMS,
+        cte("scorers"),
+        """listed AS (SELECT team_name, part, string_agg(match_id || ' ' || result, ',' ORDER BY recency_rank) AS matches
+ FROM (SELECT *, (recency_rank - 1) // 100 AS part FROM form) GROUP BY team_name, part)""",
+        """best AS (SELECT team_name, part, string_agg(player_id || ' ' || goals, ',' ORDER BY i) AS scorers FROM (
+ SELECT *, (i - 1) // 100 AS part FROM (SELECT *, row_number() OVER (PARTITION BY team_name
+ ORDER BY goals DESC, assists DESC, player_id) AS i FROM (SELECT * FROM scorers WHERE player_id IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY player_id ORDER BY ingested_at DESC, ingest_seq DESC) = 1)))
+ GROUP BY team_name, part)""",
+        """parts AS (SELECT team_name, part FROM listed UNION SELECT team_name, part FROM best
+ UNION SELECT team_name, 0 FROM teams)""",
+        select="""SELECT team_name, part, CASE WHEN part = 0 THEN CAST(points AS BIGINT) END AS points,
+ CASE WHEN part = 0 THEN current_form END AS form, coalesce(matches, '') AS matches, coalesce(scorers, '') AS scorers
+ FROM parts JOIN teams USING (team_name) LEFT JOIN listed USING (team_name, part) LEFT JOIN best USING (team_name, part)""",
+    )
+)
+def team_documents(spark, sf_dir):
+    """Documents with standings, form, matches and scorers, in parts of 100."""
+    rows = league.form(spark, sf_dir).select("team_name", "match_id", "result", "recency_rank")
+    scorers = marts.clean_scorers(load(spark, sf_dir, "scorers"), NEWEST)
+    documents = exports.entity_documents(
+        league.teams(spark, sf_dir),
+        {
+            "matches": (rows, ["recency_rank"]),
+            "scorers": (scorers.select("team_name", "player_id", "goals", "assists"), marts.SCORER_ORDER),
+        },
+        key="team_name",
+        per_part=100,
+    )
+    return documents.select(
+        "team_name",
+        "part",
+        F.col("standings.points").cast("long").alias("points"),
+        F.col("standings.current_form").alias("form"),
+        F.array_join(F.transform("matches", lambda m: F.concat_ws(" ", m["match_id"], m["result"])), ",").alias("matches"),
+        F.array_join(F.transform("scorers", lambda p: F.concat_ws(" ", p["player_id"], p["goals"])), ",").alias("scorers"),
+    )
+
+
 @query(
     with_ctes(
         cte("matches"),

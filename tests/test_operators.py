@@ -192,6 +192,22 @@ def test_race_has_teams_outside_the_list(spark, monkeypatch):
     assert row.asDict() == {"matchday": 1, "Club 1": 3, "Newcomer": 1}
 
 
+def test_replay_is_written_and_read_back(spark):
+    from leaguelake.queries import events as given
+
+    folder, path = "/root/testdata/sf0.001", new_folder(spark, "replay")
+    rows, matches = given.events(spark, folder), given.matches(spark, folder)
+    exports.export_replay(rows, matches, path, n=4)
+    index, wanted = exports.replay_bundle(rows, matches, 4)
+    names = ["match_id", "event_count", "home_score", "away_score"]
+    got = spark.read.json(f"{path}/_index.json").select(*names).collect()
+    assert len(got) == 4 and sorted(map(tuple, got)) == sorted(map(tuple, index.select(*names).collect()))
+    names = ["match_id", "index", "event_id", "event_type"]
+    got = sorted(map(tuple, spark.read.json(f"{path}/events").select(*names).collect()))
+    assert got == sorted(map(tuple, wanted.select(*names).collect()))
+    assert len(got) == index.agg(F.sum("event_count")).first()[0]
+
+
 def test_rounds(spark):
     """A gap alone does not start a round: the round needs eight matches first."""
     days = [(1, 4), (6, 4), (7, 1), (20, 2), (40, 9), (41, 1)]
