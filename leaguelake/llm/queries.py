@@ -174,3 +174,83 @@ def op6_prefix_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leaguelake.llm.jaccard import joined
 
     return joined(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@register
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm.repair import damaged, repaired, turns_of
+
+    turns = turns_of(table(spark, sf_dir, "conversations"))
+    return repaired(damaged(turns), turns)
+
+
+#: States of a repaired conversation: 0 nothing, 1 a system turn, 2 a user turn, 3 an assistant turn.
+SQL["op12_conversation_repair"] = r"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256))::BIGINT AS i)),
+given AS (
+    SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+    FROM conversations),
+drawn AS (
+    SELECT conv_id, turn, role, text,
+           xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || list_transform(string_split(name, ''), lambda x: ord(x)::BIGINT),
+               lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS draw
+    FROM given, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE draw WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE draw WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM drawn WHERE draw <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+           trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+    FROM damaged),
+found AS (
+    SELECT conv_id, turn, role, text, pos, left(role, 1) AS initial, bare = '' AS blank, bare <> '' AND nth > 1 AS again,
+           bare <> '' AND nth = 1 AND right(bare, 1) NOT IN ('.', '!', '?') AS cut,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+    FROM placed),
+added(state, next, cost, letters, body) AS (
+    VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+           (0, 2, 2, 'I', chr(10) || 'user:'), (1, 2, 2, 'I', chr(10) || 'user:'), (3, 2, 2, 'I', chr(10) || 'user:'),
+           (2, 3, 2, 'I', chr(10) || 'assistant:'),
+           (0, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+           (1, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+edits(letter, initial, state, next, cost, role) AS (
+    VALUES ('D', NULL, 0, 0, 3, NULL), ('D', NULL, 1, 1, 3, NULL), ('D', NULL, 2, 2, 3, NULL), ('D', NULL, 3, 3, 3, NULL),
+           ('K', 's', 0, 1, 0, NULL), ('K', 'u', 0, 2, 0, NULL), ('K', 'u', 1, 2, 0, NULL), ('K', 'u', 3, 2, 0, NULL), ('K', 'a', 2, 3, 0, NULL),
+           ('R', NULL, 0, 2, 2, 'user'), ('R', NULL, 1, 2, 2, 'user'), ('R', NULL, 3, 2, 2, 'user'), ('R', NULL, 2, 3, 2, 'assistant')),
+ways AS (
+    SELECT conv_id, 0 AS pos, 0 AS state, {'cost': 0::BIGINT, 'letters': '', 'body': ''} AS best FROM (SELECT DISTINCT conv_id FROM given)
+    UNION ALL
+    SELECT f.conv_id, f.pos, e.next,
+           min({'cost': w.best.cost + i.cost + e.cost + CASE WHEN f.cut AND e.letter <> 'D' THEN 1 ELSE 0 END,
+                'letters': w.best.letters || i.letters || e.letter,
+                'body': w.best.body || i.body ||
+                    CASE e.letter WHEN 'D' THEN '' ELSE chr(10) || coalesce(e.role, f.role) || ':' || f.text END})
+    FROM ways w
+    JOIN found f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos + 1
+    JOIN added i ON i.state = w.state
+    JOIN edits e ON e.state = i.next AND (e.initial IS NULL OR e.initial = f.initial)
+        AND (e.letter = 'D' OR NOT (f.blank OR f.again))
+    GROUP BY f.conv_id, f.pos, e.next),
+counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+           count(*) FILTER (pos > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM found GROUP BY conv_id),
+ends AS (
+    SELECT w.conv_id, min({'cost': w.best.cost + i.cost, 'letters': w.best.letters || i.letters, 'body': w.best.body || i.body}) AS best
+    FROM ways w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+    JOIN added i ON i.state = w.state AND i.next IN (0, 3)
+    WHERE w.pos = coalesce(c.n, 0)
+    GROUP BY w.conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, e.best.cost::BIGINT AS cost, e.best.letters AS audit,
+       sha256(substr(e.best.body, 2)) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
