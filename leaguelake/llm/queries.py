@@ -254,3 +254,10 @@ SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank
        sha256(substr(e.best.body, 2)) AS repaired_sha256
 FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 """
+
+
+@register
+def op13_language_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm.language import identified
+
+    return identified(table(spark, sf_dir, "documents"))
