@@ -261,3 +261,34 @@ def op13_language_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leaguelake.llm.language import identified
 
     return identified(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leaguelake.llm.negatives import mined, scaled
+
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mined(scaled(rows.withColumn("label", label)))
+
+
+SQL["op11_rotated_codes"] = r"""
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+    FROM usable a JOIN usable r ON r.vec_id IS DISTINCT FROM a.vec_id AND len(a.v) = len(r.v)
+    WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+    AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
