@@ -194,9 +194,11 @@ def trained(pieces: list[tuple[str, list[str]]]) -> Model | None:
 
 def training(documents: DataFrame) -> DataFrame:
     """(lang, words): pieces of a bounded sample of the texts to learn from, those of least hashes in each language."""
-    known = documents.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL")
-    drawn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
-    sample = known.withColumn("place", F.row_number().over(drawn)).where(F.col("place") <= ROWS).select("lang", "text")
+    known = documents.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL").withColumn("drawn", F.xxhash64("doc_id", "text"))
+    first = Window.partitionBy("lang").orderBy("drawn")
+    hashes = known.select("lang", "drawn").distinct().withColumn("place", F.row_number().over(first)).where(F.col("place") <= ROWS)
+    chosen = F.broadcast(hashes.select("lang", "drawn"))  # at most ROWS a language: texts are only moved once chosen
+    sample = known.join(chosen, ["lang", "drawn"], "left_semi").dropDuplicates(["lang", "drawn"]).select("lang", "text")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 64):
