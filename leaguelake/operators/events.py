@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leaguelake import values
 from leaguelake.functions import columns as C
 from leaguelake.operators.joins import enrich, present
-from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows, global_row_number, row_number_per
+from leaguelake.operators.ordered import OrderedRows, global_row_number, row_number_per
 
 REPLAY_ORDER = ("period", "minute", "second", "index_num")
 
@@ -60,7 +60,7 @@ def goals_and_assists(
     )
 
 
-def scorers(events: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def scorers(events: DataFrame) -> DataFrame:
     """Ranked scorers from events: goals per player, name and team; assists per player over all teams.
 
     One scan: assists are counted at the finer grain and summed per player over the aggregated rows.
@@ -88,7 +88,7 @@ def scorers(events: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
         )
     )
     order = ["-goals", "-assists", "player_id", "player_name", "team_name"]
-    return global_row_number(stats, order, "rank", rows_per_range, store=True)
+    return global_row_number(stats, order, "rank", whole=True)
 
 
 def match_stats(events: DataFrame) -> DataFrame:
@@ -118,17 +118,17 @@ def replay_index(events: DataFrame, matches: DataFrame, n: int = 10) -> DataFram
     )
 
 
-def replay_events(events: DataFrame, index: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def replay_events(events: DataFrame, index: DataFrame) -> DataFrame:
     """Events of the indexed matches with their place in the replay; one flat row per event."""
     chosen = present(events, index, ["match_id"])
-    return row_number_per(chosen, ["match_id"], REPLAY_ORDER, "index", rows_per_range)
+    return row_number_per(chosen, ["match_id"], REPLAY_ORDER, "index")
 
 
 def replay_schedule(
     events: DataFrame,
     speed: int = 10,
     order_by: Sequence[str] = REPLAY_ORDER,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """When each event of a match is emitted.
 
@@ -139,11 +139,10 @@ def replay_schedule(
     timed = events.withColumn("clock_seconds", F.col("minute") * 60 + F.col("second"))
     previous = F.coalesce(F.col("_before"), F.lit(0))
     return (
-        OrderedRows(timed, order_by, ["match_id"], rows_per_range)
+        OrderedRows(timed, order_by, ["match_id"], ranges)
         .previous(_before="clock_seconds")
         .derive(delay_seconds=F.greatest(F.lit(0), F.col("clock_seconds") - previous))
-        .number("index", from_end="_back")
-        .running(_elapsed=("sum", "delay_seconds"))
+        .scan("index", "_back", _elapsed=("sum", "delay_seconds"))
         .result()
         .withColumn("total", F.col("index") + F.col("_back") - 1)
         .withColumn("emit_ms", F.col("_elapsed") * 1000.0 / speed)

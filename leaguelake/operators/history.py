@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake.functions import columns as C
-from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows, order_key, row_number_per, sort_columns
+from leaguelake.operators.ordered import OrderedRows, order_key, row_number_per, sort_columns
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], n: int = 1) -> DataFrame:
@@ -117,7 +117,6 @@ def scd2(
     entity: str = "team_name",
     period: str = "matchday",
     stats: str = "last",
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Position history: one row per run of periods at the same position.
 
@@ -132,8 +131,7 @@ def scd2(
         [period],
         ["-points", "-goal_difference", "-goals_for", entity],
         "position",
-        rows_per_range,
-        store=True,
+        whole=True,
     )
     # From here on a group is one entity with at most one row per period.
     by_period = Window.partitionBy(entity).orderBy(period)
@@ -193,7 +191,7 @@ def as_of_versions(
         F.col(entity).alias("_entity"), F.col(period).alias("_at"), F.lit(1).alias("_point"), F.struct("*").alias("_row")
     )
     both = asked.unionByName(starts, allowMissingColumns=True)
-    found = OrderedRows(both, ["_at", "_point"], ["_entity"]).running(_found=("max", "_version")).result()
+    found = OrderedRows(both, ["_at", "_point"], ["_entity"]).running(_found=("last", "_version")).result()
     valid = F.col("_entity").isNotNull() & (F.col("_at") <= F.col(f"_found.{last}"))
     values = [F.when(valid, F.col(f"_found.{c}")).alias(c) for c in rest]
     return found.filter("_point = 1").select("_row.*", *values)

@@ -1,34 +1,35 @@
 """Row numbers, running values and rolling frames that stay parallel when one group holds most of the rows.
 
 A window function sorts each of its groups in one task. That is fine for many small groups, but not for a ranking
-over a whole table (one group) or for a key that holds a third of all rows. Where a group has more than
-``rows_per_range`` rows, ``OrderedRows`` therefore cuts the total order (group columns, then order columns) into ranges:
+over a whole table (one group) or for a key that holds a third of all rows. ``OrderedRows`` therefore always works as a
+prefix sum over ranges of the total order (group columns, then order columns), in one lazy plan:
 
-* Spark range-partitions the rows by that order, which splits large groups evenly, and writes them once to the shared
-  folder together with the number of their range; everything after that reads the written table;
+* a sketch takes a fixed number of rows, by hash, map-side combined; its quantiles are the borders of as many ranges as
+  the session has shuffle partitions. Only borders inside a group that has at least two of them are kept: such a group holds
+  more than a range's share of the rows. Other groups are not cut;
 * windows run per (group, range);
-* what a range needs from earlier ranges of its group - a row count, a running sum, the last few rows - is aggregated
-  separately. The border between two ranges cuts at most one group, so there are fewer cut groups than ranges and the
-  carry rows can be broadcast whatever the size of the data.
+* what a range needs from earlier ranges of its group - a row count, a running value, the last few rows - is
+  aggregated per (group, range) of the cut groups alone, scanned over the ranges and handed back by range number. There are fewer
+  cut groups than ranges, so borders, partial values and carry rows are broadcast whatever the size of the data.
 
-The ranges decide only where rows are processed, never the result. Without a large group the plan is the plain window.
-The order must be unique inside a group (add a tie-break column).
+The ranges decide only where rows are processed, never the result. Nothing runs before the caller's action. Rows are read up to
+three times (sketch, partial values, windows), each time with the columns needed. The order must be unique inside a group (add a
+tie-break column), and the rows must be the same whenever they are computed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leaguelake.session import stored
-
-ROWS_PER_RANGE = 4_000_000
-MAX_RANGES = 20_000
+DRAWN = 32  # rows of the sketch for each range
 RANGE = "_range"
 BORROWED = "_borrowed"
+CUTS = "_cuts"
+USED = "_used"
 
 
 def descending(name: str) -> bool:
@@ -50,91 +51,119 @@ def reverse(order_by: Sequence[str]) -> list[str]:
     return [column_name(o) if descending(o) else f"-{o}" for o in order_by]
 
 
-def order_key(df: DataFrame, order_by: Sequence[str]) -> Column:
-    """One struct that sorts ascending like ``order_by``, for ``min_by``; descending columns must be numbers or times."""
-    fields: list[Column] = []
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def order_key_sql(df: DataFrame, order_by: Sequence[str]) -> str:
+    """One struct that sorts ascending like ``order_by``; descending columns must be numbers, times, texts or booleans.
+
+    A text is turned round as hexadecimal digits, mirrored, with an end that comes after all of them.
+    """
+    fields: list[str] = []
     for o in order_by:
-        c = F.col(column_name(o))
-        kind = df.schema[column_name(o)].dataType
+        name = column_name(o)
+        c, kind = quoted(name), df.schema[name].dataType
         if not descending(o):
             fields.append(c)
-        elif isinstance(kind, T.TimestampType | T.TimestampNTZType):
-            fields += [c.isNull(), -F.unix_micros(c.cast("timestamp"))]
+            continue
+        fields.append(f"isnull({c})")
+        if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+            fields.append(f"-unix_micros(cast({c} AS timestamp))")
         elif isinstance(kind, T.DateType):
-            fields += [c.isNull(), -F.unix_date(c)]
+            fields.append(f"-unix_date({c})")
+        elif isinstance(kind, T.IntegralType):
+            fields.append(f"~{c}")
         elif isinstance(kind, T.NumericType):
-            fields += [c.isNull(), ~F.isnan(c), -c] if isinstance(kind, T.FractionalType) else [c.isNull(), -c]
+            fields += [f"NOT isnan({c})", f"-{c}"] if isinstance(kind, T.FractionalType) else [f"-{c}"]
+        elif isinstance(kind, T.StringType | T.BinaryType):
+            fields.append(f"concat(translate(hex({c}), '0123456789ABCDEF', 'FEDCBA9876543210'), 'G')")
+        elif isinstance(kind, T.BooleanType):
+            fields.append(f"NOT {c}")
         else:
             raise ValueError(f"cannot sort {o} descending: {kind.simpleString()}")
-    return F.struct(*[f.alias(f"k{i}") for i, f in enumerate(fields)])
+    return f"struct({', '.join(f'{f} AS k{i}' for i, f in enumerate(fields))})"
+
 
+def order_key(df: DataFrame, order_by: Sequence[str]) -> Column:
+    return F.expr(order_key_sql(df, order_by))
 
-def null_safe(left: str, right: str, names: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for n in names:
-        out = out & F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}"))
-    return out
+
+def order_sql(order_by: Sequence[str]) -> str:
+    return ", ".join(f"{quoted(column_name(o))} {'DESC NULLS LAST' if descending(o) else 'ASC NULLS FIRST'}" for o in order_by)
 
 
 class OrderedRows:
     """Windows over the rows of ``df``, grouped by ``partition_by`` and ordered by ``order_by``.
 
-    Each method adds columns and returns the object; ``result()`` gives the DataFrame. The rows are counted first;
-    with ``store`` they are written once before, for rows that are expensive to compute and few, such as aggregates.
-    Call ``rolling`` and ``previous`` first: they add the borrowed rows, and later windows reuse their shuffle and sort.
+    Each method adds columns and returns the object; ``result()`` gives the DataFrame. ``ranges`` is the number of shuffle
+    partitions unless given. Call ``rolling`` and ``previous`` first: they add the borrowed rows, and later windows reuse
+    their shuffle and sort. With ``whole`` all passes use all columns: rows that come out of a shuffle are then shuffled
+    once and read again from there.
     """
 
     def __init__(
-        self,
-        df: DataFrame,
-        order_by: Sequence[str],
-        partition_by: Sequence[str] = (),
-        rows_per_range: int = ROWS_PER_RANGE,
-        store: bool = False,
+        self, df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (), ranges: int | None = None, whole: bool = False
     ):
-        self.partition_by, self.order_by = list(partition_by), list(order_by)
+        self.partition_by, self.order_by, self.whole = list(partition_by), list(order_by), whole
         self.columns = df.columns
-        rows = stored(df, "rows") if store else df
-        ranges = self._ranges(rows, rows_per_range)
-        self.split = ranges > 1
-        self.base = self._in_ranges(rows, ranges) if self.split else rows
+        self.ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.key = order_key_sql(df, self.order_by)
+        self.groups = ", ".join(map(quoted, self.partition_by))
+        self.base = self._in_ranges(df)
         self.frame = self.base
 
-    def _ranges(self, df: DataFrame, rows_per_range: int) -> int:
-        total = df.count()
-        if total > rows_per_range and self.partition_by:
-            sizes = df.groupBy(*self.partition_by).agg(F.count(F.lit(1)).alias("n"))
-            if sizes.agg(F.max("n")).first()[0] <= rows_per_range:
-                return 1
-        return min(-(-total // rows_per_range), MAX_RANGES)
-
-    def _in_ranges(self, df: DataFrame, ranges: int) -> DataFrame:
-        order = [*sort_columns(self.partition_by), *sort_columns(self.order_by)]
-        return stored(df.repartitionByRange(ranges, *order).withColumn(RANGE, F.spark_partition_id()), "ranges")
+    def _hash(self) -> str:
+        names = self.columns if self.whole else [*self.partition_by, *map(column_name, self.order_by)]
+        return f"xxhash64({', '.join(map(quoted, names))})"
+
+    def _borders(self, df: DataFrame) -> DataFrame:
+        """(group columns, cuts): the borders inside each group that is cut, fewer than there are ranges in all. They are kept in
+        chunks of equal size."""
+        names = [f"g{i}" for i in range(len(self.partition_by))]
+        fields = [f"{quoted(c)} AS {n}" for c, n in zip(self.partition_by, names, strict=True)]
+        rows = df.selectExpr(f"struct({', '.join([*fields, f'{self.key} AS key'])}) AS row", f"{self._hash()} AS drawn")
+        sample = rows.groupBy(F.expr(f"pmod(drawn, {DRAWN * self.ranges}) AS place")).agg(F.expr("min_by(row, drawn) AS row"))
+        ordered = sample.agg(F.expr("array_sort(collect_list(row)) AS rows"))  # at most DRAWN rows a range
+        place = f"cast(i * size(rows) div {self.ranges + 1} AS int)"
+        border = f"array_distinct(transform(sequence(1, {self.ranges}), i -> get(rows, {place})))"
+        each = ordered.selectExpr(f"explode({border}) AS row").where("row IS NOT NULL").select("row.*")
+        least = 2 if names else 1
+        cut = each.groupBy(*names).agg(F.expr("array_sort(collect_list(key)) AS b")).where(f"size(b) >= {least}")
+        width = "cast(ceil(sqrt(size(b))) AS int)"
+        chunks = f"transform(sequence(0, (size(b) - 1) div {width}), i -> slice(b, cast(i * {width} + 1 AS int), {width})) AS {CUTS}"
+        return cut.selectExpr(*[f"{n} AS {quoted(c)}" for n, c in zip(names, self.partition_by, strict=True)], chunks)
+
+    def _in_ranges(self, df: DataFrame) -> DataFrame:
+        """Rows with the number of their range - how many borders are at or below them - which is NULL in groups that are not
+        cut. About twice the square root of the number of borders are looked at."""
+        borders = self._borders(df)
+        if self.partition_by:
+            on = " AND ".join(f"rows.{quoted(c)} <=> cuts.{quoted(c)}" for c in self.partition_by)
+            joined = df.alias("rows").join(F.broadcast(borders).alias("cuts"), F.expr(on), "left").select("rows.*", CUTS)
+        else:
+            joined = df.withColumn(CUTS, borders.scalar())
+        chunks = f"size(filter({CUTS}, c -> c[0] <= {self.key}))"
+        inside = f"size(filter(get({CUTS}, {chunks} - 1), b -> b <= {self.key}))"
+        number = f"CASE WHEN {CUTS} IS NULL THEN NULL WHEN {chunks} = 0 THEN 0 ELSE ({chunks} - 1) * size({CUTS}[0]) + {inside} END AS {RANGE}"
+        return joined.selectExpr(*map(quoted, self.columns), number)
 
     def _cut(self) -> DataFrame:
-        """Rows of the groups that lie in more than one range, which are fewer than the ranges."""
-        if not self.partition_by:
-            return self.base
-        first, last = F.min(RANGE), F.max(RANGE)
-        groups = self.base.groupBy(*self.partition_by).agg(first.alias("_first"), last.alias("_last"))
-        cut = groups.filter(F.col("_first") < F.col("_last"))
-        on = null_safe("rows", "cut", self.partition_by)
-        return self.base.alias("rows").join(F.broadcast(cut.alias("cut")), on, "left_semi")
-
-    def _window(self) -> WindowSpec:
-        groups = self.partition_by + ([RANGE] if self.split else [])
-        return Window.partitionBy(*groups).orderBy(*sort_columns(self.order_by))
-
-    def _earlier(self) -> WindowSpec:
-        return Window.partitionBy(*self.partition_by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-
-    def _join_carry(self, carry: DataFrame) -> DataFrame:
-        """Carry rows exist for cut groups only: at most two per range, so the broadcast is bounded."""
-        on = null_safe("rows", "carry", [*self.partition_by, RANGE])
-        joined = self.frame.alias("rows").join(F.broadcast(carry.alias("carry")), on, "left")
-        added = [c for c in carry.columns if c not in (*self.partition_by, RANGE)]
-        return joined.select("rows.*", *[F.col(f"carry.{c}") for c in added])
+        """Rows of the groups that lie in more than one range."""
+        rows = self.base.where(f"{RANGE} IS NOT NULL")
+        return rows.withColumn(USED, F.expr(self._hash())) if self.whole else rows
+
+    def _per_range(self, *partials: str) -> DataFrame:
+        """Partial values of each (group, range) of the cut groups."""
+        used = [F.expr(f"max({USED}) AS {USED}")] if self.whole else []
+        out = self._cut().groupBy(*self.partition_by, RANGE).agg(*map(F.expr, partials), *used)
+        return out.where(f"{USED} IS NOT NULL") if self.whole else out
+
+    def _over(self, frame: str = "") -> str:
+        return f"OVER (PARTITION BY {', '.join(filter(None, [self.groups, RANGE]))} ORDER BY {order_sql(self.order_by)} {frame})"
+
+    def _earlier(self, frame: str = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING") -> str:
+        return f"OVER ({f'PARTITION BY {self.groups}' if self.groups else ''} ORDER BY {RANGE} {frame})"
 
     def derive(self, **columns: Column) -> OrderedRows:
         """Add row expressions; later windows can use them and the columns added so far."""
@@ -144,59 +173,52 @@ class OrderedRows:
 
     def number(self, name: str, from_end: str | None = None) -> OrderedRows:
         """Row number from 1 in ``name``; with ``from_end`` also the row number counted from the last row."""
-        window = self._window()
-        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        out = self.frame.withColumn(name, F.row_number().over(window).cast("long"))
-        if from_end:
-            out = out.withColumn(from_end, F.count(F.lit(1)).over(whole))
-        if self.split:
-            counts = self._cut().groupBy(*self.partition_by, RANGE).agg(F.count(F.lit(1)).alias("_n"))
-            carry = counts.select(
-                *self.partition_by,
-                RANGE,
-                F.sum("_n").over(self._earlier()).alias("_rows_before"),
-                F.sum("_n").over(Window.partitionBy(*self.partition_by)).alias("_rows_total"),
-            )
-            self.frame = out
-            out = self._join_carry(carry).withColumn(name, F.col(name) + F.coalesce("_rows_before", F.lit(0)))
-            if from_end:
-                out = out.withColumn(from_end, F.coalesce("_rows_total", from_end))
-            out = out.drop("_rows_before", "_rows_total")
-        if from_end:
-            out = out.withColumn(from_end, F.col(from_end) - F.col(name) + 1)
-        self.frame = out
-        return self
+        return self.scan(name, from_end)
 
     def running(self, **aggregates: tuple[str, str]) -> OrderedRows:
-        """Running ``sum``, ``count``, ``min`` or ``max`` up to the current row: ``total=("sum", "points")``."""
-        functions = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-        window = self._window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = self.frame
-        for name, (how, c) in aggregates.items():
-            out = out.withColumn(name, functions[how](c).over(window))
-        if self.split:
-            parts = self._cut().groupBy(*self.partition_by, RANGE).agg(
-                *[functions[how](c).alias(f"_carry_{name}") for name, (how, c) in aggregates.items()]
-            )
-            merge = {**functions, "count": F.sum}
-            carry = parts.select(
-                *self.partition_by,
-                RANGE,
-                *[
-                    merge[how](f"_carry_{name}").over(self._earlier()).alias(f"_carry_{name}")
-                    for name, (how, _) in aggregates.items()
-                ],
-            )
-            self.frame = out
-            out = self._join_carry(carry)
-            for name, (how, _) in aggregates.items():
-                if how in ("sum", "count"):
-                    both = F.coalesce(F.col(name) + F.col(f"_carry_{name}"), name, f"_carry_{name}")
-                else:
-                    both = (F.least if how == "min" else F.greatest)(F.col(name), F.col(f"_carry_{name}"))
-                out = out.withColumn(name, both)
-            out = out.drop(*[f"_carry_{name}" for name in aggregates])
-        self.frame = out
+        """Running ``sum``, ``count``, ``min``, ``max`` or ``last`` (not null) up to the current row: ``total=("sum", "points")``."""
+        return self.scan(**aggregates)
+
+    def scan(self, number: str | None = None, from_end: str | None = None, **aggregates: tuple[str, str]) -> OrderedRows:
+        """``number`` and ``running`` in one pass: values within each range, and the exclusive scan of the ranges' partial values
+        on top of them. Carry rows exist for cut groups only, at most two per range, so their broadcast is bounded."""
+        here, partials, scanned, done = [], [], [], []
+        if number:
+            here.append(f"cast(row_number() {self._over()} AS long) AS {quoted(number)}")
+            partials.append("count(1) AS _n")
+            scanned.append(f"sum(_n) {self._earlier()} AS _rows_before")
+            done.append(f"{quoted(number)} + coalesce(_rows_before, 0) AS {quoted(number)}")
+        if from_end:
+            here.append(f"count(1) {self._over('ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING')} AS {quoted(from_end)}")
+            scanned.append(f"sum(_n) {self._earlier('ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING')} AS _rows_total")
+            done.append(f"coalesce(_rows_total, {quoted(from_end)}) - ({quoted(number)} + coalesce(_rows_before, 0)) + 1 AS {quoted(from_end)}")
+        for i, (name, (how, c)) in enumerate(aggregates.items()):
+            name, c, carried = quoted(name), quoted(c), f"_carry{i}"
+            up_to = self._over("ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+            if how == "last":
+                here.append(f"last({c}, true) {up_to} AS {name}")
+                partials.append(f"max_by({c}, CASE WHEN {c} IS NOT NULL THEN {self.key} END) AS {carried}")
+                scanned.append(f"last({carried}, true) {self._earlier()} AS {carried}")
+            else:
+                here.append(f"{how}({c}) {up_to} AS {name}")
+                partials.append(f"{how}({c}) AS {carried}")
+                scanned.append(f"{'sum' if how == 'count' else how}({carried}) {self._earlier()} AS {carried}")
+            both = {
+                "sum": f"coalesce({name} + {carried}, {name}, {carried})",
+                "count": f"{name} + coalesce({carried}, 0)",
+                "min": f"least({name}, {carried})",
+                "max": f"greatest({name}, {carried})",
+                "last": f"coalesce({name}, {carried})",
+            }[how]
+            done.append(f"{both} AS {name}")
+        keys = [*map(quoted, self.partition_by), RANGE]
+        carry = self._per_range(*partials).selectExpr(*keys, *scanned)
+        on = " AND ".join(f"rows.{c} <=> carry.{c}" for c in keys)
+        kept = self.frame.columns
+        rows = self.frame.selectExpr("*", *here).alias("rows")
+        joined = rows.join(F.broadcast(carry).alias("carry"), F.expr(on), "left")
+        added = [x.rpartition(" AS ")[2] for x in scanned]
+        self.frame = joined.selectExpr("rows.*", *[f"carry.{c}" for c in added]).selectExpr(*map(quoted, kept), *done)
         return self
 
     def rolling(self, size: int, **aggregates: Column) -> OrderedRows:
@@ -209,14 +231,12 @@ class OrderedRows:
 
     def _framed(self, reach: int, expressions: Mapping[str, Column], frame) -> OrderedRows:
         out = self.frame
-        borrow = self.split and reach > 0
-        if borrow:
+        if reach > 0:
             borrowed = self._last_rows(reach).withColumn(BORROWED, F.lit(True))
             out = out.withColumn(BORROWED, F.lit(False)).unionByName(borrowed, allowMissingColumns=True)
-        window = frame(self._window())
-        for name, e in expressions.items():
-            out = out.withColumn(name, e.over(window))
-        self.frame = out.filter(~F.col(BORROWED)).drop(BORROWED) if borrow else out
+        window = frame(Window.partitionBy(*self.partition_by, RANGE).orderBy(*sort_columns(self.order_by)))
+        out = out.select("*", *[e.over(window).alias(name) for name, e in expressions.items()])
+        self.frame = out.where(f"NOT {BORROWED}").drop(BORROWED) if reach > 0 else out
         return self
 
     def _last_rows(self, reach: int) -> DataFrame:
@@ -224,22 +244,22 @@ class OrderedRows:
 
         Only the last ``reach`` rows of each (group, range) are kept before anything is collected.
         """
-        backwards = Window.partitionBy(*self.partition_by, RANGE).orderBy(*sort_columns(reverse(self.order_by)))
-        last = F.collect_list(F.struct((-F.col("_back")).alias("_back"), *self.columns))
+        keys = [*map(quoted, self.partition_by), RANGE]
+        backwards = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order_sql(reverse(self.order_by))}) AS _back"
+        fields = ", ".join(map(quoted, self.columns))
         tails = (
             self._cut()
-            .withColumn("_back", F.row_number().over(backwards))
-            .filter(F.col("_back") <= reach)
+            .selectExpr("*", backwards)
+            .where(f"_back <= {reach}")
             .groupBy(*self.partition_by, RANGE)
-            .agg(F.array_sort(last).alias("_tail"))
+            .agg(F.expr(f"array_sort(collect_list(struct(-_back AS _back, {fields}))) AS _tail"))
         )
-        nearby = Window.partitionBy(*self.partition_by).orderBy(RANGE).rowsBetween(-reach, -1)
-        earlier = F.flatten(F.collect_list("_tail").over(nearby))
+        nearby = self._earlier(f"ROWS BETWEEN {reach} PRECEDING AND 1 PRECEDING")
         return (
-            tails.select(RANGE, earlier.alias("_rows"))
-            .filter(F.size("_rows") > 0)
-            .select(RANGE, F.explode(F.slice("_rows", -F.least(F.size("_rows"), F.lit(reach)), F.lit(reach))))
-            .select(*[f"col.{c}" for c in self.columns], RANGE)
+            tails.selectExpr(RANGE, f"flatten(collect_list(_tail) {nearby}) AS _rows")
+            .where("size(_rows) > 0")
+            .selectExpr(RANGE, f"explode(slice(_rows, -least(size(_rows), {reach}), {reach}))")
+            .selectExpr(*[f"col.{quoted(c)}" for c in self.columns], RANGE)
         )
 
     def result(self) -> DataFrame:
@@ -247,22 +267,13 @@ class OrderedRows:
 
 
 def global_row_number(
-    df: DataFrame,
-    order_by: Sequence[str],
-    name: str = "position",
-    rows_per_range: int = ROWS_PER_RANGE,
-    store: bool = False,
+    df: DataFrame, order_by: Sequence[str], name: str = "position", ranges: int | None = None, whole: bool = False
 ) -> DataFrame:
     """Rank over the whole table without moving it into one task."""
-    return OrderedRows(df, order_by, (), rows_per_range, store).number(name).result()
+    return OrderedRows(df, order_by, (), ranges, whole).number(name).result()
 
 
 def row_number_per(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    order_by: Sequence[str],
-    name: str,
-    rows_per_range: int = ROWS_PER_RANGE,
-    store: bool = False,
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str, ranges: int | None = None, whole: bool = False
 ) -> DataFrame:
-    return OrderedRows(df, order_by, partition_by, rows_per_range, store).number(name).result()
+    return OrderedRows(df, order_by, partition_by, ranges, whole).number(name).result()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake.functions import columns as C
-from leaguelake.operators.ordered import ROWS_PER_RANGE, OrderedRows, sort_columns
+from leaguelake.operators.ordered import OrderedRows, sort_columns
 
 
 def unpivot_sides(
@@ -59,7 +59,7 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: str, total: str, value
     Equal order values form one step, as in a range frame.
     """
     steps = df.groupBy(*keys, order).agg(F.sum(value).alias(total))
-    return OrderedRows(steps, [order], keys, store=True).running(**{name: ("sum", total)}).result()
+    return OrderedRows(steps, [order], keys, whole=True).running(**{name: ("sum", total)}).result()
 
 
 def rolling_form(
@@ -67,11 +67,11 @@ def rolling_form(
     entity: str = "team_name",
     order_by: Sequence[str] = ("matchday", "match_id"),
     size: int = 5,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Rolling points, goals and form text over the last ``size`` results of each entity, with recency and momentum."""
     rows = (
-        OrderedRows(sides, order_by, [entity], rows_per_range)
+        OrderedRows(sides, order_by, [entity], ranges)
         .rolling(
             size,
             _n=F.count(F.lit(1)),
@@ -182,14 +182,13 @@ def by_local_date(
     time: str = "utc_date",
     zone_id: str = "America/New_York",
     tie_break: Sequence[str] = ("match_id",),
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Matches with their calendar date at a place and their place in that day's order.
 
     Rows stay flat: a busy date is numbered in ranges rather than collected into one array.
     """
     dated = matches.withColumn("local_date", C.local_date(time, zone_id))
-    return OrderedRows(dated, [time, *tie_break], ["local_date"], rows_per_range).number("place").result()
+    return OrderedRows(dated, [time, *tie_break], ["local_date"]).number("place").result()
 
 
 def league_totals(table: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from leaguelake.functions import columns as C
 from leaguelake.operators import quality
 from leaguelake.operators.history import distinct_on, latest_per_key, scd1, scd2
 from leaguelake.operators.joins import with_side_counts
-from leaguelake.operators.ordered import ROWS_PER_RANGE, global_row_number
+from leaguelake.operators.ordered import global_row_number
 from leaguelake.operators.results import cumulative, rolling_form, standings, unpivot_sides
 
 NEWEST = ("-ingested_at",)
@@ -54,10 +54,10 @@ def rates(table: DataFrame) -> DataFrame:
     )
 
 
-def league_table(matches: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def league_table(matches: DataFrame) -> DataFrame:
     """Ranked table with rates and qualification zones from match results."""
     table = standings(match_sides(matches))
-    ranked = global_row_number(table, TABLE_ORDER, "position", rows_per_range, store=True)
+    ranked = global_row_number(table, TABLE_ORDER, "position", whole=True)
     return rates(ranked).withColumn("qualification_zone", C.zone("position", "midtable"))
 
 
@@ -80,9 +80,9 @@ def recent_results(matches: DataFrame) -> DataFrame:
     )
 
 
-def team_stats(matches: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def team_stats(matches: DataFrame) -> DataFrame:
     """League table with wins and matches counted over both sides."""
-    return with_side_counts(league_table(matches, rows_per_range), match_sides(matches))
+    return with_side_counts(league_table(matches), match_sides(matches))
 
 
 def clean_scorers(scorers: DataFrame, order_by: Sequence[str] = NEWEST) -> DataFrame:
@@ -92,11 +92,9 @@ def clean_scorers(scorers: DataFrame, order_by: Sequence[str] = NEWEST) -> DataF
 SCORER_ORDER = ["-goals", "-assists", "player_id"]
 
 
-def ranked_scorers(
-    scorers: DataFrame, order_by: Sequence[str] = NEWEST, rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
+def ranked_scorers(scorers: DataFrame, order_by: Sequence[str] = NEWEST) -> DataFrame:
     """All scorers with their rank."""
-    return global_row_number(clean_scorers(scorers, order_by), SCORER_ORDER, "rank", rows_per_range)
+    return global_row_number(clean_scorers(scorers, order_by), SCORER_ORDER, "rank")
 
 
 def top_scorers(scorers: DataFrame, n: int = 30, order_by: Sequence[str] = NEWEST) -> DataFrame:
@@ -212,10 +210,10 @@ def points_race(results: DataFrame) -> DataFrame:
     )
 
 
-def form(results: DataFrame, size: int = 5, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def form(results: DataFrame, size: int = 5, ranges: int | None = None) -> DataFrame:
     """Rolling form per team, ordered by matchday and match id."""
     sides = live_sides(results, "match_id", "matchday").drop("side")
-    return rolling_form(sides, size=size, rows_per_range=rows_per_range)
+    return rolling_form(sides, size=size, ranges=ranges)
 
 
 def scd1_matches(
@@ -227,8 +225,8 @@ def scd1_matches(
     return live_matches_mart(clean_live(history, *kept))
 
 
-def scd2_standings(results: DataFrame, stats: str = "last", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    return scd2(live_sides(results, "matchday", "match_date"), stats=stats, rows_per_range=rows_per_range)
+def scd2_standings(results: DataFrame, stats: str = "last") -> DataFrame:
+    return scd2(live_sides(results, "matchday", "match_date"), stats=stats)
 
 
 def dim_matchdays(

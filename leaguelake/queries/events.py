@@ -186,9 +186,9 @@ def replay_schedule(spark, sf_dir):
 
 @query(schedule_sql("match_id % 3"))
 def replay_schedule_in_ranges(spark, sf_dir):
-    """Three very large matches, cut into ranges."""
+    """Three very large matches, which are cut into ranges."""
     large = events(spark, sf_dir).withColumn("match_id", F.col("match_id") % 3)
-    schedule = E.replay_schedule(large, speed=10, rows_per_range=max(1, large.count() // 10))
+    schedule = E.replay_schedule(large, speed=10)
     return schedule.select(*SCHEDULE_COLUMNS)
 
 

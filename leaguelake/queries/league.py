@@ -85,7 +85,7 @@ def league_table(spark, sf_dir):
 )
 def global_ranking(spark, sf_dir):
     df = load(spark, sf_dir, "matches").select("match_id", "match_date")
-    return global_row_number(df, ["-match_date", "match_id"], rows_per_range=5_000)
+    return global_row_number(df, ["-match_date", "match_id"])
 
 
 @query(with_ctes(*LIVE_STATE, select="SELECT * EXCLUDE (matchday_approx), matchday_approx AS matchday FROM live_state"))
@@ -111,9 +111,8 @@ def rolling_form(spark, sf_dir):
 
 @query(with_ctes(*FORM, select="SELECT * FROM form"))
 def rolling_form_in_ranges(spark, sf_dir):
-    """The same with teams cut into ranges, as a very large team would be."""
-    results = finished(spark, sf_dir)
-    return marts.form(results, rows_per_range=max(1, results.count() // 20))
+    """The same with so many ranges that teams are cut, as a very large team would be."""
+    return marts.form(finished(spark, sf_dir), ranges=100)
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from leaguelake.functions import columns as C
 from leaguelake.operators.events import REPLAY_ORDER, replay_events, replay_index
-from leaguelake.operators.ordered import ROWS_PER_RANGE, row_number_per, sort_columns
+from leaguelake.operators.ordered import row_number_per, sort_columns
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 JSON_OPTIONS = {"timestampFormat": ISO, "timestampNTZFormat": ISO, "ignoreNullFields": "false"}
@@ -91,11 +91,10 @@ def parts(
     order_by: Sequence[str],
     name: str,
     per_part: int,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Ordered rows of each key as arrays of at most ``per_part`` structs, numbered from 0 in ``part``."""
     fields = [c for c in df.columns if c != key]
-    numbered = row_number_per(df, [key], order_by, "_n", rows_per_range)
+    numbered = row_number_per(df, [key], order_by, "_n")
     rows = F.array_sort(F.collect_list(F.struct("_n", F.struct(*fields).alias("row"))))
     return (
         numbered.withColumn("part", F.floor((F.col("_n") - 1) / per_part))
@@ -109,7 +108,6 @@ def entity_documents(
     lists: Mapping[str, tuple[DataFrame, Sequence[str]]],
     key: str = "team_id",
     per_part: int = 1000,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """One nested document per entity: its table row and ordered lists, e.g. ``matches`` and ``scorers``.
 
@@ -119,17 +117,15 @@ def entity_documents(
     keys = table.select(key, F.lit(0).cast("long").alias("part"), F.struct("*").alias("standings"))
     out = keys
     for name, (df, order_by) in lists.items():
-        out = out.join(parts(df, key, order_by, name, per_part, rows_per_range), [key, "part"], "full")
+        out = out.join(parts(df, key, order_by, name, per_part), [key, "part"], "full")
     empty = [F.coalesce(F.col(n), F.array()).alias(n) for n in lists]
     return out.select(key, "part", "standings", *empty).join(table.select(key), key, "left_semi")
 
 
-def replay_bundle(
-    events: DataFrame, matches: DataFrame, n: int = 10, rows_per_range: int = ROWS_PER_RANGE
-) -> tuple[DataFrame, DataFrame]:
+def replay_bundle(events: DataFrame, matches: DataFrame, n: int = 10) -> tuple[DataFrame, DataFrame]:
     """Index of the ``n`` matches with most events, and their events in replay order."""
     index = replay_index(events, matches, n)
-    return index, replay_events(events, index, rows_per_range)
+    return index, replay_events(events, index)
 
 
 def export_replay(events: DataFrame, matches: DataFrame, path: str, n: int = 10) -> None:

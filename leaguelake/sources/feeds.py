@@ -269,12 +269,9 @@ def first_date(c: str, formats: Sequence[str] = tuple(values.CSV_DATE_FORMATS))
     return F.coalesce(*[parsed(f) for f in formats])
 
 
-def surrogate_ids(
-    df: DataFrame, order_by: Sequence[str], name: str, first: int, rows_per_range: int | None = None
-) -> DataFrame:
+def surrogate_ids(df: DataFrame, order_by: Sequence[str], name: str, first: int) -> DataFrame:
     """Ids ``first``, ``first + 1``, ... in a fixed order over the whole table."""
-    extra = {} if rows_per_range is None else {"rows_per_range": rows_per_range}
-    return global_row_number(df, order_by, name, **extra).withColumn(name, F.col(name) + (first - 1))
+    return global_row_number(df, order_by, name).withColumn(name, F.col(name) + (first - 1))
 
 
 def read_season_csv(spark: SparkSession, path: str, *more: str) -> DataFrame:
