@@ -48,22 +48,17 @@ def scd1(
 ) -> DataFrame:
     """Latest state per key with first and last time seen, number of versions and a correction flag.
 
-    One scan and one shuffle: state and history come from the same map-side combined aggregate, so a key with many
-    versions sends one row per map task.
+    The state is a group limit, which sends one row per key and map task; the history is a hash aggregate of one narrow
+    column. Both end partitioned by the key, so that joining them moves nothing. A key is one struct: structs compare
+    NULL fields as equal.
     """
-    rest = [c for c in df.columns if c not in (*keys, seen_at)]
-    first_in_order = order_key(df, order_by)
-    return (
-        df.groupBy(*keys)
-        .agg(
-            F.min_by(F.struct(*rest), first_in_order).alias("_state"),
-            F.min(seen_at).alias("first_seen_at"),
-            F.max(seen_at).alias("last_updated_at"),
-            F.count(F.lit(1)).alias("update_count"),
-        )
-        .select(*keys, "_state.*", "first_seen_at", "last_updated_at", "update_count")
-        .withColumn("is_correction", F.col("update_count") > 1)
+    key = F.struct(*keys).alias("_key")
+    state = top_per_key(df.select(key, *df.columns), ["_key"], order_by).drop(seen_at)
+    history = df.groupBy(key).agg(
+        F.min(seen_at).alias("first_seen_at"), F.max(seen_at).alias("last_updated_at"), F.count(F.lit(1)).alias("update_count")
     )
+    out = state.join(history, "_key").drop("_key")
+    return out.withColumn("is_correction", F.col("update_count") > 1)
 
 
 def change_islands(

@@ -12,13 +12,25 @@ HOT_SHARE = 0.002
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """One row with the array of keys that hold more than ``share`` of the rows, at most 1 / ``share`` of them.
+    """One row with the array of keys that hold more than ``share`` of the rows, from one pass.
 
-    Keys are counted within each task first, so a hot key sends one row per task. NULL is no key.
+    A frequent-items sketch counts keys within each task and merges the tasks' sketches: keys above the share are in it, and no
+    key is shuffled. NULL is no key; without keys the array is empty.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") > total * share).agg(F.collect_list(key).alias("hot"))
+    most = int(1 / share)
+    return df.agg(
+        F.expr(f"approx_top_k({key}, {most}, {16 * most})").alias("top"), F.count(F.lit(1)).alias("total"), F.count(key).alias("known")
+    ).select(
+        F.when(F.col("known") == 0, F.array().cast(f"array<{dict(df.dtypes)[key]}>"))
+        .otherwise(F.transform(F.filter("top", lambda x: x["item"].isNotNull() & (x["count"] > F.col("total") * share)), lambda x: x["item"]))
+        .alias("hot")
+    )
+
+
+def broadcast_by_size(dim: DataFrame) -> bool:
+    """Whether Spark's estimate of a table's size lets it broadcast the table."""
+    conf = dim.sparkSession._jsparkSession.sessionState().conf()
+    return 0 <= dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= conf.autoBroadcastJoinThreshold()
 
 
 def enrich(
@@ -31,11 +43,13 @@ def enrich(
 ) -> DataFrame:
     """Join a table with one row per key to a large table in which some keys may hold most of the rows.
 
-    Rows of hot keys are spread over ``salts`` buckets by a hash of ``spread_by`` (a row's own values, so a retried
-    task puts it in the same bucket) and only the hot dimension rows are repeated. Which keys are hot changes the
-    layout, never the result. Rows without a key match nothing and are spread too. Spark still broadcasts the
-    dimension where its measured size allows it.
+    Where Spark's size estimate of the dimension lets it broadcast, this is a plain join and the fact is read once. Otherwise rows of hot
+    keys are spread over ``salts`` buckets by a hash of ``spread_by`` (a row's own values, so a retried task puts it in the
+    same bucket) and only the hot dimension rows are repeated. Which keys are hot changes the layout, never the
+    result. Rows without a key match nothing and are spread too.
     """
+    if broadcast_by_size(dim):
+        return fact.join(dim, key, how)
     hot = hot_keys(fact, key)
     is_hot = F.coalesce(F.array_contains(F.col("_hot"), F.col(key)), F.lit(False))
     spread = is_hot | F.col(key).isNull()

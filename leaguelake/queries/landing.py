@@ -79,12 +79,12 @@ def replace_partitions(spark, sf_dir):
 
 
 @query(
-    """SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem WHERE NOT (l_returnflag = 'R' AND l_orderkey IN
- (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1)) UNION ALL
+    """SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem WHERE l_orderkey NOT IN
+ (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1) UNION ALL
  SELECT l_orderkey, -l_partkey, l_returnflag FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1"""
 )
 def replace_keys(spark, sf_dir):
-    """All rows of the batch's keys are replaced, inside the one partition that the batch touches."""
+    """All rows of the batch's keys are replaced, in all partitions."""
     path = new_folder(spark, "keys")
     rows = table(spark, sf_dir, "lineitem")
     landing.replace_partitions(rows.select("l_orderkey", "l_partkey", "l_returnflag"), path, ["l_returnflag"])
@@ -95,6 +95,24 @@ def replace_keys(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(
+    """SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem WHERE l_orderkey NOT IN
+ (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1 AND l_returnflag IN ('R', 'N')) UNION ALL
+ SELECT l_orderkey, -l_partkey, CASE l_returnflag WHEN 'N' THEN 'X' ELSE 'A' END FROM lineitem
+ WHERE l_linenumber = 1 AND l_returnflag IN ('R', 'N')"""
+)
+def replace_moved_keys(spark, sf_dir):
+    """Keys move to another partition, old or new; their rows leave all partitions that had any."""
+    path = new_folder(spark, "moved-keys")
+    rows = table(spark, sf_dir, "lineitem")
+    landing.replace_partitions(rows.select("l_orderkey", "l_partkey", "l_returnflag"), path, ["l_returnflag"])
+    batch = rows.filter("l_linenumber = 1 AND l_returnflag IN ('R', 'N')").selectExpr(
+        "l_orderkey", "-l_partkey AS l_partkey", "CASE l_returnflag WHEN 'N' THEN 'X' ELSE 'A' END AS l_returnflag"
+    )
+    landing.replace_keys(batch, path, ["l_orderkey"], ["l_returnflag"])
+    return spark.read.parquet(path)
+
+
 @query(
     with_ctes(
         *CLEAN,

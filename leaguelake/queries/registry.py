@@ -146,32 +146,29 @@ FORM = [
 def versions(stats: str = "last") -> list[str]:
     """Position history; ``stats`` as in the operator."""
 
-    def at_end(c: str) -> str:
-        return f"max({c}) AS {c}" if stats == "max" else f"max_by({c}, matchday) AS {c}"
-
-    measures = ", ".join(at_end(c) for c in ("points", "played", "goals_for", "goals_against", "goal_difference"))
+    value = "max(x.{0})" if stats == "max" else "arg_max(x.{0}, x.matchday)"
+    at_end = ", ".join(f"{value.format(c)} AS {c}" for c in ("points", "played", "goals_for", "goals_against", "goal_difference"))
     return [
         *LIVE_SIDES,
-        """per_matchday AS (SELECT team_name, matchday, sum(pts) AS p, sum(gf) AS f, sum(ga) AS a, count(*) AS n,
- max(match_date) AS d FROM live_sides GROUP BY team_name, matchday)""",
-        """totals AS (SELECT team_name, matchday, CAST(sum(p) OVER w AS BIGINT) AS points,
- CAST(sum(f) OVER w AS BIGINT) AS goals_for, CAST(sum(a) OVER w AS BIGINT) AS goals_against,
- CAST(sum(f) OVER w - sum(a) OVER w AS BIGINT) AS goal_difference, CAST(sum(n) OVER w AS BIGINT) AS played,
- max(d) OVER w AS matchday_date FROM per_matchday WINDOW w AS (PARTITION BY team_name ORDER BY matchday))""",
-        """ranked AS (SELECT *, row_number() OVER (PARTITION BY matchday ORDER BY points DESC, goal_difference DESC,
- goals_for DESC, team_name) AS position FROM totals)""",
-        """marked AS (SELECT *, CASE WHEN lag(position) OVER w = position THEN 0 ELSE 1 END AS changed FROM ranked
- WINDOW w AS (PARTITION BY team_name ORDER BY matchday))""",
-        """grouped AS (SELECT *, sum(changed) OVER (PARTITION BY team_name ORDER BY matchday) AS version_group
- FROM marked)""",
-        f"""collapsed AS (SELECT team_name, position, min(matchday) AS valid_from_matchday,
- max(matchday) AS valid_to_matchday, min(matchday_date) AS valid_from_date, max(matchday_date) AS valid_to_date,
- {measures}, max(matchday) - min(matchday) + 1 AS matchdays_held FROM grouped
- GROUP BY team_name, position, version_group)""",
-        """versions AS (SELECT *, lag(position) OVER w AS prev_position, CASE WHEN lag(position) OVER w IS NULL
- THEN 'NEW' WHEN position < lag(position) OVER w THEN 'UP' WHEN position > lag(position) OVER w THEN 'DOWN'
- ELSE 'SAME' END AS movement, valid_to_matchday = max(valid_to_matchday) OVER (PARTITION BY team_name) AS is_current
- FROM collapsed WINDOW w AS (PARTITION BY team_name ORDER BY valid_from_matchday))""",
+        """days AS (SELECT DISTINCT team_name, matchday FROM live_sides)""",
+        # totals by a join with all earlier results, not by a window
+        """sums AS (SELECT d.team_name, d.matchday, CAST(sum(s.pts) AS BIGINT) AS points, count(*) AS played,
+ CAST(sum(s.gf) AS BIGINT) AS goals_for, CAST(sum(s.ga) AS BIGINT) AS goals_against,
+ CAST(sum(s.gf - s.ga) AS BIGINT) AS goal_difference, max(s.match_date) AS until
+ FROM days d JOIN live_sides s ON s.team_name = d.team_name AND s.matchday <= d.matchday GROUP BY d.team_name, d.matchday)""",
+        """places AS (SELECT *, row_number() OVER (PARTITION BY matchday ORDER BY points DESC, goal_difference DESC,
+ goals_for DESC, team_name) AS position FROM sums)""",
+        # rows of one run have the same difference between their number in the team and in (team, position)
+        """runs AS (SELECT *, row_number() OVER (PARTITION BY team_name ORDER BY matchday)
+ - row_number() OVER (PARTITION BY team_name, position ORDER BY matchday) AS run FROM places)""",
+        f"""spans AS (SELECT x.team_name, x.position, x.run, min(x.matchday) AS valid_from_matchday, max(x.matchday) AS valid_to_matchday,
+ min(x.until) AS valid_from_date, max(x.until) AS valid_to_date, {at_end} FROM runs x GROUP BY x.team_name, x.position, x.run)""",
+        """versions AS (SELECT v.* EXCLUDE (run), v.valid_to_matchday - v.valid_from_matchday + 1 AS matchdays_held,
+ o.position AS prev_position, CASE WHEN o.position IS NULL THEN 'NEW' WHEN o.position > v.position THEN 'UP'
+ WHEN o.position < v.position THEN 'DOWN' ELSE 'SAME' END AS movement,
+ NOT EXISTS (SELECT 1 FROM days d WHERE d.team_name = v.team_name AND d.matchday > v.valid_to_matchday) AS is_current
+ FROM spans v LEFT JOIN spans o ON o.team_name = v.team_name AND o.valid_to_matchday =
+ (SELECT max(d.matchday) FROM days d WHERE d.team_name = v.team_name AND d.matchday < v.valid_from_matchday))""",
     ]
 
 

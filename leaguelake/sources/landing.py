@@ -83,6 +83,48 @@ def append_bronze(df: DataFrame, path: str, at=None) -> None:
     stamped(df, at).write.mode("append").partitionBy("ingest_date").parquet(path)
 
 
+RANGES = "_key_ranges"  # beside the data; Spark does not read folders whose names begin with an underscore
+
+
+def below(path: str) -> str:
+    """What comes before a file's name in the table: the name that its folder ends in."""
+    return f"/{path.rstrip('/').rpartition('/')[2]}/"
+
+
+def written_files(spark: SparkSession, path: str) -> dict[str, str]:
+    """The files of a table by their names in it."""
+    table = read_or_none(spark, path)
+    return {} if table is None else {f.rpartition(below(path))[2]: f for f in table.inputFiles()}
+
+
+def record_ranges(spark: SparkSession, path: str, key: str) -> None:
+    """Note the least and greatest key and the number of rows of each file that has no note yet.
+
+    Only files that are new are read, and of them one column. What a lost run has not noted, the next one notes.
+    """
+    noted = read_or_none(spark, f"{path}/{RANGES}")
+    known = set() if noted is None else {r.file for r in noted.select("file").collect()}
+    new = [f for name, f in sorted(written_files(spark, path).items()) if name not in known]
+    if new:
+        file = F.substring_index(F.col("_metadata.file_path"), below(path), -1).alias("file")
+        notes = spark.read.parquet(*new).select(file, F.col(key).alias("key")).groupBy("file")
+        ranges = notes.agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("n"))
+        ranges.coalesce(1).write.mode("append").parquet(f"{path}/{RANGES}")
+
+
+def that_may_hold(batch: DataFrame, path: str, key: str) -> DataFrame | None:
+    """The files of a table whose key range meets that of the batch; None if there are none. Files without a note are read."""
+    spark = batch.sparkSession
+    files = written_files(spark, path)
+    noted = read_or_none(spark, f"{path}/{RANGES}")
+    if noted is not None and files:
+        ends = batch.agg(F.min(key).alias("least"), F.max(key).alias("most")).first()
+        apart = F.lit(True) if ends.least is None else (F.col("low") > F.lit(ends.most)) | (F.col("high") < F.lit(ends.least))
+        for r in noted.filter(F.coalesce(apart, F.lit(True))).select("file").collect():
+            files.pop(r.file, None)
+    return spark.read.parquet(*sorted(files.values())) if files else None
+
+
 def new_rows(batch: DataFrame, target: DataFrame | None, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Rows of the batch whose key is not in the target, one per key (the first in ``order_by``).
 
@@ -94,16 +136,24 @@ def new_rows(batch: DataFrame, target: DataFrame | None, keys: Sequence[str], or
 
 
 def insert_new_keys(batch: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
-    """Append only keys the table does not have; a second call with the same batch adds nothing."""
-    target = read_or_none(batch.sparkSession, path)
+    """Append only keys the table does not have; a second call with the same batch adds nothing. Files whose range of the first
+    key column lies outside the batch's are not read."""
+    target = that_may_hold(batch, path, keys[0])
     new_rows(batch, target, keys, order_by).write.mode("append").parquet(path)
+    record_ranges(batch.sparkSession, path, keys[0])
 
 
 def incremental_append(source: DataFrame, path: str, key: str) -> None:
-    """Append rows with unseen keys; the first run writes everything, and columns may be added later on."""
-    target = read_or_none(source.sparkSession, path)
-    rows = source if target is None else absent(source, target, [key])
+    """Append rows with unseen keys; the first run writes everything, and columns may be added later on. Files whose range of
+    keys lies outside the source's are not read."""
+    first = not written_files(source.sparkSession, path)
+    target = None if first else that_may_hold(source, path, key)
+    if target is not None:
+        rows = absent(source, present(target.select(key), source, [key]), [key])
+    else:
+        rows = source if first else source.filter(F.col(key).isNotNull())
     rows.write.mode("append").parquet(path)
+    record_ranges(source.sparkSession, path, key)
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
@@ -123,17 +173,38 @@ def with_replaced_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str])
 
 
 def replace_keys(batch: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
-    """Replace all rows of the batch's keys.
+    """Replace all rows of the batch's keys, in whatever partitions they are.
 
-    A key must stay in its partition. Only partitions that the batch touches are read and rewritten.
+    The partitions that hold one of the keys are found by a semi join over key and partition columns; they are rewritten
+    together with the batch's own in one dynamic overwrite, which leaves the table as it was if it fails. A partition that
+    has no rows left is emptied after that; a run that is lost in between is made good by repeating it.
     """
-    target = read_or_none(batch.sparkSession, path)
+    spark = batch.sparkSession
+    target = read_or_none(spark, path)
     if target is None:
-        rows = batch
-    else:
-        touched = present(target, batch.select(*partition_by).distinct(), partition_by)
-        rows = with_replaced_keys(touched, batch, keys)
+        replace_partitions(batch, path, partition_by)
+        return
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder")
+    holding = present(target.select(*keys, *partition_by, folder), batch, keys).select(*partition_by, "_folder").distinct()
+    held = {r._folder: r for r in holding.collect()}  # folders, which the driver lists anyway
+    own = batch.select(*partition_by).distinct()
+    touched = own.unionByName(spark.createDataFrame(list(held.values()), holding.schema).drop("_folder")) if held else own
+    rows = with_replaced_keys(same_partition(target, touched.distinct(), partition_by), batch, keys)
+    left = rows.select(*partition_by).distinct()
+    emptied = []
+    if held:
+        before = spark.createDataFrame(list(held.values()), holding.schema)
+        emptied = [r._folder for r in same_partition(before, left, partition_by, "left_anti").select("_folder").collect()]
     replace_partitions(rows, path, partition_by)
+    bare = T.StructType([f for f in target.schema if f.name not in partition_by])
+    for name in emptied:
+        spark.createDataFrame([], bare).write.mode("overwrite").parquet(name)
+
+
+def same_partition(df: DataFrame, partitions: DataFrame, names: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows in one of the partitions, or in none of them; a NULL value is a partition like others."""
+    on = reduce(lambda a, b: a & b, [F.col(f"rows.{n}").eqNullSafe(F.col(f"parts.{n}")) for n in names])
+    return df.alias("rows").join(partitions.alias("parts"), on, how)
 
 
 def logged_write(df: DataFrame, path: str, log_path: str, name: str, details: str = "") -> None:

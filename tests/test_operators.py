@@ -176,11 +176,13 @@ def test_all_scorers_are_served(spark):
     rows = [(i, 1000 - i // 2, i % 3, 0) for i in range(500)] + [(7, 5000, 0, 1), (None, 9, 9, 0)]
     scorers = spark.createDataFrame(rows, "player_id long, goals int, assists int, seq int")
     want = sorted(((-g, -a, i) for i, g, a, s in rows if i is not None and (i != 7 or s)))
-    for size in (1_000_000, 50):
-        ranked = marts.ranked_scorers(scorers, ["-seq"], size)
+    for ranges in (8, 1):
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        ranked = marts.ranked_scorers(scorers, ["-seq"])
         got = [(r["rank"], r.player_id) for r in serving.scorers(ranked).collect()]
         assert got == [(n, i) for n, (_, _, i) in enumerate(want, 1)]
         assert [r.player_id for r in serving.scorers(ranked, 300).collect()] == [i for *_, i in want[:300]]
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
 
 
 def test_race_has_teams_outside_the_list(spark, monkeypatch):
@@ -371,3 +373,70 @@ def test_pivot_over_all_teams(spark):
 
     race = spark.createDataFrame([(1, "x", 3), (1, "y", 1), (2, "x", 4)], "matchday int, team_name string, cumulative_points int")
     assert results.pivot_race(race).columns == ["matchday", "x", "y"]
+
+
+def test_replace_keys_wherever_they_are(spark):
+    path = new_folder(spark, "test-moved")
+    shape = "k int, p string, v int"
+    landing.replace_keys(spark.createDataFrame([(1, "x", 1), (2, "y", 1), (3, "y", 1), (4, None, 1), (5, "z", 1)], shape), path, ["k"], ["p"])
+    landing.replace_keys(spark.createDataFrame([(1, "y", 2), (4, "w", 2), (6, None, 2)], shape), path, ["k"], ["p"])
+    out = sorted(map(str, (tuple(r) for r in spark.read.parquet(path).select("k", "p", "v").collect())))
+    assert out == sorted(map(str, [(1, "y", 2), (2, "y", 1), (3, "y", 1), (4, "w", 2), (5, "z", 1), (6, None, 2)]))
+    landing.replace_keys(spark.createDataFrame([], shape), path, ["k"], ["p"])
+    assert spark.read.parquet(path).count() == 6
+
+
+def test_failed_replacement_leaves_the_table(spark):
+    path = new_folder(spark, "test-failed")
+    shape = "k int, p string, v int"
+    landing.replace_keys(spark.createDataFrame([(1, "x", 1), (2, "y", 1)], shape), path, ["k"], ["p"])
+    broken = spark.createDataFrame([(1, "y", 0)], shape).withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        landing.replace_keys(broken, path, ["k"], ["p"])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("k", "p", "v").collect()) == [(1, "x", 1), (2, "y", 1)]
+
+
+def test_inserts_read_files_that_can_hold_the_keys(spark):
+    path = new_folder(spark, "test-ranges")
+    for first in (0, 100, 200):
+        landing.insert_new_keys(spark.range(first, first + 100).coalesce(1), path, ["id"], ["id"])
+    batch = spark.range(150, 250, 10)
+    assert len(landing.that_may_hold(batch, path, "id").inputFiles()) == 2
+    assert landing.that_may_hold(spark.range(900, 901), path, "id") is None
+    assert landing.that_may_hold(spark.range(0), path, "id") is None
+    landing.insert_new_keys(spark.range(250, 350, 10), path, ["id"], ["id"])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [*range(300), *range(300, 350, 10)]
+    spark.range(1000, 1010).write.mode("append").parquet(path)  # written by others, or by a run that was lost: not noted yet
+    landing.insert_new_keys(spark.range(1005, 1015), path, ["id"], ["id"])
+    assert spark.read.parquet(path).filter("id >= 1000").count() == 15
+    keys = "_key_ranges"
+    assert sum(r.n for r in spark.read.parquet(f"{path}/{keys}").collect()) == spark.read.parquet(path).count()
+
+
+def test_scd1_plan_and_null_keys(spark):
+    rows = [(1, None, "a", 1), (1, None, "b", 2), (None, 2, "c", 3), (None, 2, "d", 1), (1, 2, "e", 5)]
+    df = spark.createDataFrame(rows, "k int, l int, v string, ingested_at int").repartition(3)
+    out = history.scd1(df, ["k", "l"], ["-ingested_at", "v"])
+    got = {(r.k, r.l): (r.v, r.first_seen_at, r.last_updated_at, r.update_count, r.is_correction) for r in out.collect()}
+    assert got == {(1, None): ("b", 1, 2, 2, True), (None, 2): ("c", 1, 3, 2, True), (1, 2): ("e", 5, 5, 1, False)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+
+
+def test_enrich_reads_the_fact_once_where_spark_broadcasts(spark):
+    fact = spark.range(1000).selectExpr("id", "id % 7 AS k")
+    dim = spark.range(5).selectExpr("id AS k", "id * 2 AS w")
+    plain = joins.enrich(fact, dim, "k", ["id"])
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Range (0, 1000") == 1
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = joins.enrich(fact, dim, "k", ["id"])
+        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+        left = joins.enrich(fact.withColumn("k", F.when(F.col("k") > 2, F.col("k"))), dim, "k", ["id"], "left")
+        assert left.count() == 1000 and left.filter("w IS NOT NULL").count() == fact.filter("k IN (3, 4)").count()
+        assert joins.enrich(fact.limit(0), dim, "k", ["id"], "left").count() == 0
+        assert set(joins.hot_keys(fact, "k").first().hot) == set(range(7))
+        assert joins.hot_keys(fact.withColumn("k", F.lit(None).cast("long")), "k").first().hot == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
