@@ -32,6 +32,32 @@ def run(spark, streaming_df, mode, each=None):
     return path
 
 
+def run_value(spark, streaming_df, value):
+    path = new_folder(spark, "running")
+    L.run_running(streaming_df, path, new_folder(spark, "stream-checkpoint"), value)
+    return L.running_value(spark, path, value)
+
+
+def run_restarted(spark, sf_dir, name, columns, value, order):
+    """A table dealt to eight files in the order of a hash, one for each micro-batch, which land before the first run, before a second
+    and before a third run of the stream: most rows come late."""
+    landed, path, checkpoint = (new_folder(spark, x) for x in ("landed", "running", "stream-checkpoint"))
+    rows = table(spark, sf_dir, name).withColumn("_file", F.pmod(F.xxhash64(order), F.lit(8)))
+    rows = rows.repartition(8, "_file")
+    schema = rows.drop("_file").schema
+    for files in ((0, 1, 2), (3, 4, 5), (6, 7)):
+        for f in files:
+            rows.filter(F.col("_file") == f).drop("_file").coalesce(1).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+        L.run_running(stream.selectExpr(*columns), path, checkpoint, value, every=3)
+    return L.running_value(spark, path, value)
+
+
+def restarted(spark, sf_dir, adapter, value, order):
+    source, columns = ADAPTERS[adapter]
+    return run_restarted(spark, sf_dir, source, [f"{e} AS {n}" for n, e in columns.items()], value, order)
+
+
 COUNTS = "counts AS (SELECT match_id, event_type, count(*) AS n FROM match_events GROUP BY ALL)"
 TOUCH = "event_type IN ('Pass', 'Carry', 'Ball Receipt*', 'Dribble', 'Shot')"
 
@@ -45,8 +71,12 @@ TOUCH = "event_type IN ('Pass', 'Carry', 'Ball Receipt*', 'Dribble', 'Shot')"
     )
 )
 def stream_counts_by_type(spark, sf_dir):
-    path = run(spark, L.counts_by_type(events(spark, sf_dir)), "update")
-    return L.top_types(L.newest(spark, path, ["match_id", "event_type"]))
+    return L.top_types(run_value(spark, events(spark, sf_dir), L.COUNTS_BY_TYPE))
+
+
+@query(with_ctes(*EVENTS, COUNTS, select="SELECT * FROM counts"))
+def stream_counts_restarted(spark, sf_dir):
+    return restarted(spark, sf_dir, "match_events", L.COUNTS_BY_TYPE, "event_id")
 
 
 @query(
@@ -58,8 +88,7 @@ def stream_counts_by_type(spark, sf_dir):
     )
 )
 def stream_team_comparison(spark, sf_dir):
-    path = run(spark, L.counts_by_team(events(spark, sf_dir)), "update")
-    counts = L.newest(spark, path, ["match_id", "team_name", "event_type"])
+    counts = run_value(spark, events(spark, sf_dir), L.COUNTS_BY_TEAM)
     return L.compare_teams(counts, ["Pass", "Shot", "Foul Committed"])
 
 
@@ -71,8 +100,7 @@ def stream_team_comparison(spark, sf_dir):
     )
 )
 def stream_possession(spark, sf_dir):
-    path = run(spark, L.touches(events(spark, sf_dir)), "update")
-    return L.possession(L.newest(spark, path, ["match_id", "team_name"]))
+    return L.possession(run_value(spark, events(spark, sf_dir), L.TOUCHES))
 
 
 @query(
@@ -107,8 +135,23 @@ def stream_events_per_second(spark, sf_dir):
 )
 def stream_progress(spark, sf_dir):
     totals = load(spark, sf_dir, "match_events").groupBy("match_id").agg(F.count(F.lit(1)).alias("total"))
-    path = run(spark, L.progress(events(spark, sf_dir)), "update")
-    return L.with_progress(L.newest(spark, path, ["match_id"]), totals)
+    return L.with_progress(run_value(spark, events(spark, sf_dir), L.PROGRESS), totals)
+
+
+@query(
+    with_ctes(
+        *EVENTS,
+        select=f"""SELECT match_id, count(*) FILTER (WHERE event_id % 3 = 0) AS seen,
+ count(*) FILTER (WHERE event_id % 3 = 0 AND {GOAL}) AS goals_so_far, count(*) AS total,
+ round(CAST(count(*) FILTER (WHERE event_id % 3 = 0) AS DOUBLE) / count(*) * 100, 1) AS progress_pct
+ FROM match_events GROUP BY match_id HAVING count(*) FILTER (WHERE event_id % 3 = 0) > 0""",
+    )
+)
+def stream_progress_midway(spark, sf_dir):
+    """A third of the events have arrived; totals are those of the whole matches."""
+    totals = load(spark, sf_dir, "match_events").groupBy("match_id").agg(F.count(F.lit(1)).alias("total"))
+    arrived = events(spark, sf_dir).filter("event_id % 3 = 0")
+    return L.with_progress(run_value(spark, arrived, L.PROGRESS), totals)
 
 
 @query(
@@ -117,8 +160,16 @@ def stream_progress(spark, sf_dir):
     )
 )
 def stream_running_score(spark, sf_dir):
-    path = run(spark, L.running_score(events(spark, sf_dir)), "update")
-    return L.newest(spark, path, ["match_id", "team_name"])
+    return run_value(spark, events(spark, sf_dir), L.RUNNING_SCORE)
+
+
+@query(
+    with_ctes(
+        *EVENTS, select=f"SELECT match_id, team_name, count(*) AS goals FROM match_events WHERE {GOAL} GROUP BY ALL"
+    )
+)
+def stream_running_score_restarted(spark, sf_dir):
+    return restarted(spark, sf_dir, "match_events", L.RUNNING_SCORE, "event_id")
 
 
 @query("SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 100")
@@ -155,7 +206,21 @@ def stream_poll(spark, sf_dir):
     )
 )
 def stream_latest_state(spark, sf_dir):
-    rows = adapted(spark, sf_dir, "live_matches").select(
-        "match_id", "status", "home_score", "away_score", "ingested_at", "ingest_seq"
+    rows = adapted(spark, sf_dir, "live_matches").select(*STATE)
+    return run_value(spark, rows, L.latest(["match_id"], NEWEST))
+
+
+STATE = ["match_id", "status", "home_score", "away_score", "ingested_at", "ingest_seq"]
+
+
+@query(
+    with_ctes(
+        cte("live_matches"),
+        select=f"""SELECT match_id, status, home_score, away_score, ingested_at, ingest_seq
+ FROM {newest('live_matches', 'match_id')}""",
     )
-    return L.newest(spark, run(spark, L.latest_state(rows, ["match_id"], NEWEST), "update"), ["match_id"])
+)
+def stream_latest_state_restarted(spark, sf_dir):
+    source, columns = ADAPTERS["live_matches"]
+    wanted = [f"{columns[n]} AS {n}" for n in STATE]
+    return run_restarted(spark, sf_dir, source, wanted, L.latest(["match_id"], NEWEST), "l_orderkey")

@@ -3,11 +3,16 @@
 Transformations take a streaming DataFrame and return one, so they work with any source. ``run_to_table`` drives a
 stream over everything that is available and writes each micro-batch as its own partition ``epoch=<id>``: a repeated
 batch overwrites its partition, so results are exactly once.
+
+Running values need no state in the stream: ``run_running`` writes what a micro-batch adds, and every ``COMPACT_AFTER`` epochs merges
+these parts into one current table. A reader merges the current table with the epochs since; parts that are merged are
+removed one compaction later, so that a reader who has just begun still finds them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,9 +22,9 @@ from leaguelake import values
 from leaguelake.functions import columns as C
 from leaguelake.operators.events import event_counts, goals, is_goal
 from leaguelake.operators.history import latest_per_key
-from leaguelake.operators.ordered import order_key, sort_columns
+from leaguelake.operators.ordered import sort_columns
 from leaguelake.operators.quality import has_error, with_violations
-from leaguelake.sources.landing import stamped
+from leaguelake.sources.landing import read_or_none, stamped
 
 EPOCH = "epoch"
 
@@ -57,10 +62,93 @@ def run_to_table(
     query.awaitTermination()
 
 
-def newest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current value of each key of a table written in update mode."""
-    rows = spark.read.option("basePath", path).parquet(path)
-    return latest_per_key(rows, list(keys), [f"-{EPOCH}"]).drop(EPOCH)
+# running values ---------------------------------------------------------------------------------------------------
+
+COMPACT_AFTER = 8  # epochs
+OPEN, CURRENT, COMPACTED = "epochs", "current", "compacted"
+
+
+@dataclass(frozen=True)
+class Running:
+    """A running value: what a micro-batch adds, and how parts are merged, in any order and grouping."""
+
+    part: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+
+
+def counted(count: str, *keys: str, of: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Running:
+    """Counts per key."""
+    return Running(
+        lambda rows: event_counts(of(rows), *keys).withColumnRenamed("n", count),
+        lambda parts: parts.groupBy(*keys).agg(F.sum(count).alias(count)),
+    )
+
+
+def latest(keys: Sequence[str], order_by: Sequence[str]) -> Running:
+    """The first row of each key in ``order_by``."""
+    return Running(lambda rows: latest_per_key(rows, list(keys), list(order_by)), lambda parts: latest_per_key(parts, list(keys), list(order_by)))
+
+
+def compacted_until(spark: SparkSession, path: str) -> list[int]:
+    """The last epochs of the compactions that are complete, newest first."""
+    log = read_or_none(spark, f"{path}/{COMPACTED}")
+    return [] if log is None else [r.until for r in log.select("until").distinct().orderBy(F.desc("until")).collect()]
+
+
+def open_epochs(spark: SparkSession, path: str, after: int) -> DataFrame | None:
+    """Parts of the epochs after the current table; Spark lists folders and reads those alone."""
+    parts = read_or_none(spark, f"{path}/{OPEN}")
+    return None if parts is None else parts.filter(F.col(EPOCH) > after).drop(EPOCH)
+
+
+def running_value(spark: SparkSession, path: str, value: Running) -> DataFrame:
+    """The running value now: the current table, and the epochs since it was made."""
+    done = compacted_until(spark, path)
+    parts = open_epochs(spark, path, done[0] if done else -1)
+    if done:
+        current = spark.read.parquet(f"{path}/{CURRENT}/until={done[0]}")
+        parts = current if parts is None else current.unionByName(parts)
+    return value.merge(parts)
+
+
+def compact(spark: SparkSession, path: str, value: Running, until: int) -> None:
+    """Merge the current table and the epochs up to ``until`` into the next current table. It counts once it is noted; a
+    repeated call writes the same table again."""
+    done = compacted_until(spark, path)
+    if done and done[0] >= until:
+        return
+    running_value(spark, path, value).write.mode("overwrite").parquet(f"{path}/{CURRENT}/until={until}")
+    spark.createDataFrame([(until,)], "until long").coalesce(1).write.mode("append").parquet(f"{path}/{COMPACTED}")
+    if done:
+        remove(spark, [f"{path}/{CURRENT}/until={e}" for e in done[1:]], f"{path}/{OPEN}", done[0])
+
+
+def remove(spark: SparkSession, folders: Sequence[str], epochs: str, until: int) -> None:
+    """Delete tables before the last but one, and the epochs that it already contains."""
+    jvm = spark._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(epochs)
+    files = place.getFileSystem(conf)
+    old = [x.getPath() for x in files.listStatus(place) if x.getPath().getName().startswith(f"{EPOCH}=")]
+    gone = [x for x in old if int(x.getName().partition("=")[2]) <= until]
+    for x in [*map(jvm.org.apache.hadoop.fs.Path, folders), *gone]:
+        files.delete(x, True)
+
+
+def run_running(stream: DataFrame, path: str, checkpoint: str, value: Running, every: int = COMPACT_AFTER) -> None:
+    """Process everything available, then stop. The stream itself is stateless, so it can be stopped for any time, and
+    late rows count."""
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        if epoch and epoch % every == 0:  # before the epoch is written: all earlier ones are complete
+            compact(spark, path, value, epoch - 1)
+        value.part(batch).write.mode("overwrite").parquet(f"{path}/{OPEN}/{EPOCH}={epoch}")
+
+    query = (
+        stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+    )
+    query.awaitTermination()
 
 
 def all_epochs(spark: SparkSession, path: str) -> DataFrame:
@@ -70,9 +158,11 @@ def all_epochs(spark: SparkSession, path: str) -> DataFrame:
 # statistics -------------------------------------------------------------------------------------------------------
 
 
-def counts_by_type(events: DataFrame) -> DataFrame:
-    """Running count per match and event type."""
-    return event_counts(events, "match_id", "event_type")
+#: Running count per match and event type.
+COUNTS_BY_TYPE = counted("n", "match_id", "event_type")
+
+#: Running count per match, team and event type.
+COUNTS_BY_TEAM = counted("n", "match_id", "team_name", "event_type")
 
 
 def top_types(counts: DataFrame, n: int = 8) -> DataFrame:
@@ -81,11 +171,6 @@ def top_types(counts: DataFrame, n: int = 8) -> DataFrame:
     return counts.withColumn("place", F.row_number().over(window).cast("long")).filter(F.col("place") <= n)
 
 
-def counts_by_team(events: DataFrame) -> DataFrame:
-    """Running count per match, team and event type."""
-    return event_counts(events, "match_id", "team_name", "event_type")
-
-
 def compare_teams(counts: DataFrame, types: Sequence[str]) -> DataFrame:
     """One row per match and team with the named event types as columns, 0 where there are none."""
     return counts.groupBy("match_id", "team_name").agg(
@@ -98,10 +183,12 @@ def compare_teams(counts: DataFrame, types: Sequence[str]) -> DataFrame:
     )
 
 
-def touches(events: DataFrame) -> DataFrame:
-    """Running count of ball touches per match and team."""
-    touch = events.filter(F.col("event_type").isin(*values.TOUCH_EVENTS) & F.col("team_name").isNotNull())
-    return event_counts(touch, "match_id", "team_name")
+def touch_events(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("event_type").isin(*values.TOUCH_EVENTS) & F.col("team_name").isNotNull())
+
+
+#: Running count of ball touches per match and team.
+TOUCHES = counted("n", "match_id", "team_name", of=touch_events)
 
 
 def possession(touch_counts: DataFrame) -> DataFrame:
@@ -145,11 +232,11 @@ def events_per_second(events: DataFrame, time: str = "ts", late: str = "10 minut
     )
 
 
-def progress(events: DataFrame) -> DataFrame:
-    """Events seen and goals so far per match."""
-    return events.groupBy("match_id").agg(
-        F.count(F.lit(1)).alias("seen"), F.count_if(is_goal()).alias("goals_so_far")
-    )
+#: Events seen and goals so far per match.
+PROGRESS = Running(
+    lambda events: events.groupBy("match_id").agg(F.count(F.lit(1)).alias("seen"), F.count_if(is_goal()).alias("goals_so_far")),
+    lambda parts: parts.groupBy("match_id").agg(F.sum("seen").alias("seen"), F.sum("goals_so_far").alias("goals_so_far")),
+)
 
 
 def with_progress(seen: DataFrame, totals: DataFrame) -> DataFrame:
@@ -159,8 +246,8 @@ def with_progress(seen: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def running_score(events: DataFrame) -> DataFrame:
-    return event_counts(goals(events), "match_id", "team_name").withColumnRenamed("n", "goals")
+#: Goals so far per match and team.
+RUNNING_SCORE = counted("goals", "match_id", "team_name", of=goals)
 
 
 def run_feed(stream: DataFrame, path: str, checkpoint: str, order_by: Sequence[str], n: int = 100) -> None:
@@ -204,10 +291,3 @@ def checked_records(feed: DataFrame, contract, record: str = "raw_json") -> Data
 def poll(feed: DataFrame, path: str, checkpoint: str, at: Column | None = None) -> None:
     """Take in everything that has landed since the last call and append it with an ingest time."""
     run_to_table(feed, path, checkpoint, each=lambda batch: stamped(batch, at))
-
-
-def latest_state(stream: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Latest row per key as a running aggregate; the state holds one row per key."""
-    rest = [c for c in stream.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), order_key(stream, order_by)).alias("_state")
-    return stream.groupBy(*keys).agg(first).select(*keys, "_state.*")

@@ -1,5 +1,7 @@
 """A stream over several micro-batches must end with the batch result."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,17 +40,52 @@ def same(left, right):
     assert sorted(map(repr, left.select(columns).collect())) == sorted(map(repr, right.collect()))
 
 
-def test_counts(spark, landed):
-    path = run(spark, L.counts_by_type(stream(spark, landed)))
-    assert spark.read.option("basePath", path).parquet(path).select("epoch").distinct().count() == 3
-    batch = event_counts(load(spark, SF_DIR, "match_events"), "match_id", "event_type")
-    same(L.newest(spark, path, ["match_id", "event_type"]), batch)
-
-
-def test_latest_state(spark, landed):
-    order = ["-ts", "-event_id"]
-    path = run(spark, L.latest_state(stream(spark, landed), ["match_id"], order))
-    same(L.newest(spark, path, ["match_id"]), latest_per_key(load(spark, SF_DIR, "match_events"), ["match_id"], order))
+def landed_in(spark, rows, path, files):
+    for f in files:
+        rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(8)) == f).coalesce(1).write.mode("append").parquet(path)
+
+
+def adapted(df):
+    return df.selectExpr(*[f"{e} AS {n}" for n, e in ADAPTERS["match_events"][1].items()])
+
+
+@pytest.mark.parametrize("value, batch", [
+    (L.COUNTS_BY_TYPE, lambda e: event_counts(e, "match_id", "event_type")),
+    (L.latest(["match_id"], ["-ts", "-event_id"]), lambda e: latest_per_key(e, ["match_id"], ["-ts", "-event_id"])),
+])
+def test_running_values_over_restarts(spark, value, batch):
+    """Eight shuffled files, two restarts: after each run the value is that of the rows so far; reading touches the current table
+    and the epochs since, and merged parts go."""
+    rows = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    path, folder, checkpoint = (new_folder(spark, f"test-{n}") for n in ("running", "landed-files", "checkpoint"))
+    for files in ((0, 1, 2), (3, 4, 5, 6), (7,)):
+        landed_in(spark, rows, folder, files)
+        source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        L.run_running(adapted(source), path, checkpoint, value, every=2)
+        now = L.running_value(spark, path, value)
+        same(now, batch(adapted(spark.read.parquet(folder))))
+    assert L.compacted_until(spark, path) == [5, 3, 1]
+    read = {m[0] for f in now.inputFiles() if (m := re.search(r"current/until=\d+", f))}
+    plan = now._jdf.queryExecution().executedPlan().toString()
+    assert read == {"current/until=5"} and re.search(r"PartitionFilters: \[[^]]*epoch#\d+ > 5", plan)
+    left = {re.search(r"epochs/epoch=(\d+)", f)[1] for f in spark.read.parquet(f"{path}/epochs").inputFiles()}
+    assert left == {"4", "5", "6", "7"}
+    before = sorted(map(repr, now.collect()))
+    L.compact(spark, path, value, 7)
+    L.compact(spark, path, value, 7)  # a repeated call changes nothing
+    assert sorted(map(repr, L.running_value(spark, path, value).collect())) == before
+
+
+def test_lost_compaction_is_not_read(spark):
+    """A current table that was written but not noted does not count."""
+    rows = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    path, folder = new_folder(spark, "test-running"), new_folder(spark, "test-landed-files")
+    landed_in(spark, rows, folder, range(4))
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    L.run_running(adapted(source), path, new_folder(spark, "test-checkpoint"), L.COUNTS_BY_TYPE, every=100)
+    wrong = L.running_value(spark, path, L.COUNTS_BY_TYPE).withColumn("n", F.col("n") * 2)
+    wrong.write.parquet(f"{path}/current/until=2")
+    same(L.running_value(spark, path, L.COUNTS_BY_TYPE), event_counts(adapted(spark.read.parquet(folder)), "match_id", "event_type"))
 
 
 def test_feed(spark, landed):
