@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from leaguelake import values
 from leaguelake.functions import columns as C
 from leaguelake.operators.joins import absent
+from leaguelake.session import new_folder
 
 # contracts --------------------------------------------------------------------------------------------------------
 
@@ -34,17 +35,25 @@ class Record:
         self.typed = list(dict.fromkeys([*contract["types"], *self.valued, *contract["nested"]]))
         self.untyped = [p for p in dict.fromkeys([*contract["required"], *nested]) if p not in self.typed]
 
+    def tops(self) -> list[str]:
+        """The keys of the record itself that any rule looks at."""
+        return list(dict.fromkeys(p.partition(".")[0] for p in [*self.typed, *self.untyped]))
+
+    def value(self, path: str) -> Column:
+        """The value at a path; keys of the record come out of one pass over it."""
+        top, _, rest = path.partition(".")
+        at = F.col(f"{self.column}.{top}")
+        return F.try_variant_get(at, f"$.{rest}", "variant") if rest else at
+
     def fields(self) -> dict[str, Column]:
         out = {}
-        for path in [*self.typed, *self.untyped]:
-            value = F.try_variant_get(F.col(self.column), f"$.{path}", "variant")
-            if path in self.typed:
-                out[_field(self.column, path, "kind")] = F.schema_of_variant(value)
-            else:
-                out[_field(self.column, path, "missing")] = value.isNull()
+        for path in self.typed:
+            out[_field(self.column, path, "kind")] = F.schema_of_variant(self.value(path))
+        for path in self.untyped:
+            out[_field(self.column, path, "missing")] = self.value(path).isNull()
         for path in self.valued:
             for part in ("string", "double"):
-                out[_field(self.column, path, part)] = F.try_variant_get(F.col(self.column), f"$.{path}", part)
+                out[_field(self.column, path, part)] = F.try_variant_get(self.value(path), "$", part)
         return out
 
     def kind(self, path: str) -> Column:
@@ -143,12 +152,10 @@ def _rules(record: Record, contract: Mapping) -> list[Rule]:
 def _read(df: DataFrame, contract: Mapping, record: str) -> tuple[DataFrame, Column, list[Rule]]:
     """The records with their fields as columns, whether a record is no JSON object, and the rules."""
     read = Record("_record", contract)
-    parsed = (
-        df.withColumn("_record", F.try_parse_json(F.col(record)))
-        .withColumn("_is_object", F.try_variant_get("_record", "$", "map<string,variant>").isNotNull())
-        .withColumns(read.fields())
-    )
-    return parsed, ~F.col("_is_object"), _rules(read, contract)
+    shape = ", ".join(f"`{p}`: variant" for p in read.tops())
+    once = F.try_variant_get(F.try_parse_json(F.col(record)), "$", f"struct<{shape}>")
+    parsed = df.withColumn("_record", once).withColumns(read.fields())
+    return parsed, F.col("_record").isNull(), _rules(read, contract)
 
 
 def _handed_on(parsed: DataFrame, columns: Sequence[str], name: str, value: Column) -> DataFrame:
@@ -169,54 +176,74 @@ def _fails(no_object: Column, rules: Sequence[Rule]) -> Column:
     return out
 
 
-def with_violations(df: DataFrame, contract: Mapping, record: str = "raw_json") -> DataFrame:
-    """Add the array ``violations`` to each record, in rule order; empty for a record that meets the contract."""
+def _found(df: DataFrame, contract: Mapping, record: str) -> tuple[DataFrame, Column]:
+    """The parsed records, and the array of their violations in rule order."""
     parsed, no_object, rules = _read(df, contract, record)
     broken = Rule(F.lit(True), record, "json", F.lit("Record is not a JSON object")).violation()
     found = F.array_compact(F.array(*[r.violation() for r in rules]))
-    return _handed_on(parsed, df.columns, "violations", F.when(no_object, F.array(broken)).otherwise(found))
+    return parsed, F.when(no_object, F.array(broken)).otherwise(found)
+
+
+def with_violations(df: DataFrame, contract: Mapping, record: str = "raw_json") -> DataFrame:
+    """Add the array ``violations`` to each record, in rule order; empty for a record that meets the contract."""
+    parsed, found = _found(df, contract, record)
+    return _handed_on(parsed, df.columns, "violations", found)
 
 
 def violations(
     df: DataFrame, contract: Mapping, keys: Sequence[str], record: str = "raw_json"
 ) -> DataFrame:
     """One row per violation."""
-    return (
-        with_violations(df, contract, record)
-        .select(*keys, F.explode("violations").alias("_v"))
-        .select(*keys, "_v.field", "_v.rule", "_v.message", "_v.severity")
-    )
+    parsed, found = _found(df, contract, record)
+    each = parsed.select(*keys, F.explode(found).alias("_v"))
+    return each.select(*keys, "_v.field", "_v.rule", "_v.message", "_v.severity")
 
 
 def has_error(column: str = "violations") -> Column:
     return F.exists(column, lambda v: v["severity"] == "ERROR")
 
 
+def _gate(rows: DataFrame, failed: Column, name: str, threshold: float) -> DataFrame:
+    passed = F.col("records_checked") - F.col("_failed")
+    return rows.agg(F.count(F.lit(1)).alias("records_checked"), failed.alias("_failed")).select(
+        F.lit(name).alias("contract_name"),
+        F.coalesce(C.safe_divide("_failed", "records_checked") <= threshold, F.lit(True)).alias("valid"),
+        "records_checked",
+        passed.alias("records_passed"),
+        F.coalesce(C.safe_divide(passed, "records_checked"), F.lit(0.0)).alias("pass_rate"),
+    )
+
+
 def contract_gate(
     df: DataFrame, contract: Mapping, threshold: float = 0.1, record: str = "raw_json"
 ) -> DataFrame:
     """One row: valid while at most ``threshold`` of the records have an error; an empty batch is valid."""
     parsed, no_object, rules = _read(df, contract, record)
-    failed = F.count_if(_fails(no_object, rules))
-    return (
-        parsed.agg(F.count(F.lit(1)).alias("records_checked"), failed.alias("_failed"))
-        .select(
-            F.lit(contract["name"]).alias("contract_name"),
-            F.coalesce(C.safe_divide("_failed", "records_checked") <= threshold, F.lit(True)).alias("valid"),
-            "records_checked",
-            (F.col("records_checked") - F.col("_failed")).alias("records_passed"),
-            F.coalesce(
-                C.safe_divide(F.col("records_checked") - F.col("_failed"), "records_checked"), F.lit(0.0)
-            ).alias("pass_rate"),
-        )
-    )
+    return _gate(parsed, F.count_if(_fails(no_object, rules)), contract["name"], threshold)
+
+
+def gate_of(rows: DataFrame, name: str, threshold: float = 0.1) -> DataFrame:
+    """The same from records that are judged already."""
+    return _gate(rows, F.count_if(F.col("verdict") == "quarantined"), name, threshold)
+
+
+def judged(df: DataFrame, contract: Mapping, record: str = "raw_json") -> DataFrame:
+    """Each record with its violations and the verdict ``accepted`` or ``quarantined``, from one pass."""
+    verdict = F.when(has_error(), F.lit("quarantined")).otherwise(F.lit("accepted"))
+    return with_violations(df, contract, record).withColumn("verdict", verdict)
 
 
 def quarantine(df: DataFrame, contract: Mapping, record: str = "raw_json") -> tuple[DataFrame, DataFrame]:
-    """Records without errors, and records with errors together with their violations."""
-    parsed, no_object, rules = _read(df, contract, record)
-    good = _handed_on(parsed, df.columns, "_fails", _fails(no_object, rules)).filter(~F.col("_fails")).drop("_fails")
-    return good, with_violations(df, contract, record).filter(has_error())
+    """Records without errors, and records with errors together with their violations.
+
+    Records are read, parsed and written once, partitioned by verdict; both results read their partition.
+    """
+    rows = judged(df, contract, record)
+    path = new_folder(df.sparkSession, "judged")
+    rows.write.partitionBy("verdict").parquet(path)
+    stored = df.sparkSession.read.schema(rows.schema).parquet(path)
+    good = stored.filter("verdict = 'accepted'").drop("verdict", "violations")
+    return good, stored.filter("verdict = 'quarantined'").drop("verdict")
 
 
 # checks -----------------------------------------------------------------------------------------------------------
