@@ -171,6 +171,14 @@ def pivot_race(race: DataFrame, teams: Sequence[str] | None = None, order: str =
     return race.groupBy(order).pivot("team_name", None if teams is None else list(teams)).agg(F.max("cumulative_points"))
 
 
+def race_by_period(race: DataFrame, order: str = "matchday") -> DataFrame:
+    """One row per matchday with all its teams and their totals, whatever teams there are: two lists in the order of the teams'
+    names. Unlike a pivot this needs no job to find the teams, and its columns do not depend on the data."""
+    cells = F.array_sort(F.collect_list(F.struct("team_name", "cumulative_points")))
+    wide = race.groupBy(order).agg(F.count(F.lit(1)).alias("n_teams"), cells.alias("_cells"))
+    return wide.select(order, "n_teams", F.col("_cells.team_name").alias("teams"), F.col("_cells.cumulative_points").alias("points"))
+
+
 def leaders(race: DataFrame, n: int = 6) -> DataFrame:
     """The top ``n`` teams at the last matchday."""
     last = race.agg(F.max("matchday")).scalar()

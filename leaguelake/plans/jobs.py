@@ -6,6 +6,8 @@ scheduler can call them, and a repeated call rebuilds the same gold tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from leaguelake.operators import events as match_events
 from leaguelake.operators import quality, results
 from leaguelake.plans import marts
 from leaguelake.session import stored
-from leaguelake.sources import feeds, landing
+from leaguelake.sources import exports, feeds, landing
 
 # Versions ingested at the same time are told apart by their text.
 NEWEST = ("-ingested_at", "raw_json")
@@ -39,8 +41,9 @@ def land_matches(
 ) -> DataFrame:
     """Land match payloads, or those of the fallback feed if there are none.
 
-    Records of the primary feed that break the contract go to quarantine; with ``block`` nothing is appended if too
-    many do. Returns the one-row contract gate.
+    All records are appended to bronze, with the verdict of the contract and its violations; what reads bronze decides. Records of the
+    primary feed that break the contract are copied to quarantine too. With ``block`` nothing is appended if too many
+    do. Returns the one-row contract gate.
     """
 
     def primary() -> DataFrame:
@@ -50,24 +53,61 @@ def land_matches(
         return feeds.normalize_fallback_feed(feeds.read_payloads(spark, fallback_payloads or ""))
 
     chosen = landing.first_available((values.PRIMARY_SOURCE, primary), (values.FALLBACK_SOURCE, fallback))
-    rows = stored(chosen, "matches-feed")
     is_primary = F.col("source") == values.PRIMARY_SOURCE
-    gate = stored(quality.contract_gate(rows.filter(is_primary), values.MATCH_CONTRACT), "gate")
-    good, bad = quality.quarantine(rows.filter(is_primary), values.MATCH_CONTRACT)
-    landing.append_bronze(bad, f"{lake}/quarantine/live_matches", at)
+    rows = stored(quality.judged(chosen.drop("source_used"), values.MATCH_CONTRACT), "matches-feed")
+    gate = stored(quality.gate_of(rows.filter(is_primary), values.MATCH_CONTRACT["name"]), "gate")
+    landing.append_bronze(rows.filter(is_primary & (F.col("verdict") == "quarantined")).drop("verdict"), f"{lake}/quarantine/live_matches", at)
+    log = f"{lake}/bronze/pipeline_runs"
     if block and not gate.first().valid:
-        landing.run_log(spark, f"{lake}/bronze/pipeline_runs", "live_matches", "blocked", "contract", 0)
+        landing.run_log(spark, log, "live_matches", "blocked", "contract", 0)
         return gate
-    accepted = good.unionByName(rows.filter(~is_primary)).drop("source_used")
-    landing.append_bronze(accepted, f"{lake}/bronze/live_matches", at)
-    written = gate.first().records_passed + rows.filter(~is_primary).count()
-    landing.run_log(spark, f"{lake}/bronze/pipeline_runs", "live_matches", "success", "", written)
+    landed = rows.withColumn("verdict", F.when(is_primary, F.col("verdict"))).drop("violations")
+    landing.append_bronze(landed, f"{lake}/bronze/live_matches", at)
+    landing.run_log(spark, log, "live_matches", "success", "", landed.count())
     return gate
 
 
-def land_standings(spark: SparkSession, payloads: str, lake: str, at: Column | None = None) -> None:
-    rows = feeds.normalize_standings_feed(feeds.read_payloads(spark, payloads))
-    landing.append_bronze(rows, f"{lake}/bronze/live_standings", at)
+def land_standings(
+    spark: SparkSession, payloads: str, lake: str, at: Column | None = None, computed: Callable[[], DataFrame] | None = None
+) -> None:
+    """Land standings payloads, or where there are none the standings ``computed`` from results; the run is logged with the source
+    that was used."""
+
+    def primary() -> DataFrame:
+        return feeds.normalize_standings_feed(feeds.read_payloads(spark, payloads))
+
+    sources = [(values.PRIMARY_SOURCE, primary), *([("computed", computed)] if computed else [])]
+    log = f"{lake}/bronze/pipeline_runs"
+    try:
+        chosen = landing.first_available(*sources)
+    except ValueError as e:
+        landing.run_log(spark, log, "live_standings", "failed", str(e), 0)
+        return
+    rows = stored(chosen, "standings-feed")
+    landing.append_bronze(rows.drop("source_used"), f"{lake}/bronze/live_standings", at)
+    used = rows.agg(F.max("source_used"), F.count(F.lit(1))).first()
+    landing.run_log(spark, log, "live_standings", "success" if used[1] else "empty", f"source={used[0]}", used[1])
+
+
+def closing_gate(spark: SparkSession, lake: str, as_of: Column) -> DataFrame:
+    """The live monitor and whether it lets an export pass, one row: fresh within its limit, and no running match without a score."""
+    monitor = marts.live_match_monitor(bronze(spark, lake, "live_matches"), as_of, NEWEST)
+    return monitor.withColumn("may_export", F.col("freshness_status").startswith("PASS"))
+
+
+def export_live(spark: SparkSession, lake: str, folder: str, as_of: Column) -> bool:
+    """Write the live window, table and monitor as JSON records, if the gate lets them pass; the run is logged either way."""
+    gate = stored(closing_gate(spark, lake, as_of), "closing-gate")
+    passed = bool(gate.first().may_export)
+    log = f"{lake}/bronze/pipeline_runs"
+    if passed:
+        gold = lambda name: spark.read.parquet(f"{lake}/gold/{name}")
+        window = exports.date_window(gold("live_matches"), "utc_date", F.to_date(as_of))
+        exports.export_records(window, f"{folder}/live_matches", ["utc_date", "match_id"])
+        exports.export_records(exports.live_standings(gold("live_league_table")), f"{folder}/standings", ["position", "team_name"])
+        exports.export_records(gate, f"{folder}/monitor", ["freshness_status"])
+    landing.run_log(spark, log, "export_live", "success" if passed else "blocked", "" if passed else "freshness", 0)
+    return passed
 
 
 def build_live_gold(spark: SparkSession, lake: str, as_of: Column) -> None:

@@ -298,12 +298,16 @@ def pivot_race(spark, sf_dir):
 @query(
     with_ctes(
         *RACE,
-        select="SELECT * FROM (PIVOT race ON team_name USING max(cumulative_points) GROUP BY matchday)",
+        select="""SELECT matchday, count(*) AS n_teams, string_agg(team_name, ',' ORDER BY team_name) AS teams,
+ string_agg(CAST(cumulative_points AS VARCHAR), ',' ORDER BY team_name) AS points FROM race GROUP BY matchday""",
     )
 )
 def pivot_race_all(spark, sf_dir):
-    """All teams that are found."""
-    return results.pivot_race(race(spark, sf_dir))
+    """All teams that are found, in the order of their names; lists as text."""
+    wide = results.race_by_period(race(spark, sf_dir))
+    return wide.select(
+        "matchday", "n_teams", F.array_join("teams", ",").alias("teams"), F.array_join(F.col("points").cast("array<string>"), ",").alias("points")
+    )
 
 
 @query(

@@ -46,7 +46,8 @@ KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "D
 def compare(con, df, sql: str) -> str:
     rows = df.collect()
     names = df.columns
-    result = con.execute(sql)
+    con.execute(f"CREATE OR REPLACE TEMP VIEW checked AS {sql}")
+    result = con.execute("SELECT * FROM checked")
     kinds = {d[0]: str(d[1]) for d in result.description}
     expected = result.fetchall()
     if sorted(names) != sorted(kinds):

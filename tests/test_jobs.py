@@ -68,10 +68,10 @@ def gold(spark, lake, name):
 
 def test_live_state_and_history(spark, lake):
     state = {r.match_id: r for r in gold(spark, lake, "live_matches").collect()}
-    assert {k: v.status for k, v in state.items()} == {"1": "FINISHED", "2": "FINISHED", "3": "FINISHED"}
+    assert {k: v.status for k, v in state.items()} == {"1": "FINISHED", "2": "FINISHED", "3": "FINISHED", "4": "SCHEDULED"}
     assert (state["3"].home_team, state["3"].away_team, state["3"].away_score) == ("Bournemouth", "Chelsea", 3)
     history = {r.match_id: (r.update_count, r.is_correction) for r in gold(spark, lake, "scd1_matches").collect()}
-    assert history == {"1": (1, False), "2": (2, True), "3": (2, True)}
+    assert history == {"1": (1, False), "2": (2, True), "3": (2, True), "4": (1, False)}
 
 
 def test_race_teams_and_monitor(spark, lake):
@@ -84,7 +84,7 @@ def test_race_teams_and_monitor(spark, lake):
     assert teams["Chelsea"] == ("DW", 1, "TITLE CONTENDER")
     monitor = gold(spark, lake, "live_match_monitor").first()
     assert (monitor.active_match_count, monitor.freshness_minutes, monitor.freshness_status) == (
-        3, 15, "PASS_MATCHDAY_SLA",
+        4, 15, "PASS_MATCHDAY_SLA",
     )
 
 
@@ -92,7 +92,36 @@ def test_quarantine_and_runs(spark, lake):
     bad = spark.read.parquet(f"{lake}/quarantine/live_matches").collect()
     assert [(r.match_id, r.violations[0].field) for r in bad] == [("4", "matchday")]
     runs = spark.read.parquet(f"{lake}/bronze/pipeline_runs").orderBy("created_at").collect()
-    assert [(r.status, r.rows_written) for r in runs] == [("success", 3), ("success", 2)]
+    assert [(r.pipeline_name, r.status, r.rows_written) for r in runs] == [
+        ("live_matches", "success", 3), ("live_matches", "success", 3), ("live_standings", "success", 4),
+    ]
+    landed = spark.read.parquet(f"{lake}/bronze/live_matches")
+    assert [r.match_id for r in landed.filter("verdict = 'quarantined'").collect()] == ["4"]
+    assert landed.filter("verdict = 'accepted'").count() == 5
+
+
+def test_export_behind_the_gate(spark, lake, tmp_path):
+    late = at("2025-08-20 18:00:00")
+    assert not jobs.export_live(spark, lake, str(tmp_path / "late"), late)
+    assert not (tmp_path / "late").exists()
+    assert jobs.export_live(spark, lake, str(tmp_path / "now"), at("2025-08-12 18:15:00"))
+    rows = spark.read.json(str(tmp_path / "now" / "live_matches")).collect()
+    assert {r.match_id for r in rows} == {"1", "2", "3", "4"}
+    assert spark.read.json(str(tmp_path / "now" / "standings")).count() == 4
+    log = spark.read.parquet(f"{lake}/bronze/pipeline_runs").filter("pipeline_name = 'export_live'").orderBy("created_at")
+    assert [(r.status, r.details) for r in log.collect()] == [("blocked", "freshness"), ("success", "")]
+
+
+def test_standings_fallback_and_failure(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    row = {"source": "computed", "team_name": "A", "position": 1, "ingest": 1}
+    computed = lambda: spark.createDataFrame([row])
+    jobs.land_standings(spark, str(tmp_path / "none"), lake, at("2025-08-12 18:00:00"), computed)
+    assert [r.team_name for r in spark.read.parquet(f"{lake}/bronze/live_standings").collect()] == ["A"]
+    jobs.land_standings(spark, str(tmp_path / "none"), lake, at("2025-08-12 18:00:00"))
+    log = spark.read.parquet(f"{lake}/bronze/pipeline_runs").orderBy("created_at").collect()
+    assert [(r.status, r.rows_written) for r in log] == [("success", 1), ("failed", 0)]
+    assert log[0].details == "source=computed"
 
 
 def test_fallback_and_block(spark, tmp_path):
