@@ -11,8 +11,6 @@ import uuid
 from pyarrow import fs
 from pyspark.sql import DataFrame
 
-from leaguelake.session import stored
-
 
 def place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
@@ -35,4 +33,6 @@ def load(uri: str):
 
 def committed(reports: DataFrame, name: str) -> DataFrame:
     """Run the tasks that write, and return the reports of those that count."""
+    from leaguelake.session import stored  # not at the top: this module travels to workers, which need no copy of the package
+
     return stored(reports, name)

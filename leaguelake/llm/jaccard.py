@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, mixed, null_safe, rolled, sliced, small_batches, spread
+from leaguelake.operators.history import top_per_key
 from leaguelake.session import stored
 
 N = 4
@@ -442,7 +443,7 @@ def representatives(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT
 ) -> DataFrame:
     """The documents without near copies: of each component the row of the least id (of its rows with this id, one
-    whose class comes first), and all documents without n-grams."""
+    whose class comes first, and of these the one whose columns have the least digest), and all documents without n-grams."""
     chosen = joined(documents, doc_id, text, n, percent).where("class IS NOT NULL AND id <=> component_id")
     chosen = chosen.groupBy("component").agg(F.min("id").alias("__id"), F.min("class").alias("__class")).drop("component")
 
@@ -455,5 +456,7 @@ def representatives(
     columns = documents.columns
     named = documents.mapInArrow(name_rows, StructType([*documents.schema.fields, StructField("__class", LongType())]))
     named = named.withColumn("__id", F.col(doc_id).cast("long"))
-    kept = null_safe(named.where("__class IS NOT NULL"), chosen, ["__id", "__class"], "left_semi").dropDuplicates(["__id", "__class"])
+    kept = null_safe(named.where("__class IS NOT NULL"), chosen, ["__id", "__class"], "left_semi")
+    tie = F.sha2(F.to_json(F.struct(*(kept[c] for c in columns))), 256)
+    kept = top_per_key(kept.withColumn("__tie", tie), ["__id", "__class"], ["__tie"])
     return kept.unionByName(named.where("__class IS NULL")).select(*columns)

@@ -20,7 +20,6 @@ an empty table gives an empty result; other columns are ignored, whatever their
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,21 +50,27 @@ FOUND = "anchor_id long, key long, place int, positive_id long, mark long, id lo
 KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
 
+FRAMES: dict[int, tuple[np.ndarray, int]] = {}  # the last one, kept by a worker
+
+
 def arrow(shape: str) -> pa.Schema:
     return pa.schema([(name, KINDS[kind]) for name, kind in map(str.split, shape.split(", "))])
 
 
-@lru_cache(maxsize=2)
 def frame(dim: int) -> tuple[np.ndarray, int]:
     """(coordinates, dim) of signs: some columns of a Hadamard matrix, drawn and turned by a fixed generator. Columns are
     orthogonal, and all entries are exact."""
+    if dim in FRAMES:
+        return FRAMES[dim]
     size = 64
     while size < min(WIDEN * dim, max(dim, WIDEST)):
         size *= 2
     draw = np.random.default_rng(dim)
     columns, turn = draw.choice(size, dim, replace=False), draw.choice([-1.0, 1.0], dim)
     parity = np.bitwise_count(np.arange(size)[:, None] & columns[None, :]) & 1
-    return (1.0 - 2.0 * parity) * turn, size
+    FRAMES.clear()
+    FRAMES[dim] = (1.0 - 2.0 * parity) * turn, size
+    return FRAMES[dim]
 
 
 def coded(vectors: np.ndarray) -> tuple[np.ndarray, ...]:

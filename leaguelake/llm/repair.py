@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -43,6 +42,10 @@ PART = 1 << 20
 Vector = tuple[int, ...]
 Matrix = tuple[Vector, ...]
 
+POWERS: dict[tuple, Matrix] = {}  # kept by a worker; a function that remembers by itself could not travel to one by value
+STEPS: dict[tuple, tuple] = {}
+MOST_STEPS = 1 << 16
+
 
 def turned(state: int) -> int:
     """The turn that may follow, and the state after it."""
@@ -65,7 +68,6 @@ def after(matrix: Matrix, costs: Vector) -> Vector:
     return tuple(min(min(x + y for x, y in zip(row, costs, strict=True)), NEVER) for row in matrix)
 
 
-@lru_cache(maxsize=None)
 def inserts() -> Matrix:
     """Costs of going from state to state by inserted turns alone."""
     one = tuple(tuple(0 if i == j else INSERT if turned(i) == j else NEVER for j in range(4)) for i in range(4))
@@ -84,16 +86,18 @@ def choices(symbol: tuple[str, int], state: int) -> list[tuple[str, int, int]]:
     return out
 
 
-@lru_cache(maxsize=4096)
 def power(symbol: tuple[str, int], exponent: int) -> Matrix:
     """The transition of 2 ** exponent rows of a symbol, inserted turns before each included."""
-    if exponent:
-        half = power(symbol, exponent - 1)
-        return times(half, half)
-    row = tuple(
-        tuple(min((c for _, c, to in choices(symbol, i) if to == j), default=NEVER) for j in range(4)) for i in range(4)
-    )
-    return times(inserts(), row)
+    key = (symbol, exponent)
+    if key not in POWERS:
+        if exponent:
+            half = power(symbol, exponent - 1)
+            POWERS[key] = times(half, half)
+        else:
+            ways = [choices(symbol, i) for i in range(4)]
+            row = tuple(tuple(min((c for _, c, to in ways[i] if to == j), default=NEVER) for j in range(4)) for i in range(4))
+            POWERS[key] = times(inserts(), row)
+    return POWERS[key]
 
 
 def through(symbol: tuple[str, int], count: int, costs: Vector) -> Vector:
@@ -107,24 +111,27 @@ def through(symbol: tuple[str, int], count: int, costs: Vector) -> Vector:
     return costs
 
 
-@lru_cache(maxsize=1 << 16)
 def step(symbol: tuple[str, int], later: Vector) -> tuple[Vector, tuple[tuple[str, int], ...]]:
     """Remaining costs before one row, and from each state the letters that are least among the cheapest, with the state
     they lead to."""
-    now = after(power(symbol, 0), later)
-    plans = []
-    for state in range(4):
-        letters, at = "", state
-        while True:
-            ways = [(letter, to) for letter, cost, to in choices(symbol, at) if cost + later[to] == now[at]]
-            if now[at] == INSERT + now[turned(at)]:
-                ways.append(("I", turned(at)))
-            letter, to = min(ways)
-            letters, at = letters + letter, to
-            if letter != "I":
-                break
-        plans.append((letters, at))
-    return now, tuple(plans)
+    key = (symbol, later)
+    if key not in STEPS:
+        if len(STEPS) >= MOST_STEPS:
+            STEPS.clear()
+        now = after(power(symbol, 0), later)
+        STEPS[key] = now, tuple(plan(symbol, state, now, later) for state in range(4))
+    return STEPS[key]
+
+
+def plan(symbol: tuple[str, int], at: int, now: Vector, later: Vector) -> tuple[str, int]:
+    letters = ""
+    while not letters.strip("I"):
+        ways = [(letter, to) for letter, cost, to in choices(symbol, at) if cost + later[to] == now[at]]
+        if now[at] == INSERT + now[turned(at)]:
+            ways.append(("I", turned(at)))
+        letter, at = min(ways)
+        letters += letter
+    return letters, at
 
 
 def relative(costs: Vector) -> tuple[int, Vector]:

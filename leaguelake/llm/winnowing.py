@@ -13,6 +13,8 @@ benchmark finds nothing. Only the named columns are used, whatever the others ar
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +40,11 @@ def starts(size: Column, n: int) -> Column:
 
 def with_grams(rows: DataFrame, n: int) -> DataFrame:
     """Adds ``grams``, a hash of each n consecutive entries of ``hashes``."""
-    return rows.withColumn(
-        "grams", F.transform(starts(F.size("hashes"), n), lambda i: F.xxhash64(*(F.get("hashes", i + k) for k in range(n))))
-    )
+    return rows.withColumn("grams", F.transform(starts(F.size("hashes"), n), lambda i: gram_at("hashes", i, n)))
+
+
+def gram_at(hashes: str, at: Column, n: int) -> Column:
+    return F.xxhash64(*(F.get(hashes, at + k) for k in range(n)))
 
 
 def with_least(rows: DataFrame, n: int) -> DataFrame:
@@ -94,40 +98,62 @@ def alignments(
     grams = with_grams(hashed(again.select(*KEY, words(F.col("text")).alias("words"))), gram)
     places = grams.select(*KEY, F.posexplode("grams").alias("place", "print"))
     found = places.join(prints, "print").select(*KEY, "item_key", (F.col("place") - F.col("at")).alias("shift"))
-    for n in sorted(r.span for r in items.where(F.col("span") < window).select("span").distinct().collect()):
-        short = items.where(F.col("span") == n).select("item_key", F.col("item_words").alias("words"))
-        whole = with_grams(hashed(short), n).select("item_key", F.explode("grams").alias("print"))
-        own = with_grams(hashed(docs.select(*KEY, words(F.col("text")).alias("words"))), n)
-        hits = own.select(*KEY, F.posexplode("grams").alias("shift", "print")).join(whole, "print")
+    spans = sorted(r.span for r in items.where(F.col("span") < window).select("span").distinct().collect())
+    if spans:  # one more pass over the documents for all short items
+        whole = [
+            with_grams(hashed(items.where(F.col("span") == n).select("item_key", F.col("item_words").alias("words"))), n)
+            .select("item_key", F.explode("grams").alias("print"))
+            for n in spans
+        ]
+        read = hashed(docs.select(*KEY, words(F.col("text")).alias("words"))).drop("words")
+
+        def windows(n: int) -> Column:
+            return F.transform(starts(F.size("hashes"), n), lambda i: F.struct(i.alias("shift"), gram_at("hashes", i, n).alias("print")))
+
+        each = F.concat(*map(windows, spans))
+        hits = read.select(*KEY, F.explode(each).alias("hit")).select(*KEY, "hit.*").join(reduce(DataFrame.unionByName, whole), "print")
         found = found.unionByName(hits.select(*KEY, "item_key", "shift"))
     return met.select(*KEY, "n_words"), stored(found.distinct(), "alignments")
 
 
+def runs_along(shift: Column) -> Column:
+    """Along one alignment of ``words`` with ``item_words``: the longest runs of equal words, as (begin, end) in the document, that
+    have a span."""
+    begin, skip = F.greatest(shift, F.lit(0)), F.greatest(-shift, F.lit(0))
+    size = F.greatest(F.least(F.size("words") - begin, F.size("item_words") - skip), F.lit(0))
+    same = F.zip_with(F.slice("words", begin + 1, size), F.slice("item_words", skip + 1, size), lambda a, b: F.coalesce(a == b, F.lit(False)))
+
+    def runs(x: Column) -> Column:
+        every = F.when(F.size(x) > 0, F.sequence(F.lit(0), F.size(x) - 1)).otherwise(F.array().cast("array<int>"))
+        differs = lambda i: ~F.coalesce(F.get(x, i), F.lit(False))
+        first = F.filter(every, lambda i: F.get(x, i) & differs(i - 1))
+        last = F.filter(every, lambda i: F.get(x, i) & differs(i + 1))
+        return F.zip_with(first, last, lambda a, b: F.struct((begin + a).alias("begin"), (begin + b + 1).alias("end")))
+
+    found = F.flatten(F.transform(F.array(same), runs))
+    return F.filter(found, lambda r: r["end"] - r["begin"] >= F.col("span"))
+
+
 def occurrences(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, item, places): the words of a document inside windows of an item, along each alignment."""
+    """(key, item, runs): the words of a document inside windows of an item. Words are joined once to each (document, item), whatever
+    the number of its alignments."""
     texts = null_safe(docs, found.select(*KEY).distinct(), KEY, "left_semi").dropDuplicates(KEY)
     read = texts.select(*KEY, words(F.col("text")).alias("words"))
-    both = null_safe(found, read, KEY, "inner").join(items, "item_key")
-    begin, skip = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
-    size = F.least(F.size("words") - begin, F.size("item_words") - skip)
-    along = both.select(
-        *KEY, "item", "span", begin.alias("begin"),
-        F.zip_with(
-            F.slice("words", begin + 1, F.greatest(size, F.lit(0))),
-            F.slice("item_words", skip + 1, F.greatest(size, F.lit(0))),
-            lambda a, b: F.coalesce(a == b, F.lit(False)),
-        ).alias("same"),
-    )
-    size, span = F.size("same"), F.col("span")
-    runs = along.withColumn(
-        "runs",
-        F.filter(
-            F.when(size >= span, F.sequence(F.lit(0), size - span)).otherwise(F.array().cast("array<int>")),
-            lambda s: F.forall(F.slice("same", s + 1, span), lambda x: x),
-        ),
-    ).where("size(runs) > 0")
-    place = F.flatten(F.transform("runs", lambda s: F.sequence(F.col("begin") + s, F.col("begin") + s + span - 1)))
-    return runs.select(*KEY, "item", F.array_distinct(place).alias("places"))
+    grouped = found.groupBy(*KEY, "item_key").agg(F.collect_set("shift").alias("shifts"))  # fewer than words on both sides
+    both = null_safe(grouped, read, KEY, "inner").join(items, "item_key")
+    out = both.select(*KEY, "item", F.flatten(F.transform("shifts", runs_along)).alias("runs"))
+    return out.where("size(runs) > 0")
+
+
+def covered(runs: Column) -> Column:
+    """How many places lie in any of the runs."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("until"))
+
+    def add(state: Column, r: Column) -> Column:
+        more = F.greatest(F.lit(0), r["end"] - F.greatest(r["begin"], state["until"]))
+        return F.struct((state["n"] + more).alias("n"), F.greatest(state["until"], r["end"]).alias("until"))
+
+    return F.aggregate(F.array_sort(runs), start, add)["n"]
 
 
 def contamination(
@@ -139,9 +165,10 @@ def contamination(
     items = items_of(benchmark, item_id, item_text, window)
     sizes, found = alignments(docs, items, window, gram)
     hits = occurrences(docs, items, found)
-    named = hits.groupBy(*KEY).agg(F.array_sort(F.collect_set("item")).alias("items"))
-    count = hits.select(*KEY, F.explode("places").alias("place")).distinct().groupBy(*KEY).agg(F.count("*").alias("n_hit"))
-    result = null_safe(null_safe(sizes, named, KEY), count, KEY)
+    named = hits.groupBy(*KEY).agg(
+        F.array_sort(F.collect_set("item")).alias("items"), covered(F.flatten(F.collect_list("runs"))).alias("n_hit")
+    )
+    result = null_safe(sizes, named, KEY)
     out = null_safe(docs.select(*KEY), result, KEY)
     return out.select(
         *KEY,

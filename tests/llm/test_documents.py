@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -230,3 +231,16 @@ def test_queries_on_given_tables(spark):
     for name, query in QUERIES.items():
         assert query(spark, "/root/testdata/sf0.001").count() > 0, name
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_long_repetitive_text_against_a_repetitive_item(spark):
+    """20,000 equal words against an item of 200 such words, and a periodic text: alignments are many, words are joined once."""
+    from leaguelake.llm.winnowing import contamination
+
+    same, period = "ab " * 20_000, "a b c d e f g " * 800
+    docs = spark.createDataFrame([(1, same), (2, period), (3, "x " * 9 + "a b c d e f g " * 2 + "y"), (4, "ab " * 9)], "doc_id long, text string")
+    items = spark.createDataFrame([("1", "ab " * 200), ("2", "a b c d e f g " * 30), ("3", "ab ab ab")], "item_id string, text string")
+    start = time.time()
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in contamination(docs, items).collect()}
+    assert got == {1: (20_000, 20_000, ["1", "3"]), 2: (5600, 5600, ["2"]), 3: (24, 14, ["2"]), 4: (9, 9, ["3"])}
+    assert time.time() - start < 60

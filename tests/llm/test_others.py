@@ -3,6 +3,10 @@
 import base64
 import gzip
 import hashlib
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from check import compare, connect
@@ -56,9 +60,12 @@ def test_salvage():
     raw = bytes(hurt) + b"trash" + parts[0][:-9]
     out = list(warc.salvage(raw))
     kept = [x[3][0]["page-id"] for x in out if x[0] == "record"]
-    assert kept == ["0", "1", "3", "4", "5"]
+    assert kept == ["0", "1", "3", "4", "5", "0"]  # of the last, trailer and end of the stream are cut, no content
     lost = [(a, b) for k, a, b, _ in out if k == "gap"]
-    assert lost[0] == (begin, begin + len(parts[2])) and lost[-1][1] == len(raw)
+    last = len(raw) - len(parts[0][:-9])
+    assert lost == [(begin, begin + len(parts[2])), (last - len(b"trash"), last)]
+    cut = list(warc.salvage(parts[0] + parts[1][:-4]))  # only the trailer is cut: the record is whole and its digests agree
+    assert [x[3][0]["page-id"] for x in cut if x[0] == "record"] == ["0", "1"]
     plain = b"".join(warc.member(p, 0)[0] for p in parts)
     broken = plain.replace(b"<p>3", b"<p>X", 1)
     assert [x[3][0]["page-id"] for x in warc.salvage(broken) if x[0] == "record"] == ["0", "1", "2", "4", "5"]
@@ -161,3 +168,38 @@ def test_pipeline(spark, documents):
         docs = docs if name == "token_ids" else out
     rows = corpus_pipeline.run(spark, SF).collect()
     assert 0 < len(rows) < 200 and all(r.n_tokens == len(r.ids) for r in rows)
+
+
+def test_fields_and_payloads_of_other_writers(spark, tmp_path):
+    body, headers = b"<p>twelve</p>", b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + b"d\r\n" + body + b"\r\n0\r\n\r\n"
+    odd = {"WARC-Type": "response", "WARC-Record-ID": "a", "Page-ID": "abc", "Payload-Length": "1e9", "Refers-To-Page": "9" * 40, "Content-Type": "text/html", "Content-Length": 3}
+    archive = tmp_path / "other.warc"
+    archive.write_bytes(foreign(headers + body) + foreign(chunked, name="y") + warc.head(odd.items()) + b"odd\r\n\r\n")
+    found = warc.read(spark.createDataFrame([(archive.as_uri(),)], "uri string"))
+    rows = warc.records(found).orderBy("offset").collect()
+    assert [(bytes(r.payload), r.payload_bytes, r.digest) for r in rows] == [
+        (body, 13, warc.digest(body)), (body, 13, warc.digest(body)), (b"odd", 3, warc.digest(b"odd")),
+    ]
+    assert [(r.page_id, r.refers_to) for r in rows] == [(None, None)] * 3 and warc.gaps(found).count() == 0
+
+
+WORKERS = """
+import sys
+sys.path.insert(0, sys.argv[1])  # the driver has the package, its workers do not
+from leaguelake.session import local_session
+from leaguelake.llm.queries import QUERIES
+spark = local_session(4)
+spark.sql("SELECT 1").collect()
+for name in sys.argv[2:]:
+    print(name, QUERIES[name](spark, "/root/testdata/sf0.001").count())
+"""
+
+
+def test_workers_need_no_package(tmp_path):
+    root = str(Path(__file__).resolve().parents[2])
+    names = [n for n in QUERIES if n != "op6_prefix_tree_jaccard"]
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", WORKERS, root, *names], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert [x.split()[0] for x in done.stdout.splitlines()] == names
