@@ -6,7 +6,7 @@ scheduler can call them, and a repeated call rebuilds the same gold tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from leaguelake import values
 from leaguelake.operators import events as match_events
 from leaguelake.operators import quality, results
 from leaguelake.plans import marts
+from leaguelake.plans.graph import PART, VIEW, Node, materialised
 from leaguelake.session import stored
 from leaguelake.sources import exports, feeds, landing
 
@@ -110,26 +111,28 @@ def export_live(spark: SparkSession, lake: str, folder: str, as_of: Column) -> b
     return passed
 
 
-def build_live_gold(spark: SparkSession, lake: str, as_of: Column) -> None:
+def live_graph(as_of: Column, newest: Sequence[str] = NEWEST) -> dict[str, Node]:
+    """The live gold tables over the bronze tables ``versions`` and ``standings``. Finished results and the form are parts: made
+    once, read by several tables."""
+    return {
+        "live_matches": Node(lambda v: marts.live_matches_mart(marts.live_state(v, order_by=newest)), ("versions",)),
+        "live_league_table": Node(lambda s: marts.live_league_table(s, order_by=newest), ("standings",)),
+        "finished": Node(lambda v: marts.finished_results(v, order_by=newest), ("versions",), PART),
+        "points_race": Node(marts.points_race, ("finished",)),
+        "rolling_form": Node(marts.form, ("finished",)),
+        "scd1_matches": Node(lambda v: marts.scd1_matches(v, order_by=newest), ("versions",)),
+        "scd2_standings": Node(marts.scd2_standings, ("finished",)),
+        "dim_matchdays": Node(lambda v: marts.dim_matchdays(v, F.to_date(as_of), order_by=newest), ("versions",)),
+        "dim_teams": Node(marts.dim_teams, ("live_league_table", "rolling_form")),
+        "live_match_monitor": Node(lambda v: marts.live_match_monitor(v, as_of, newest), ("versions",)),
+        "race_leaders": Node(results.leaders, ("points_race",), VIEW),
+    }
+
+
+def build_live_gold(spark: SparkSession, lake: str, as_of: Column, newest: Sequence[str] = NEWEST) -> dict[str, DataFrame]:
     """Live state, table, race, form, histories, dimensions and monitor from the landed versions."""
-    versions = bronze(spark, lake, "live_matches")
-    table = stored(marts.live_league_table(bronze(spark, lake, "live_standings"), order_by=NEWEST), "live-table")
-    finished = stored(marts.finished_results(versions, order_by=NEWEST), "finished")
-    form = stored(marts.form(finished), "form")
-    write_gold(
-        lake,
-        {
-            "live_matches": marts.live_matches_mart(marts.live_state(versions, order_by=NEWEST)),
-            "live_league_table": table,
-            "points_race": marts.points_race(finished),
-            "rolling_form": form,
-            "scd1_matches": marts.scd1_matches(versions, order_by=NEWEST),
-            "scd2_standings": marts.scd2_standings(finished),
-            "dim_matchdays": marts.dim_matchdays(versions, F.to_date(as_of), order_by=NEWEST),
-            "dim_teams": marts.dim_teams(table, form),
-            "live_match_monitor": marts.live_match_monitor(versions, as_of, NEWEST),
-        },
-    )
+    sources = {"versions": bronze(spark, lake, "live_matches"), "standings": bronze(spark, lake, "live_standings")}
+    return materialised(spark, f"{lake}/gold", live_graph(as_of, newest), sources)
 
 
 def build_batch_gold(spark: SparkSession, lake: str, season_id: int | None = None) -> None:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.operators import results
 from leaguelake.operators.joins import with_side_counts
 from leaguelake.operators.ordered import OrderedRows, global_row_number
-from leaguelake.plans import marts
+from leaguelake.plans import jobs, marts
 from leaguelake.plans.adapters import NEWEST, NEWEST_READING, cte, load
-from leaguelake.session import stored
+from leaguelake.session import new_folder, stored
 from leaguelake.queries.registry import (
     FORM,
     LEAGUE,
@@ -22,6 +25,7 @@ from leaguelake.queries.registry import (
     TEAMS,
     WEATHER,
     query,
+    versions,
     with_ctes,
 )
 
@@ -367,3 +371,26 @@ def infer_rounds(spark, sf_dir):
 )
 def top_scorers(spark, sf_dir):
     return marts.top_scorers(load(spark, sf_dir, "scorers"), order_by=NEWEST)
+
+
+GOLD = """SELECT * FROM (SELECT 'points_race' AS name, count(*) AS n, CAST(sum(cumulative_points) AS BIGINT) AS total FROM race
+ UNION ALL SELECT 'rolling_form', count(*), CAST(sum(recency_rank) AS BIGINT) FROM form
+ UNION ALL SELECT 'scd2_standings', count(*), CAST(sum(matchdays_held) AS BIGINT) FROM versions
+ UNION ALL SELECT 'race_leaders', least(6, count(*)), CAST(max(cumulative_points) AS BIGINT) FROM race
+ WHERE matchday = (SELECT max(matchday) FROM race))"""
+
+
+@query(with_ctes(*RACE, FORM[-1], *versions()[len(LIVE_SIDES) :], select=GOLD))
+def gold_of_a_built_lake(spark, sf_dir):
+    """A lake is landed from the given tables and its gold tables are made as declared; tables are read back, a view is computed."""
+    lake = new_folder(spark, "lake")
+    for name in ("live_matches", "live_standings"):
+        load(spark, sf_dir, name).write.parquet(f"{lake}/bronze/{name}")
+    at = F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")
+    made = jobs.build_live_gold(spark, lake, at, NEWEST)
+    measures = {"points_race": "cumulative_points", "rolling_form": "recency_rank", "scd2_standings": "matchdays_held"}
+    rows = [
+        made[t].agg(F.lit(t).alias("name"), F.count(F.lit(1)).alias("n"), F.sum(c).cast("long").alias("total")) for t, c in measures.items()
+    ]
+    last = made["race_leaders"].agg(F.lit("race_leaders").alias("name"), F.count(F.lit(1)).alias("n"), F.max("cumulative_points").alias("total"))
+    return reduce(DataFrame.unionByName, [*rows, last])

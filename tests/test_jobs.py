@@ -2,12 +2,13 @@
 
 import datetime as dt
 import json
+from graphlib import CycleError
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from leaguelake.plans import jobs
+from leaguelake.plans import graph, jobs
 
 TEAMS = ["Arsenal FC", "AFC Bournemouth", "Chelsea FC", "Everton FC"]
 
@@ -155,3 +156,34 @@ def test_batch_path(spark, tmp_path):
     assert gold(spark, lake, "recent_results").count() == 2
     assert gold(spark, lake, "top_scorers").first().goals == 1
     assert gold(spark, lake, "match_events").count() == 2
+
+
+def test_declared_graph(spark, tmp_path):
+    """Inputs come first whatever the order of declaration; parts are computed once, views by each reader; errors are named."""
+    calls = []
+
+    def make(name):
+        def run(*dfs):
+            calls.append(name)
+            return dfs[0].withColumn(name, F.lit(len(dfs)))
+
+        return run
+
+    nodes = {
+        "last": graph.Node(make("last"), ("seen", "part")),
+        "seen": graph.Node(make("seen"), ("part",), graph.VIEW),
+        "part": graph.Node(make("part"), ("raw",), graph.PART),
+    }
+    raw = spark.range(3)
+    made = graph.materialised(spark, str(tmp_path), nodes, {"raw": raw})
+    assert calls == ["part", "seen", "last"] and made["last"].columns == ["id", "part", "seen", "last"]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["last"] and made["last"].count() == 3
+    assert made["part"].inputFiles() == made["seen"].inputFiles() != []
+    graph.materialised(spark, str(tmp_path), nodes, {"raw": raw.limit(1)})
+    assert spark.read.parquet(str(tmp_path / "last")).count() == 1
+    with pytest.raises(ValueError, match="unknown inputs: .'raw'"):
+        graph.order_of(nodes, {})
+    with pytest.raises(ValueError, match="declared and given"):
+        graph.order_of(nodes, {"raw": raw, "seen": raw})
+    with pytest.raises(CycleError):
+        graph.order_of({"a": graph.Node(make("a"), ("b",)), "b": graph.Node(make("b"), ("a",))}, {})
