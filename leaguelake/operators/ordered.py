@@ -182,43 +182,44 @@ class OrderedRows:
     def scan(self, number: str | None = None, from_end: str | None = None, **aggregates: tuple[str, str]) -> OrderedRows:
         """``number`` and ``running`` in one pass: values within each range, and the exclusive scan of the ranges' partial values
         on top of them. Carry rows exist for cut groups only, at most two per range, so their broadcast is bounded."""
-        here, partials, scanned, done = [], [], [], []
+        here, partials, scanned, done = [], [], [], {}
+        whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
         if number:
-            here.append(f"cast(row_number() {self._over()} AS long) AS {quoted(number)}")
+            here.append(f"cast(row_number() {self._over()} AS long) AS _number")
             partials.append("count(1) AS _n")
             scanned.append(f"sum(_n) {self._earlier()} AS _rows_before")
-            done.append(f"{quoted(number)} + coalesce(_rows_before, 0) AS {quoted(number)}")
+            done[number] = "_number + coalesce(_rows_before, 0)"
         if from_end:
-            here.append(f"count(1) {self._over('ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING')} AS {quoted(from_end)}")
-            scanned.append(f"sum(_n) {self._earlier('ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING')} AS _rows_total")
-            done.append(f"coalesce(_rows_total, {quoted(from_end)}) - ({quoted(number)} + coalesce(_rows_before, 0)) + 1 AS {quoted(from_end)}")
+            here.append(f"count(1) {self._over(whole)} AS _rows_here")
+            scanned.append(f"sum(_n) {self._earlier(whole)} AS _rows_total")
+            done[from_end] = f"coalesce(_rows_total, _rows_here) - ({done[number]}) + 1"
         for i, (name, (how, c)) in enumerate(aggregates.items()):
-            name, c, carried = quoted(name), quoted(c), f"_carry{i}"
+            c, own, carried = quoted(c), f"_own{i}", f"_carry{i}"
             up_to = self._over("ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
             if how == "last":
-                here.append(f"last({c}, true) {up_to} AS {name}")
+                here.append(f"last({c}, true) {up_to} AS {own}")
                 partials.append(f"max_by({c}, CASE WHEN {c} IS NOT NULL THEN {self.key} END) AS {carried}")
                 scanned.append(f"last({carried}, true) {self._earlier()} AS {carried}")
             else:
-                here.append(f"{how}({c}) {up_to} AS {name}")
+                here.append(f"{how}({c}) {up_to} AS {own}")
                 partials.append(f"{how}({c}) AS {carried}")
                 scanned.append(f"{'sum' if how == 'count' else how}({carried}) {self._earlier()} AS {carried}")
-            both = {
-                "sum": f"coalesce({name} + {carried}, {name}, {carried})",
-                "count": f"{name} + coalesce({carried}, 0)",
-                "min": f"least({name}, {carried})",
-                "max": f"greatest({name}, {carried})",
-                "last": f"coalesce({name}, {carried})",
+            done[name] = {
+                "sum": f"coalesce({own} + {carried}, {own}, {carried})",
+                "count": f"{own} + coalesce({carried}, 0)",
+                "min": f"least({own}, {carried})",
+                "max": f"greatest({own}, {carried})",
+                "last": f"coalesce({own}, {carried})",
             }[how]
-            done.append(f"{both} AS {name}")
         keys = [*map(quoted, self.partition_by), RANGE]
         carry = self._per_range(*partials).selectExpr(*keys, *scanned)
         on = " AND ".join(f"rows.{c} <=> carry.{c}" for c in keys)
-        kept = self.frame.columns
+        kept = [quoted(c) for c in self.frame.columns if c not in done]
         rows = self.frame.selectExpr("*", *here).alias("rows")
         joined = rows.join(F.broadcast(carry).alias("carry"), F.expr(on), "left")
-        added = [x.rpartition(" AS ")[2] for x in scanned]
-        self.frame = joined.selectExpr("rows.*", *[f"carry.{c}" for c in added]).selectExpr(*map(quoted, kept), *done)
+        added = [f"carry.{x.rpartition(' AS ')[2]}" for x in scanned]
+        values = [f"{e} AS {quoted(name)}" for name, e in done.items()]
+        self.frame = joined.selectExpr("rows.*", *added).selectExpr(*kept, *values)
         return self
 
     def rolling(self, size: int, **aggregates: Column) -> OrderedRows:
@@ -235,7 +236,8 @@ class OrderedRows:
             borrowed = self._last_rows(reach).withColumn(BORROWED, F.lit(True))
             out = out.withColumn(BORROWED, F.lit(False)).unionByName(borrowed, allowMissingColumns=True)
         window = frame(Window.partitionBy(*self.partition_by, RANGE).orderBy(*sort_columns(self.order_by)))
-        out = out.select("*", *[e.over(window).alias(name) for name, e in expressions.items()])
+        kept = [quoted(c) for c in out.columns if c not in expressions]
+        out = out.select(*kept, *[e.over(window).alias(name) for name, e in expressions.items()])
         self.frame = out.where(f"NOT {BORROWED}").drop(BORROWED) if reach > 0 else out
         return self
 

@@ -93,3 +93,9 @@ def test_descending_kinds(spark, order):
     df = df.withColumn("amount", F.col("amount").cast("decimal(9,2)"))
     plain = OrderedRows(df, order, (), ranges=1).number("rn").result()
     same(plain, OrderedRows(df, order, (), ranges=25).number("rn").result())
+
+
+def test_a_column_of_the_same_name_is_replaced(rows):
+    small = rows.filter("id < 200")
+    plain = small.withColumn("id", F.row_number().over(W.orderBy("id")).cast("long"))
+    same(plain, global_row_number(small, ["id"], "id", ranges=5))
