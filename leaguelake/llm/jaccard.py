@@ -458,5 +458,5 @@ def representatives(
     named = named.withColumn("__id", F.col(doc_id).cast("long"))
     kept = null_safe(named.where("__class IS NOT NULL"), chosen, ["__id", "__class"], "left_semi")
     tie = F.sha2(F.to_json(F.struct(*(kept[c] for c in columns))), 256)
-    kept = top_per_key(kept.withColumn("__tie", tie), ["__id", "__class"], ["__tie"])
+    kept = top_per_key(kept.withColumn("__tie", tie), ["__id", "__class"], ["__tie"]).drop("__tie")
     return kept.unionByName(named.where("__class IS NULL")).select(*columns)

@@ -167,3 +167,18 @@ def test_digest_columns(spark, tables):
     assert got("op2_token_files", "doc_id", "n_tokens", "ids_crc32") == ordered(want)
     want = [(i, len(h), base64.b32encode(hashlib.sha1(h).digest()).decode()) for i, h in ((i, (h or "").encode()) for i, _, h in pages)]
     assert got("op9_warc", "page_id", "payload_bytes", "payload_digest") == ordered(want)
+
+
+def test_near_copies_of_one_id_do_not_depend_on_the_order_of_rows(spark):
+    """Two rows with one id and equal sets, but other texts: the same one stays whatever the order."""
+    from leaguelake.llm.jaccard import representatives
+
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "a"), (1, text.upper(), "b"), (1, text.replace(" ", "  "), "c")]
+    kept = set()
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string").coalesce(1)
+        out = representatives(docs).collect()
+        assert len(out) == 1
+        kept.add(tuple(out[0]))
+    assert len(kept) == 1
