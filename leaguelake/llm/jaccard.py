@@ -3,17 +3,19 @@
 Documents with equal sets of word n-grams form a class; classes are joined, and linked ones form components. Every set is put in
 one global order: n-grams that many documents share last, the others by hash.
 
-1. Classes that share their set's least hash meet in a block. A block's sets are stored in a prefix tree in global
+1. Two sets of the needed similarity differ in few n-grams, at most k by their sizes. The hash space is cut into more than
+   k parts, so some part holds the same n-grams in both. Parts are ordered by how many n-grams they hold; the first k + 1 of a
+   set, for every band of sizes that its partners may fall in, are its keys. Sets that are similar share a key, and hardly others do:
+   a passage or line that many documents share fills no part alone.
+2. Classes that share a key meet in a block. A block's sets are stored in a prefix tree in global
    order; a set walks the tree, shares the overlap of common beginnings, and leaves a subtree when even all that
    remains cannot reach the needed overlap, or when all below is already in its component.
-2. That finds most links, not all. Two sets of the needed similarity share an n-gram of their prefixes (the first
-   n - ceil(t n) + 1 in order), so only classes of different components that share one can still be linked. They are compared
-   by parity signatures, whose difference never exceeds that of the sets; each class keeps a few survivors, the next
-   larger ones first, and these meet in blocks as in 1. That links a group of copies as a chain. Classes that had more
-   go on, with more, in another round.
-
-Components are found by passing on least labels until none changes. Blocks hold ``BLOCK`` sets at most; what does not fit is dealt to
-several, each with the block's first set, or compared cell by cell, so no group of copies has to fit in one task. Texts are
+3. A class goes to the key that most classes have, then in further rounds to 8, 64, ... of its keys. A key is done when
+   all its classes met there, or are in one component; the rounds end when all keys are done. A group of copies falls together in
+   the first round, and what a round sends grows with the classes, never with their pairs.
+
+Components are found by passing on least labels until none changes. Blocks hold about ``BLOCK`` sets; a key of more is first dealt to
+several, each with the key's first set, and if that leaves several components, met block by block, so no group of copies has to fit in one task. Texts are
 read once and never shuffled: sets are written with 48 bits of each hash, and each round reads them and sends on those asked for.
 Which are is told by a bit table of fixed size; where it is too full to tell, more are sent and the join that follows drops them.
 
@@ -33,14 +35,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, mixed, null_safe, rolled, sliced, small_batches, spread
+from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, groups, mixed, null_safe, rolled, sliced, small_batches, spread
 from leaguelake.operators.history import top_per_key
 from leaguelake.session import stored
 
 N = 4
 PERCENT = 85
 BLOCK = 2048
-SURVIVORS = 2  # in the first round; four times as many in each further one
+WIDER = 8  # so many times the keys of a class in each further round
 COMMON = 500  # an n-gram that one document in so many has comes last in the order
 STEP = 64
 ROWS = 1024  # documents among which common n-grams are counted
@@ -54,8 +56,9 @@ def needed(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def prefix(size: int, percent: int) -> int:
-    return size - -(-percent * size // 100) + 1
+def differ(total: int, percent: int) -> int:
+    """At most the number of elements that only one of two similar sets has, whose sizes add up to this."""
+    return total * (100 - percent) // (100 + percent)
 
 
 def shingles(text: bytes, memo: Hashes, n: int) -> np.ndarray:
@@ -77,25 +80,33 @@ def name(h: np.ndarray) -> int:
     return int(mixed(both + np.uint64(len(h))).view(np.int64)[0])
 
 
-def buckets(size: int) -> int:
-    return max(64, 1 << size.bit_length())
-
-
-def signature(h: np.ndarray) -> bytes:
-    """Parities of the hashes' counts in buckets, one or two for each element."""
-    bits = buckets(len(h))
-    odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
-
-
-def apart(a: int, size_a: int, b: int, size_b: int) -> int:
-    """At most the number of elements that only one of two sets has."""
-    wide, narrow = buckets(max(size_a, size_b)), buckets(min(size_a, size_b))
-    large, small = (a, b) if size_a >= size_b else (b, a)
-    while wide > narrow:
-        wide //= 2
-        large = (large >> wide) ^ (large & ((1 << wide) - 1))
-    return (large ^ small).bit_count()
+def part_keys(h: np.ndarray, percent: int) -> np.ndarray:
+    """The keys of a set of 48-bit hashes, ascending. A pair's band is that of the larger set: the number of bits of its size.
+
+    In a band the hash space has more parts than a pair can differ in elements, so at least (parts - k) are the same in both sets of
+    a pair. Each set leaves out its last (parts - k - 1) by an order that only what a part holds decides: the first
+    of the same parts is left out by neither."""
+    size, largest, out = len(h), 100 * len(h) // percent, [np.empty(0, np.uint64)]
+    for band in range(size.bit_length(), largest.bit_length() + 1):
+        top = (1 << band) - 1
+        k = differ(size + min(top, largest), percent)
+        if not k:  # only equal sets are similar, and these are one class
+            continue
+        most = differ(2 * top, percent)
+        parts = most + most // 8 + 3
+        part = (h >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)
+        start = groups(part)
+        held = np.diff(np.r_[start, size])
+        inside = np.add.reduceat(mixed(h), start)
+        if len(start) <= k:  # empty parts come last
+            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), part[start])
+            part = np.r_[part[start], empty]
+            held, inside = (np.r_[x, np.zeros(len(empty), x.dtype)] for x in (held, inside))
+        else:
+            part = part[start]
+        key = mixed(inside + mixed(part * np.uint64(64) + np.uint64(band)))
+        out.append(key[np.lexsort((key, -held))[: k + 1]])
+    return np.concatenate(out)
 
 
 class Union:
@@ -219,10 +230,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def described(rows: DataFrame, n: int) -> DataFrame:
-    """A row per document (id, n_shingles, class, least, signature, items), the items being its set where the batch has it
-    first; and a row (gram, times) for each n-gram that is common in some rows that follow each other."""
-    names = ["id", "n_shingles", "class", "least", "signature", "items", "gram", "times"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    """A row per document (id, n_shingles, class, items), the items being its set where the batch has it first; and a row (gram, times) for each n-gram that is common in some rows that follow each other."""
+    names = ["id", "n_shingles", "class", "items", "gram", "times"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Hashes()
@@ -234,21 +244,21 @@ def described(rows: DataFrame, n: int) -> DataFrame:
                 for key, value in zip(part["id"].to_pylist(), binaries(part["text"]), strict=True):
                     h = shingles(value, memo, n)
                     if not len(h):
-                        out.append((key, 0, *(None,) * 6))
+                        out.append((key, 0, *(None,) * 4))
                         continue
                     who, items = name(h), None
                     if who not in seen:
                         seen.add(who)
                         counted.append(h)
                         items = (h >> DROPPED).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                    out.append((key, len(h), who, int(h[0] >> np.uint64(1)), signature(h), items, None, None))
+                    out.append((key, len(h), who, items, None, None))
                 keys, times = np.unique(np.concatenate(counted), return_counts=True)
                 often = (times > 1) & (times * COMMON >= part.num_rows)
                 grams = (keys[often] >> DROPPED).astype(np.int64).tolist()
-                out += [(*(None,) * 6, *x) for x in zip(grams, times[often].tolist(), strict=True)]
+                out += [(*(None,) * 4, *x) for x in zip(grams, times[often].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
-    return rows.mapInArrow(run, "id long, n_shingles long, class long, least long, signature binary, items binary, gram long, times long")
+    return rows.mapInArrow(run, "id long, n_shingles long, class long, items binary, gram long, times long")
 
 
 def items_of(data: bytes) -> np.ndarray:
@@ -308,71 +318,43 @@ def met(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
     return sets.withColumn("bucket", bucket("block")).groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
-def prefix_entries(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """(gram, class) of prefix n-grams that several classes share."""
+def key_entries(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, class) of keys that several classes share."""
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [ordered(h, common)[: prefix(len(h), percent)] for h in map(items_of, batch["items"].to_pylist())]
-            who = np.repeat(batch["class"].to_numpy(), [len(x) for x in grams])
-            flat = np.concatenate([np.empty(0, np.uint64), *grams]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(who)], ["gram", "class"])
-
-    entries = stored(sets.mapInArrow(first, "gram long, class long"), "prefixes")
-    shared = entries.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    return entries.join(shared.select("gram").hint("merge"), "gram", "left_semi")
-
-
-def survivors_of(entries: DataFrame, state: DataFrame, percent: int, most: int) -> DataFrame:
-    """(a, b): pairs of different components that share a prefix n-gram and may be similar enough by size and signature;
-    at most so many for each class and bucket, the nearest in size first, and (a, null) if a has more."""
-    placed = entries.join(state.select("class", "component").hint("merge"), "class")
-    tally = placed.groupBy("gram").agg(
-        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
+            found_here = [part_keys(items_of(x), percent) for x in batch["items"].to_pylist()]
+            who = np.repeat(batch["class"].to_numpy(), [len(x) for x in found_here])
+            flat = np.concatenate([np.empty(0, np.uint64), *found_here]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(who)], ["key", "class"])
+
+    entries = stored(sets.mapInArrow(keys, "key long, class long"), "keys")
+    shared = entries.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    return entries.join(shared.select("key").hint("merge"), "key", "left_semi").distinct()
+
+
+def open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, class, members, first) of keys whose classes are in several components."""
+    placed = entries.join(labels.hint("merge"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    placed = stored(placed.select("key", "class", "component"), "placed")
+    tally = placed.groupBy("key").agg(
+        F.count("*").alias("members"), F.min("class").alias("first"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    tally = tally.where("low <> high").select("gram", F.ceil(F.col("members") / BLOCK).alias("cells"))
-    facts = state.select("class", "size", "signature")
-    dealt = placed.join(tally.hint("merge"), "gram").join(facts.hint("merge"), "class").withColumn("mine", F.pmod(F.xxhash64("class"), F.col("cells")))
-    others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1), lambda j: F.struct(F.least("mine", j).alias("i"), F.greatest("mine", j).alias("j")))
-    dealt = dealt.withColumn("cell", F.explode(others))
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(c, "ascending") for c in ("gram", "i", "j", "size", "class")])
-        where = [table[c].to_numpy() for c in ("gram", "i", "j")]
-        new = np.zeros(table.num_rows, bool)
-        new[:1] = True
-        for c in where:
-            new[1:] |= c[1:] != c[:-1]
-        bounds = [*np.flatnonzero(new).tolist(), table.num_rows]
-        who, part, mine, size = (table[c].to_pylist() for c in ("class", "component", "mine", "size"))
-        code = [int.from_bytes(b, "little") for b in table["signature"].to_pylist()]
-        out, more, looked, kept = set(), set(), set(), {}
-        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
-            alone = where[1][start] == where[2][start]
-            for x in range(start, end - 1):
-                a = who[x]
-                for y in range(x + 1, end if a not in more else 0):
-                    if 100 * size[x] < percent * size[y]:
-                        break
-                    b = who[y]
-                    if part[x] == part[y] or (not alone and mine[x] == mine[y]) or (a, b) in looked:
-                        continue
-                    differ = size[x] + size[y] - 2 * needed(size[x], size[y], percent)
-                    near = (min(a, b), max(a, b)) not in out and apart(code[x], size[x], code[y], size[y]) <= differ
-                    if near and kept.get(a, 0) >= most:
-                        more.add(a)
-                        break
-                    if end - start < BLOCK // 8:
-                        looked.add((a, b))
-                    if near:
-                        kept[a] = kept.get(a, 0) + 1
-                        out.add((min(a, b), max(a, b)))
-        pairs = [*sorted(out), *((a, None) for a in sorted(more))]
-        return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
-
-    rows = dealt.select("gram", "cell.i", "cell.j", "class", "component", "mine", "size", "signature")
-    rows = rows.withColumn("bucket", bucket("gram", "i", "j"))
-    return rows.groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
+    return placed.select("key", "class").join(tally.where("low <> high").drop("low", "high").hint("merge"), "key")
+
+
+def blocks_of(chosen: DataFrame, whole: bool) -> DataFrame:
+    """(class, block): keys of more classes than a block holds are dealt to several, with their first class in each, or, if they
+    are to be met whole, to one for each two cells."""
+    cells = F.ceil(F.col("members") / BLOCK)
+    mine = F.when(cells > 1, F.pmod(F.xxhash64("class"), cells)).otherwise(F.lit(0).cast("long"))
+    every = F.sequence(F.lit(0).cast("long"), cells - 1)
+    if whole:
+        others = F.transform(every, lambda j: F.xxhash64("key", F.least("mine", j), F.greatest("mine", j)))
+    else:
+        here = F.transform(every, lambda j: F.xxhash64("key", j))
+        others = F.when(F.col("class") == F.col("first"), here).otherwise(F.array(F.xxhash64("key", "mine")))
+    return chosen.withColumn("mine", mine).select("class", F.explode(others).alias("block"))
 
 
 def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -387,7 +369,7 @@ def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: in
     spark = documents.sparkSession
     rows = documents.select(documents[doc_id].cast("long").alias("id"), documents[text].cast("string").alias("text"))
     facts = stored(described(rows, n), "shingle-sets")
-    docs = facts.where("gram IS NULL").select("id", "n_shingles", "class", "least", "signature")
+    docs = facts.where("gram IS NULL").select("id", "n_shingles", "class")
     sets = facts.where("items IS NOT NULL").select("class", "items")
     count = docs.agg(F.count("*")).scalar()
     often = facts.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("times"))
@@ -395,42 +377,23 @@ def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: in
     top = often.where(F.col("times") * COMMON >= count).select("gram").collect()
     common = np.sort(np.array([r.gram for r in top], np.uint64))
 
-    classes = docs.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("id").alias("first_id"), F.min("least").alias("least"), F.min("n_shingles").alias("size"), F.min("signature").alias("signature")
-    )
-    classes = stored(classes, "classes")
-    shared = classes.groupBy("least").agg(F.count("*").alias("members"), F.min("class").alias("first")).where("members > 1")
-    parts = F.ceil(F.col("members") / BLOCK)
-    own = classes.join(shared, "least").withColumn("part", F.pmod(F.xxhash64("class"), parts))
-    own = own.select("class", F.xxhash64("least", "part").alias("block"))
-    every = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda p: F.xxhash64("least", p))
-    firsts = shared.where(F.col("members") > BLOCK).select(F.col("first").alias("class"), F.explode(every).alias("block"))
-    blocks = stored(own.unionByName(firsts).distinct(), "blocks")
-    links = stored(met(fetched(sets, blocks), common, percent), "block-links")
-    entries = stored(prefix_entries(sets, common, percent), "prefix-entries")
-    compared = spark.createDataFrame([], "a long, b long")
-    live = entries.select("class").distinct()
-    live = stored(classes.join(live, "class", "left_semi").select("class", "size", "signature"), "live-classes")
-    most, unfinished = SURVIVORS, True
-    while unfinished:
+    classes = stored(docs.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("first_id")), "classes")
+    links = spark.createDataFrame([], "a long, b long")
+    labels = spark.createDataFrame([], "class long, component long")
+    entries = stored(key_entries(sets, percent), "shared-keys")
+    most = 1
+    while not (left := stored(open_entries(entries, labels), "open-keys")).isEmpty():
+        chosen = stored(top_per_key(left, ["class"], ["-members", "key"], most), "chosen-keys")
+        wanted = stored(blocks_of(chosen, whole=most > 1).distinct(), "blocks")
+        links = stored(links.unionByName(met(fetched(sets, wanted), common, percent)), "block-links")
         labels = components(links)
         links = labels.select(F.col("class").alias("a"), F.col("component").alias("b"))
-        state = live.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        looked = stored(survivors_of(entries, state, percent, most), "survivors")
-        survivors = stored(looked.where("b IS NOT NULL").join(compared, ["a", "b"], "left_anti"), "survivors")
-        block = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(16)))
-        wanted = stored(survivors.select(F.explode(F.array("a", "b")).alias("class"), block.alias("block")).distinct(), "blocks")
-        links = stored(links.unionByName(met(fetched(sets, wanted), common, percent)), "block-links")
-        compared = stored(compared.unionByName(survivors), "compared")
-        # Only classes with more survivors than were kept can still have links that nobody looked at.
-        more = looked.where("b IS NULL").select(F.col("a").alias("class"))
-        unfinished = not more.isEmpty()
-        if unfinished:
-            left = entries.join(more, "class", "left_semi").select("gram").distinct()
-            entries = stored(entries.join(left, "gram", "left_semi"), "prefix-entries")
-            live = stored(live.join(entries.select("class").distinct(), "class", "left_semi"), "live-classes")
-            most *= 4
-    state = classes.join(components(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        # Done are keys to which all their classes came and where they met in one block, or every block with every other.
+        came = chosen.groupBy("key", "members").agg(F.count("*").alias("came")).where("came = members")
+        done = came.where(F.lit(most > 1) | (F.col("members") <= BLOCK))
+        entries = left.select("key", "class").join(done.select("key").hint("merge"), "key", "left_anti")
+        most *= WIDER
+    state = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
     least = state.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_class = state.join(least, "component").select("class", "component", "component_id")

@@ -61,9 +61,9 @@ def test_components(documents, empty, rows, monkeypatch):
         least[find(a)] = min(least[find(a)], math.inf if i is None else i)
     none = lambda v: None if v == math.inf else v
     want = [(i, len(s), none(least[find(a)]) if s else i) for a, ((i, _), s) in enumerate(zip(rows, sets, strict=True))]
-    for block, survivors in ((2048, 2), (3, 1)):
+    for block, wider in ((2048, 8), (3, 2)):
         monkeypatch.setattr(jaccard, "BLOCK", block)
-        monkeypatch.setattr(jaccard, "SURVIVORS", survivors)
+        monkeypatch.setattr(jaccard, "WIDER", wider)
         got = [(r.id, r.n_shingles, r.component_id) for r in jaccard.joined(documents).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert jaccard.joined(empty).count() == 0
@@ -99,6 +99,20 @@ def test_tree_finds_all_links():
     assert [tree.parts.find(i) for i in range(120)] == [plain.find(i) for i in range(120)]
 
 
+def test_similar_sets_share_a_key():
+    """Sets at the border of similarity, tiny ones and ones of neighbouring bands among them."""
+    rng = np.random.default_rng(5)
+    for percent in (80, 85):
+        for size in [*range(1, 40), 63, 64, 65, 127, 128, 300, 1100]:
+            for _ in range(20):
+                a = np.unique(rng.integers(0, 1 << 48, size, dtype=np.uint64))
+                gone, extra = rng.integers(0, 1 + size // 6, 2)
+                b = np.unique(np.r_[rng.permutation(a)[gone:], rng.integers(0, 1 << 48, extra, dtype=np.uint64)])
+                shared = len(np.intersect1d(a, b))
+                if 100 * shared >= percent * (len(a) + len(b) - shared) and shared < max(len(a), len(b)):
+                    assert len(np.intersect1d(jaccard.part_keys(a, percent), jaccard.part_keys(b, percent)))
+
+
 def test_scores(documents, empty, rows):
     tokens = [[x.lower() for x in words(t)] + [0] for _, t in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
