@@ -10,9 +10,10 @@ one global order: n-grams that many documents share last, the others by hash.
 2. Classes that share a key meet in a block. A block's sets are stored in a prefix tree in global
    order; a set walks the tree, shares the overlap of common beginnings, and leaves a subtree when even all that
    remains cannot reach the needed overlap, or when all below is already in its component.
-3. A class goes to the key that most classes have, then in further rounds to 8, 64, ... of its keys. A key is done when
-   all its classes met there, or are in one component; the rounds end when all keys are done. A group of copies falls together in
-   the first round, and what a round sends grows with the classes, never with their pairs.
+3. Of keys with the same classes one is kept. Classes that keys connect are a family. A family that fits a block meets there, and
+   is done. In a larger one a class goes to the key that most classes have, then, in further rounds, to 8, 64, ... of its keys; a key is
+   done when all its classes met there, or are in one component. A group of copies falls together in the first round and what is left
+   of its family is smaller. What a round sends grows with the classes, not with their pairs; the rounds end when all keys are done.
 
 Components are found by passing on least labels until none changes. Blocks hold about ``BLOCK`` sets; a key of more is first dealt to
 several, each with the key's first set, and if that leaves several components, met block by block, so no group of copies has to fit in one task. Texts are
@@ -41,8 +42,9 @@ from leaguelake.session import stored
 
 N = 4
 PERCENT = 85
-BLOCK = 2048
+BLOCK = 8192
 WIDER = 8  # so many times the keys of a class in each further round
+GRAMS = 1 << 20  # and so many n-grams
 COMMON = 500  # an n-gram that one document in so many has comes last in the order
 STEP = 64
 ROWS = 1024  # documents among which common n-grams are counted
@@ -319,7 +321,7 @@ def met(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
 
 
 def key_entries(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, class) of keys that several classes share."""
+    """(key, class) of keys that several classes share; of keys with the same classes only one."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,7 +332,11 @@ def key_entries(sets: DataFrame, percent: int) -> DataFrame:
 
     entries = stored(sets.mapInArrow(keys, "key long, class long"), "keys")
     shared = entries.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    return entries.join(shared.select("key").hint("merge"), "key", "left_semi").distinct()
+    several = stored(entries.join(shared.select("key").hint("merge"), "key", "left_semi").distinct(), "several")
+    both = [F.bit_xor(F.xxhash64("class", F.lit(salt))).alias(f"code{salt}") for salt in (0, 1)]
+    whose = several.groupBy("key").agg(F.count("*").alias("members"), *both)
+    one = whose.groupBy("members", "code0", "code1").agg(F.min("key").alias("key"))
+    return several.join(one.select("key").hint("merge"), "key", "left_semi")
 
 
 def open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -343,6 +349,14 @@ def open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.select("key", "class").join(tally.where("low <> high").drop("low", "high").hint("merge"), "key")
 
 
+def families_of(left: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, family, large): classes that keys connect, directly or through others."""
+    found_here = components(left.where("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b")).distinct())
+    named = found_here.join(classes.select("class", "size").hint("merge"), "class").withColumnRenamed("component", "family")
+    sizes = named.groupBy("family").agg(((F.count("*") > BLOCK) | (F.sum("size") > GRAMS)).alias("large"))
+    return named.select("class", "family").join(sizes.hint("merge"), "family")
+
+
 def blocks_of(chosen: DataFrame, whole: bool) -> DataFrame:
     """(class, block): keys of more classes than a block holds are dealt to several, with their first class in each, or, if they
     are to be met whole, to one for each two cells."""
@@ -377,21 +391,26 @@ def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: in
     top = often.where(F.col("times") * COMMON >= count).select("gram").collect()
     common = np.sort(np.array([r.gram for r in top], np.uint64))
 
-    classes = stored(docs.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("first_id")), "classes")
+    facts_of = docs.where("class IS NOT NULL").groupBy("class")
+    classes = stored(facts_of.agg(F.min("id").alias("first_id"), F.min("n_shingles").alias("size")), "classes")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "class long, component long")
     entries = stored(key_entries(sets, percent), "shared-keys")
     most = 1
     while not (left := stored(open_entries(entries, labels), "open-keys")).isEmpty():
-        chosen = stored(top_per_key(left, ["class"], ["-members", "key"], most), "chosen-keys")
-        wanted = stored(blocks_of(chosen, whole=most > 1).distinct(), "blocks")
+        families = stored(families_of(left, classes), "families")
+        small = families.where("NOT large").select("class", F.col("family").alias("block"))
+        rest = left.join(families.where("large").select("class").hint("merge"), "class", "left_semi")
+        chosen = stored(top_per_key(rest, ["class"], ["-members", "key"], most), "chosen-keys")
+        dealt = blocks_of(chosen, whole=most > 1).distinct()
+        wanted = stored(small.unionByName(dealt), "blocks")
         links = stored(links.unionByName(met(fetched(sets, wanted), common, percent)), "block-links")
         labels = components(links)
         links = labels.select(F.col("class").alias("a"), F.col("component").alias("b"))
         # Done are keys to which all their classes came and where they met in one block, or every block with every other.
         came = chosen.groupBy("key", "members").agg(F.count("*").alias("came")).where("came = members")
         done = came.where(F.lit(most > 1) | (F.col("members") <= BLOCK))
-        entries = left.select("key", "class").join(done.select("key").hint("merge"), "key", "left_anti")
+        entries = rest.select("key", "class").join(done.select("key").hint("merge"), "key", "left_anti")
         most *= WIDER
     state = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
 

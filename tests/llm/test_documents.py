@@ -61,8 +61,9 @@ def test_components(documents, empty, rows, monkeypatch):
         least[find(a)] = min(least[find(a)], math.inf if i is None else i)
     none = lambda v: None if v == math.inf else v
     want = [(i, len(s), none(least[find(a)]) if s else i) for a, ((i, _), s) in enumerate(zip(rows, sets, strict=True))]
-    for block, wider in ((2048, 8), (3, 2)):
+    for block, wider, grams in ((2048, 8, 1 << 20), (3, 2, 1 << 20), (2048, 2, 1), (3, 2, 1)):
         monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "GRAMS", grams)
         monkeypatch.setattr(jaccard, "WIDER", wider)
         got = [(r.id, r.n_shingles, r.component_id) for r in jaccard.joined(documents).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
