@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_TEMPORARY: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
 
 
 def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
@@ -40,9 +44,25 @@ def shared_folder(spark: SparkSession) -> str:
     return configured
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables that are ``stored`` meanwhile are deleted at the end, but for those to keep: a result that is read later must be kept."""
+    paths: list[str] = []
+    token = _TEMPORARY.set(paths)
+    try:
+        yield
+    finally:
+        _TEMPORARY.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Compute a table once, write it to the shared folder and read it back: its lineage ends there."""
     path = new_folder(df.sparkSession, name)
+    if not keep and (paths := _TEMPORARY.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
