@@ -36,9 +36,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, groups, mixed, null_safe, rolled, sliced, small_batches, spread
+from leaguelake.llm.common import MULTIPLIERS, Hashes, binaries, found, groups, mixed, null_safe, planes, rolled, sliced, small_batches, spread, unplanes
 from leaguelake.operators.history import top_per_key
-from leaguelake.session import stored
+from leaguelake.session import stored, temporary
 
 N = 4
 PERCENT = 85
@@ -252,7 +252,7 @@ def described(rows: DataFrame, n: int) -> DataFrame:
                     if who not in seen:
                         seen.add(who)
                         counted.append(h)
-                        items = (h >> DROPPED).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                        items = packed(h >> DROPPED)
                     out.append((key, len(h), who, items, None, None))
                 keys, times = np.unique(np.concatenate(counted), return_counts=True)
                 often = (times > 1) & (times * COMMON >= part.num_rows)
@@ -263,11 +263,13 @@ def described(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, n_shingles long, class long, items binary, gram long, times long")
 
 
+def packed(items: np.ndarray) -> bytes:
+    """An ascending set of 48-bit hashes as differences, by bytes of equal weight: the highest are nearly all zero."""
+    return planes(np.diff(items, prepend=np.uint64(0)))[: 6 * len(items)]
+
+
 def items_of(data: bytes) -> np.ndarray:
-    """The stored set: 48 bits of each hash, ascending."""
-    wide = np.zeros((len(data) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return wide.reshape(-1).view("<u8")
+    return np.cumsum(unplanes(data + bytes(len(data) // 3), np.uint64), dtype=np.uint64)
 
 
 def bit_table(classes: DataFrame) -> np.ndarray:
@@ -330,7 +332,8 @@ def key_entries(sets: DataFrame, percent: int) -> DataFrame:
             flat = np.concatenate([np.empty(0, np.uint64), *found_here]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(who)], ["key", "class"])
 
-    entries = stored(sets.mapInArrow(keys, "key long, class long"), "keys")
+    # Found twice: that costs less than to write them.
+    entries = sets.mapInArrow(keys, "key long, class long")
     shared = entries.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
     several = stored(entries.join(shared.select("key").hint("merge"), "key", "left_semi").distinct(), "several")
     both = [F.bit_xor(F.xxhash64("class", F.lit(salt))).alias(f"code{salt}") for salt in (0, 1)]
@@ -375,8 +378,8 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     """One row per document: (id, n_shingles, class, component, component_id). The component is a class of it, and tells
     components apart; component_id, its least id, does not where ids are null or repeated. Documents without n-grams
     have neither class nor component, and their own id."""
-    with small_batches(documents.sparkSession):
-        return all_rounds(documents, doc_id, text, n, percent)
+    with small_batches(documents.sparkSession), temporary(documents.sparkSession):
+        return stored(all_rounds(documents, doc_id, text, n, percent), "components", keep=True)
 
 
 def all_rounds(documents: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
