@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake.functions import columns as C
-from leaguelake.operators.ordered import OrderedRows, order_key, row_number_per, sort_columns
+from leaguelake.operators.ordered import OrderedRows, column_name, order_key, row_number_per, sort_columns
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], n: int = 1) -> DataFrame:
@@ -50,14 +50,18 @@ def scd1(
 
     The state is a group limit, which sends one row per key and map task; the history is a hash aggregate of one narrow
     column. Both end partitioned by the key, so that joining them moves nothing. A key is one struct: structs compare
-    NULL fields as equal.
+    NULL fields as equal. Its hash comes before it: sorts compare that number, and read the rows themselves only where it is equal.
     """
-    key = F.struct(*keys).alias("_key")
-    state = top_per_key(df.select(key, *df.columns), ["_key"], order_by).drop(seen_at)
-    history = df.groupBy(key).agg(
+    key = [F.xxhash64(*keys).alias("_hash"), F.struct(*keys).alias("_key")]
+    rest = [c for c in df.columns if c not in keys]
+    order = [o for o in order_by if column_name(o) not in keys]  # the same in all rows of a key
+    state = top_per_key(df.select(*key, *rest), ["_hash", "_key"], order or ["_hash"]).drop(seen_at)
+    history = df.groupBy(*key).agg(
         F.min(seen_at).alias("first_seen_at"), F.max(seen_at).alias("last_updated_at"), F.count(F.lit(1)).alias("update_count")
     )
-    out = state.join(history, "_key").drop("_key")
+    columns = [F.col(f"_key.{c}") if c in keys else F.col(c) for c in df.columns if c != seen_at]
+    seen = ["first_seen_at", "last_updated_at", "update_count"]
+    out = state.join(history, ["_hash", "_key"]).select(*columns, *seen)
     return out.withColumn("is_correction", F.col("update_count") > 1)
 
 
