@@ -30,6 +30,9 @@ RANGE = "_range"
 BORROWED = "_borrowed"
 CUTS = "_cuts"
 USED = "_used"
+KEY = "_key_in_order"
+CHUNK = "_chunk"
+IS_CUT = "_is_cut"
 
 
 def descending(name: str) -> bool:
@@ -107,6 +110,7 @@ class OrderedRows:
     ):
         self.partition_by, self.order_by, self.whole = list(partition_by), list(order_by), whole
         self.columns = df.columns
+        self.derived = False  # a filter on the range then passes the windows of the base
         self.ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.key = order_key_sql(df, self.order_by)
         self.groups = ", ".join(map(quoted, self.partition_by))
@@ -136,21 +140,24 @@ class OrderedRows:
 
     def _in_ranges(self, df: DataFrame) -> DataFrame:
         """Rows with the number of their range - how many borders are at or below them - which is NULL in groups that are not
-        cut. About twice the square root of the number of borders are looked at."""
+        cut. About twice the square root of the number of borders are looked at, once a row: key and chunk are columns of their own, which
+        Spark does not repeat in what uses them several times, and a filter on cut groups asks for their borders, not for the number."""
         borders = self._borders(df)
         if self.partition_by:
             on = " AND ".join(f"rows.{quoted(c)} <=> cuts.{quoted(c)}" for c in self.partition_by)
             joined = df.alias("rows").join(F.broadcast(borders).alias("cuts"), F.expr(on), "left").select("rows.*", CUTS)
         else:
             joined = df.withColumn(CUTS, borders.scalar())
-        chunks = f"size(filter({CUTS}, c -> c[0] <= {self.key}))"
-        inside = f"size(filter(get({CUTS}, {chunks} - 1), b -> b <= {self.key}))"
-        number = f"CASE WHEN {CUTS} IS NULL THEN NULL WHEN {chunks} = 0 THEN 0 ELSE ({chunks} - 1) * size({CUTS}[0]) + {inside} END AS {RANGE}"
-        return joined.selectExpr(*map(quoted, self.columns), number)
+        kept = list(map(quoted, self.columns))
+        keyed = joined.selectExpr(*kept, CUTS, f"CASE WHEN {CUTS} IS NOT NULL THEN {self.key} END AS {KEY}")
+        found = keyed.selectExpr(*kept, CUTS, KEY, f"size(filter({CUTS}, c -> c[0] <= {KEY})) AS {CHUNK}")
+        inside = f"size(filter(get({CUTS}, {CHUNK} - 1), b -> b <= {KEY}))"
+        number = f"CASE WHEN {CUTS} IS NULL THEN NULL WHEN {CHUNK} = 0 THEN 0 ELSE ({CHUNK} - 1) * size({CUTS}[0]) + {inside} END AS {RANGE}"
+        return found.selectExpr(*kept, number, f"{CUTS} IS NOT NULL AS {IS_CUT}")
 
     def _cut(self) -> DataFrame:
         """Rows of the groups that lie in more than one range."""
-        rows = self.base.where(f"{RANGE} IS NOT NULL")
+        rows = self.base.where(f"{RANGE} IS NOT NULL" if self.derived else IS_CUT)
         return rows.withColumn(USED, F.expr(self._hash())) if self.whole else rows
 
     def _per_range(self, *partials: str) -> DataFrame:
@@ -168,7 +175,8 @@ class OrderedRows:
     def derive(self, **columns: Column) -> OrderedRows:
         """Add row expressions; later windows can use them and the columns added so far."""
         self.frame = self.base = self.frame.withColumns(columns)
-        self.columns = [c for c in self.base.columns if c != RANGE]
+        self.columns = [c for c in self.base.columns if c not in (RANGE, IS_CUT)]
+        self.derived = True
         return self
 
     def number(self, name: str, from_end: str | None = None) -> OrderedRows:
@@ -265,7 +273,7 @@ class OrderedRows:
         )
 
     def result(self) -> DataFrame:
-        return self.frame.drop(RANGE)
+        return self.frame.drop(RANGE, IS_CUT)
 
 
 def global_row_number(

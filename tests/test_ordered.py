@@ -99,3 +99,10 @@ def test_a_column_of_the_same_name_is_replaced(rows):
     small = rows.filter("id < 200")
     plain = small.withColumn("id", F.row_number().over(W.orderBy("id")).cast("long"))
     same(plain, global_row_number(small, ["id"], "id", ranges=5))
+
+
+@pytest.mark.parametrize("groups", [[], ["team"]])
+def test_a_row_looks_for_its_range_once(rows, groups):
+    partials = OrderedRows(rows, ["day", "id"], groups, ranges=40)._per_range("count(1) AS _n")
+    plan = partials._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("filter(") == 2  # among chunks, and inside one
