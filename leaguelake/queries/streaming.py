@@ -38,17 +38,21 @@ def run_value(spark, streaming_df, value):
     return L.running_value(spark, path, value)
 
 
+WRITERS = 4  # files of a micro-batch
+
+
 def run_restarted(spark, sf_dir, name, columns, value, order):
-    """A table dealt to eight files in the order of a hash, one for each micro-batch, which land before the first run, before a second
-    and before a third run of the stream: most rows come late."""
+    """A table dealt to eight deals of WRITERS files in the order of a hash, one deal for each micro-batch, which land before the first
+    run, before a second and before a third run of the stream: most rows come late. A landing reads the table once, whatever the number of its
+    files, and sends each row straight to its file."""
     landed, path, checkpoint = (new_folder(spark, x) for x in ("landed", "running", "stream-checkpoint"))
-    rows = table(spark, sf_dir, name).withColumn("_file", F.pmod(F.xxhash64(order), F.lit(8)))
-    rows = rows.repartition(8, "_file")
-    schema = rows.drop("_file").schema
-    for files in ((0, 1, 2), (3, 4, 5), (6, 7)):
-        for f in files:
-            rows.filter(F.col("_file") == f).drop("_file").coalesce(1).write.mode("append").parquet(landed)
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    given = table(spark, sf_dir, name)
+    file = F.pmod(F.xxhash64(order), F.lit(8 * WRITERS)).cast("int")
+    for first, last in ((0, 3), (3, 6), (6, 8)):
+        here = given.filter(file.between(first * WRITERS, last * WRITERS - 1))
+        dealt = here.repartitionById((last - first) * WRITERS, file - first * WRITERS)
+        dealt.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(given.schema).option("maxFilesPerTrigger", WRITERS).parquet(landed)
         L.run_running(stream.selectExpr(*columns), path, checkpoint, value, every=3)
     return L.running_value(spark, path, value)
 

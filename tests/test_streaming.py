@@ -104,3 +104,19 @@ def test_closed_windows(spark, landed):
     whole = L.events_per_second(spark.read.parquet(path))
     assert out.count() == out.select("second_start").distinct().count() > 0
     assert out.exceptAll(whole).isEmpty()
+
+
+def test_a_landing_is_dealt_by_one_pass(spark, tmp_path, monkeypatch):
+    """Each of the three landings is one job that writes all its files, not one for each file."""
+    import glob
+
+    from leaguelake.queries import streaming
+
+    rows = spark.range(2000).selectExpr("id", "id % 50 AS k")
+    rows.write.parquet(f"{tmp_path}/given.parquet")
+    monkeypatch.setattr(streaming, "new_folder", lambda spark, name: f"{tmp_path}/{name}")
+    out = streaming.run_restarted(spark, str(tmp_path), "given", ["id", "k"], L.latest(["k"], ["-id"]), "id")
+    assert {(r.k, r.id) for r in out.collect()} == {(k, 1950 + k) for k in range(50)}
+    assert spark.read.parquet(f"{tmp_path}/landed").count() == 2000
+    written = {p.rpartition("/")[2].split("-", 2)[2].rpartition("-c")[0] for p in glob.glob(f"{tmp_path}/landed/part-*")}
+    assert len(written) == 3 and len(glob.glob(f"{tmp_path}/landed/part-*")) == 8 * streaming.WRITERS
