@@ -8,7 +8,7 @@ from leaguelake.plans import marts
 from leaguelake.plans.adapters import NEWEST, cte, load, table
 from leaguelake.queries import league
 from leaguelake.queries.registry import CLEAN, LEAGUE, LIVE_TABLE, TEAMS, query, with_ctes
-from leaguelake.session import new_folder
+from leaguelake.session import new_folder, stored
 from leaguelake.sources import exports, landing
 
 
@@ -228,10 +228,11 @@ def entity_documents(spark, sf_dir):
 )
 def team_documents(spark, sf_dir):
     """Documents with standings, form, matches and scorers, in parts of 100."""
-    rows = league.form(spark, sf_dir).select("team_name", "match_id", "result", "recency_rank")
+    form = stored(league.form(spark, sf_dir), "form")
+    rows = form.select("team_name", "match_id", "result", "recency_rank")
     scorers = marts.clean_scorers(load(spark, sf_dir, "scorers"), NEWEST)
     documents = exports.entity_documents(
-        league.teams(spark, sf_dir),
+        stored(marts.dim_teams(league.live_table(spark, sf_dir), form), "teams"),
         {
             "matches": (rows, ["recency_rank"]),
             "scorers": (scorers.select("team_name", "player_id", "goals", "assists"), marts.SCORER_ORDER),

@@ -449,3 +449,13 @@ def test_scd1_sorts_by_a_number_first(spark):
     assert "Sort [_hash" in plan and "Sort [_key" not in plan
     got = {tuple(r) for r in out.collect()}
     assert got == {("a", "y", 1, 2, 2, True), (None, "w", 1, 3, 2, True)}
+
+
+def test_team_documents_find_results_once(spark, monkeypatch):
+    from leaguelake.queries import QUERIES
+
+    made = []
+    real = marts.finished_results
+    monkeypatch.setattr(marts, "finished_results", lambda *a, **k: made.append(1) or real(*a, **k))
+    assert QUERIES["team_documents"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(made) == 1
