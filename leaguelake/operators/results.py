@@ -129,14 +129,16 @@ def infer_rounds(
     gap_days: int = 3,
     least_matches: int = 8,
     name: str = "matchday",
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Round numbers from dates: a new round starts after a gap of more than ``gap_days`` days once the current
     round has ``least_matches`` matches. Matches without a date get round 1.
 
     The fold runs over one (date, count) pair per calendar date of a season, so the array that is collected is
-    bounded by the length of the calendar and not by the number of matches.
+    bounded by the length of the calendar and not by the number of matches. ``dates`` are the same matches before costly columns
+    were added, if there are any: the rounds are found from them.
     """
-    per_date = matches.filter(F.col(date).isNotNull()).groupBy(*season, date).agg(F.count(F.lit(1)).alias("_n"))
+    per_date = (matches if dates is None else dates).filter(F.col(date).isNotNull()).groupBy(*season, date).agg(F.count(F.lit(1)).alias("_n"))
     days = per_date.groupBy(*season).agg(F.array_sort(F.collect_list(F.struct(date, "_n"))).alias("_days"))
 
     start = F.struct(

@@ -307,7 +307,7 @@ def normalize_season_csv(
         "season_id", F.lit(constants["season_id"])
     )
     numbered = surrogate_ids(dated, order_by, "match_id", first_id)
-    rounds = infer_rounds(numbered, ["season_id"])
+    rounds = infer_rounds(numbered, ["season_id"], dates=dated)
     home, away = C.mapped("HomeTeam", names), C.mapped("AwayTeam", names)
     unknown = F.lit(values.UNKNOWN_CLUB_ID)
     home_score = C.number_from_text("FTHG", "double").cast("int")

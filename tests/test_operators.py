@@ -451,6 +451,16 @@ def test_scd1_sorts_by_a_number_first(spark):
     assert got == {("a", "y", 1, 2, 2, True), (None, "w", 1, 3, 2, True)}
 
 
+def test_season_csv_is_numbered_once(spark):
+    rows = spark.createDataFrame(
+        [(i, f"{1 + i // 9:02d}/08/2023", "Arsenal", "Chelsea", "1", "0") for i in range(30)],
+        "Seq long, Date string, HomeTeam string, AwayTeam string, FTHG string, FTAG string",
+    )
+    out = feeds.normalize_season_csv(rows, ["Seq"])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("row_number()") == 1
+    assert sorted(r.match_id for r in out.collect()) == list(range(10001, 10031))
+
+
 def test_team_documents_find_results_once(spark, monkeypatch):
     from leaguelake.queries import QUERIES
 
