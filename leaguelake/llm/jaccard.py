@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -354,7 +354,14 @@ def open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 def families_of(left: DataFrame, classes: DataFrame) -> DataFrame:
     """(class, family, large): classes that keys connect, directly or through others."""
-    found_here = components(left.where("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b")).distinct())
+    # A class goes to the least of its keys' first classes, and these are linked with that one: all that a class connects, without
+    # a link for each two of a group.
+    ways = left.select("class", "first").distinct().withColumn("to", F.min("first").over(Window.partitionBy("class")))
+    ways = stored(ways, "ways")
+    firsts = components(ways.where("first <> to").select(F.col("first").alias("a"), F.col("to").alias("b")).distinct())
+    gone = ways.where("first = to").select("class", "to")
+    found_here = gone.join(firsts.withColumnRenamed("class", "to").hint("merge"), "to", "left")
+    found_here = found_here.select("class", F.coalesce("component", "to").alias("component"))
     named = found_here.join(classes.select("class", "size").hint("merge"), "class").withColumnRenamed("component", "family")
     sizes = named.groupBy("family").agg(((F.count("*") > BLOCK) | (F.sum("size") > GRAMS)).alias("large"))
     return named.select("class", "family").join(sizes.hint("merge"), "family")

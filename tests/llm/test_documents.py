@@ -85,6 +85,31 @@ def test_representatives_of_null_and_repeated_ids(spark):
     assert got == sorted(want, key=str)
 
 
+def test_links_of_a_family_grow_with_its_classes(spark, monkeypatch):
+    """A group of which every two share some key, a chain of keys, and a pair: families as by hand, and few links between classes."""
+    rng = np.random.default_rng(7)
+    keys = [[0, *rng.choice(np.arange(1, 90), 30, replace=False).tolist()] for _ in range(400)]
+    keys += [[a, a + 1] for a in range(100, 120)] + [[130, 131]]
+    entries = [(k, int(c), len(who), int(min(who))) for k, who in enumerate(keys) for c in who]
+    entries += [(1000 + a, c, 90 - a, a) for a in range(1, 80) for c in range(a, 90)]  # every class is the first of a key
+    left = spark.createDataFrame(entries, "key long, class long, members long, first long")
+    classes = spark.createDataFrame([(c, 10) for c in range(140)], "class long, size long")
+    counts, write = [], jaccard.stored
+
+    def counted(df, name, keep=False):
+        out = write(df, name, keep)
+        if name == "links":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    monkeypatch.setattr(jaccard, "BLOCK", 50)
+    got = sorted(map(tuple, jaccard.families_of(left, classes).select("class", "family", "large").collect()))
+    want = [(c, 0, True) for c in range(90)] + [(c, 100, False) for c in range(100, 121)] + [(c, 130, False) for c in (130, 131)]
+    assert got == want
+    assert sum(counts) <= 4 * len(got)  # before, 7962: a link each way for each first class that a class met
+
+
 def test_tree_finds_all_links():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 400, 60)
